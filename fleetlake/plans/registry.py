@@ -53,3 +53,174 @@ QUERIES.update({
     "job_status_breakdown": _on_layers(lambda L: reports.job_status_breakdown(L.stg("jobs"))),
     "latest_health": _on_layers(lambda L: reports.latest_health(L.stg("health"))),
 })
+
+
+# ---------------------------------------------------------------------------
+# Ingestion: the bound streams are encoded as JSON messages (A3) and go through
+# the contract (B1-B5), enrichment (B6) and reject routing.
+# ---------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from fleetlake.functions import contracts, derive  # noqa: E402
+from fleetlake.operators import quality  # noqa: E402
+from fleetlake.plans import ingest  # noqa: E402
+from fleetlake.schemas import STREAMS  # noqa: E402
+from fleetlake.session import scratch_path  # noqa: E402
+from fleetlake.sources import alerts as alert_io  # noqa: E402
+from fleetlake.sources import bindings, bronze  # noqa: E402
+from fleetlake.sources.events import encode_events, text_events  # noqa: E402
+
+
+def _messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return encode_events(bindings.stream(spark, sf_dir, name), STREAMS[name], carry=("tie",))
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    """Report parsed UTC instants as zone-less timestamps (the test tables' type)."""
+    return df.select(*[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n)
+                       for n, t in df.dtypes])
+
+
+def _contract(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = STREAMS[name]
+        checked = ingest.validate(_messages(spark, sf_dir, name), spec, carry=("tie",))
+        return checked.select(spec.key, "tie", F.array_join("_violations", "|").alias("violations"))
+    return run
+
+
+def _validate(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = STREAMS[name]
+        rows = bindings.stream(spark, sf_dir, name)
+        return rows.select(spec.key, "tie",
+                           F.array_join(contracts.domain_violations(spec), "|").alias("violations"))
+    return run
+
+
+def _enrich(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = STREAMS[name]
+        valid = ingest.split(_messages(spark, sf_dir, name), spec, carry=("tie",)).valid
+        return _scalar_arrays(_ntz(valid.drop("_ingested_at")))
+    return run
+
+
+for _s in STREAMS:
+    QUERIES[f"contract_{_s}"] = _contract(_s)
+    QUERIES[f"validate_{_s}"] = _validate(_s)
+    QUERIES[f"enrich_{_s}"] = _enrich(_s)
+
+
+def _all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for s in STREAMS:
+        m = _messages(spark, sf_dir, s).drop("tie")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def encode_events_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: every bound stream as keyed JSON messages."""
+    return _all_messages(spark, sf_dir)
+
+
+def ingest_batch_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: messages land as JSON-lines files, are read back per topic and ingested."""
+    root = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    _all_messages(spark, sf_dir).select("value", "topic").write.partitionBy("topic").text(root)
+    parts = []
+    for name, spec in STREAMS.items():
+        msgs = text_events(spark, f"{root}/topic={spec.topic}", spec.topic)
+        checked = ingest.validate(msgs, spec)
+        parts.append(checked.agg(
+            F.sum(F.when(F.size("_violations") == 0, 1).otherwise(0)).cast("bigint").alias("accepted"),
+            F.sum(F.when(F.size("_violations") > 0, 1).otherwise(0)).cast("bigint").alias("rejected"),
+        ).select(F.lit(name).alias("stream"), "accepted", "rejected"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def reject_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages per stream and violation name."""
+    parts = []
+    for name, spec in STREAMS.items():
+        rej = ingest.split(_messages(spark, sf_dir, name), spec).rejects
+        parts.append(ingest.reject_summary(rej.withColumn("stream", F.lit(name)), by=("stream",)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def bronze_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + A5: accepted telemetry appended to hive-partitioned bronze, scanned back,
+    counted per partition."""
+    spec = STREAMS["telemetry"]
+    root = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
+    valid = ingest.split(_messages(spark, sf_dir, "telemetry"), spec).valid
+    bronze.write_bronze(valid, root, spec)
+    raw = bronze.typed_projection(bronze.scan_bronze(spark, root, spec), spec)
+    return raw.groupBy("event_date", "device_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def alerts_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + A9: drift alerts written as JSON lines and read back with the declared schema."""
+    path = scratch_path(spark, f"alerts-{uuid.uuid4().hex}")
+    alert_io.write_alerts(Layers.from_test_tables(spark, sf_dir).drift_alerts(), path)
+    return alert_io.read_alerts(spark, path)
+
+
+def contract_props_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 on a real JSON column: ``events.props`` must be ``{"k": integer in 10..90}``."""
+    from fleetlake.schemas import FieldSpec, StreamSpec
+    from pyspark.sql import types as T
+    spec = StreamSpec(name="props", topic="events.props", key="event_id",
+                      fields=(FieldSpec("k", "integer", T.LongType(), minimum=10, maximum=90),))
+    ev = bindings.table(spark, sf_dir, "events")
+    v, keys = contracts.parsed(F.col("props"))
+    p = ev.select("event_id", v.alias("_v"), keys.alias("_keys"))
+    p = p.select("event_id", "_v", "_keys", *contracts.field_columns(F.col("_v"), spec))
+    viol = contracts.structural_violations(F.col("_v"), F.col("_keys"), spec)
+    return p.select("event_id", F.array_join(viol, "|").alias("violations"))
+
+
+def _health_rows(spark, sf_dir):
+    return bindings.stream(spark, sf_dir, "health")
+
+
+QUERIES.update({
+    "encode_events": encode_events_q,
+    "ingest_batch": ingest_batch_q,
+    "reject_summary": reject_summary_q,
+    "bronze_roundtrip": bronze_roundtrip_q,
+    "alerts_roundtrip": alerts_roundtrip_q,
+    "contract_props": contract_props_q,
+    "derive_health_score": lambda spark, sf_dir: _health_rows(spark, sf_dir).select(
+        "event_id", "tie", derive.health_score("cryo_temp_stable", "control_elec_status", "network_status")
+        .alias("derived_health_score")),
+    "derive_active_alerts": lambda spark, sf_dir: _health_rows(spark, sf_dir).select(
+        "event_id", "tie", F.array_join(derive.active_alerts(
+            derive.cryo_stable("cryo_temp_mk"), "control_elec_status", "network_status"), "|")
+        .alias("derived_active_alerts")),
+    "derive_sla": lambda spark, sf_dir: bindings.stream(spark, sf_dir, "jobs").select(
+        "job_id", "tie", "total_time_seconds", derive.sla_met("total_time_seconds").alias("derived_sla_met")),
+    "dq_duplicate_keys": _on_layers(lambda L: quality.duplicate_keys(L.raw("calibration"), "run_id")),
+    "dq_not_null": _on_layers(lambda L: quality.not_null(L.mart, "device_id")),
+    "dq_range": _on_layers(lambda L: quality.out_of_range(L.raw("telemetry"), "readout_fidelity", 0.5, 1.0)),
+})
+
+
+def dq_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: violation counts of the standard checks on the built tables, plus the same
+    checks on the raw inputs (which do have violations)."""
+    L = Layers.from_test_tables(spark, sf_dir)
+    checks = {n: f(L.tables()) for n, f in quality.STANDARD_CHECKS.items()}
+    checks["raw_duplicate_calibration_runs"] = quality.duplicate_keys(L.raw("calibration"), "run_id")
+    checks["raw_fidelity_range"] = quality.out_of_range(L.raw("telemetry"), "readout_fidelity", 0.5, 1.0)
+    return quality.run_checks(spark, checks)
+
+
+QUERIES["dq_report"] = dq_report_q
