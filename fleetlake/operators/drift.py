@@ -52,7 +52,7 @@ def drift_alerts(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit
     z = rolling_zscores(df, group_cols, order_cols, metrics, window, min_history, carry)
     alerts = z.where(F.abs(F.col("zscore")) >= threshold)
     # The series' time column is reported; further ordering columns only break ties.
-    shown = [*group_cols, order_cols[0], *[c for c in carry if c not in group_cols and c not in order_cols]]
+    shown = [*group_cols, order_cols[0], *[c for c in carry if c not in group_cols and c != order_cols[0]]]
     return alerts.select(*shown, "metric", "value", "rolling_mean", "rolling_stddev", "zscore")
 
 

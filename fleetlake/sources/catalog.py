@@ -16,7 +16,7 @@ def find_table(spark: SparkSession, name: str, strict: bool = True) -> str:
     behaviour); otherwise the bare name is returned (the dashboard's).
     """
     for db in sorted(d.name for d in spark.catalog.listDatabases()):
-        if spark.catalog.tableExists(name, db):
+        if spark.catalog.tableExists(f"`{db}`.`{name}`"):
             return f"`{db}`.`{name}`"
     if strict:
         raise TableNotFound(f"could not find table {name!r}; build the pipeline first")
