@@ -23,7 +23,20 @@ DAY0 = "DATE'1995-01-01'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned input over the cluster before per-row work.
+
+    A scan yields one task per Parquet row group at most; a one-row-group file
+    would run all per-row work (JSON encode/parse, contracts) in a single task.
+    Only then is a shuffle added -- a large, many-file input is left as it is.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= want:
+        return df.repartition(want)
+    return df
 
 
 def minutes_after_epoch(n: Column) -> Column:
