@@ -18,20 +18,85 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlake.session import checkpoint_dir
+
 # Detector defaults.
 DEFAULT_METRICS = ("gate_error_1q", "gate_error_2q")
 DEFAULT_WINDOW = 30
 DEFAULT_THRESHOLD = 2.5
 DEFAULT_MIN_HISTORY = 5
 
+# A series longer than this is split into blocks of this many rows (blocked plan).
+AUTO_BLOCK_ROWS = 2_000_000
+
+
+def _series_positions(long: DataFrame, series: Sequence[str], order_cols: Sequence[str],
+                      partitions: int) -> DataFrame:
+    """Exact 0-based position of every row within its series, without a per-series task.
+
+    Range partitioning on (series, order) splits even a very long series over
+    many partitions; within a partition rows are sorted, so a row's position is
+    the count of its series' rows in earlier partitions plus its rank inside the
+    partition. Those counts come from a small (partition, series) aggregate.
+    """
+    keys = [*series, *order_cols]
+    ranged = (long.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_id", F.monotonically_increasing_id()))
+    # Written once to the shared checkpoint folder: partition ids and row ids must
+    # be the same for the offset aggregate and the rows, and must survive a lost
+    # executor (a recomputation could sample different range bounds).
+    checkpoint_dir(long.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
+    seg = ranged.groupBy("_pid", *series).agg(F.min("_id").alias("_id0"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*series).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # one row per (range partition, series): bounded by partitions + series
+    seg = seg.select("_pid", *series, "_id0", "_off")
+    if seg.count() <= 2_000_000:
+        seg = F.broadcast(seg)
+    return (ranged.join(seg, ["_pid", *series])
+            .withColumn("_pos", F.col("_off") + F.col("_id") - F.col("_id0"))
+            .drop("_pid", "_id", "_id0", "_off"))
+
+
+def _stats_columns(w, window_col: str = "value", min_history: int = DEFAULT_MIN_HISTORY):
+    n = F.count(window_col).over(w)
+    enough = n >= min_history
+    return F.when(enough, F.avg(window_col).over(w)), F.when(enough, F.stddev_samp(window_col).over(w))
+
 
 def rolling_zscores(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit_id"),
                     order_cols: Sequence[str] = ("timestamp", "event_id"),
                     metrics: Sequence[str] = DEFAULT_METRICS, window: int = DEFAULT_WINDOW,
-                    min_history: int = DEFAULT_MIN_HISTORY, carry: Sequence[str] = ()) -> DataFrame:
-    """Every row with its rolling statistics, one row per (input row, metric)."""
+                    min_history: int = DEFAULT_MIN_HISTORY, carry: Sequence[str] = (),
+                    block_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+    """Every row with its rolling statistics, one row per (input row, metric).
+
+    ``block_rows=None``: one window per series (one shuffle; a series is one task).
+    ``block_rows=B``: the series is cut into blocks of ``B`` consecutive rows; each
+    block also receives the last ``window`` rows of the previous block as read-only
+    history, so every frame is complete and results are identical, while no task
+    holds more than ``B + window`` rows of a series however long it is.
+    """
     ids = list(dict.fromkeys([*group_cols, *order_cols, *carry]))
     long = df.select(*ids, *metrics).unpivot(ids, list(metrics), "metric", "value")
+    if block_rows is not None:
+        if block_rows <= window:
+            raise ValueError("block_rows must exceed the window")
+        parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pos = _series_positions(long, [*group_cols, "metric"], order_cols, parts)
+        own = F.floor(F.col("_pos") / block_rows)
+        tail = (F.col("_pos") % block_rows) >= block_rows - window
+        blocked = pos.select("*", own.alias("_own"),
+                             F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("_blk"))
+        w = Window.partitionBy(*group_cols, "metric", "_blk").orderBy("_pos").rowsBetween(-window, -1)
+        mean, sd = _stats_columns(w, "value", min_history)
+        stats = (blocked.select(*ids, "metric", "value", "_blk", "_own", mean.alias("rolling_mean"),
+                                sd.alias("rolling_stddev"))
+                 .where(F.col("_blk") == F.col("_own")).drop("_blk", "_own"))
+        z = (F.col("value") - F.col("rolling_mean")) / F.nullif(F.col("rolling_stddev"), F.lit(0.0))
+        return stats.withColumn("zscore", z)
     w = (Window.partitionBy(*group_cols, "metric").orderBy(*[F.col(c).asc() for c in order_cols])
          .rowsBetween(-window, -1))
     n = F.count("value").over(w)
@@ -43,13 +108,25 @@ def rolling_zscores(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qu
     return stats.withColumn("zscore", z)
 
 
+def longest_series(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the longest series (one aggregate; partial counts are combined map-side)."""
+    row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
 def drift_alerts(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit_id"),
                  order_cols: Sequence[str] = ("timestamp", "event_id"),
                  metrics: Sequence[str] = DEFAULT_METRICS, window: int = DEFAULT_WINDOW,
                  threshold: float = DEFAULT_THRESHOLD, min_history: int = DEFAULT_MIN_HISTORY,
-                 carry: Sequence[str] = ()) -> DataFrame:
-    """Alert rows: device, qubit, timestamp, metric, value, rolling mean/stddev, z-score."""
-    z = rolling_zscores(df, group_cols, order_cols, metrics, window, min_history, carry)
+                 carry: Sequence[str] = (), block_rows: int | str | None = None) -> DataFrame:
+    """Alert rows: device, qubit, timestamp, metric, value, rolling mean/stddev, z-score.
+
+    ``block_rows="auto"`` measures the longest series first and switches to the
+    blocked plan when one series exceeds ``AUTO_BLOCK_ROWS`` rows.
+    """
+    if block_rows == "auto":
+        block_rows = AUTO_BLOCK_ROWS if longest_series(df, group_cols) > AUTO_BLOCK_ROWS else None
+    z = rolling_zscores(df, group_cols, order_cols, metrics, window, min_history, carry, block_rows)
     alerts = z.where(F.abs(F.col("zscore")) >= threshold)
     # The series' time column is reported; further ordering columns only break ties.
     shown = [*group_cols, order_cols[0], *[c for c in carry if c not in group_cols and c != order_cols[0]]]

@@ -93,6 +93,8 @@ class Layers:
                                             self.daily("jobs"), self.daily("health"))
 
     def drift_alerts(self, **params) -> DataFrame:
+        """Drift alerts; a series longer than ``AUTO_BLOCK_ROWS`` switches to the blocked plan."""
+        params.setdefault("block_rows", "auto")
         return drift_op.drift_alerts(self.fct_telemetry, **params)
 
     def tables(self) -> dict[str, DataFrame]:
