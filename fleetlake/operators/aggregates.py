@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.exprs import any_true, count_if
+from fleetlake.operators.quantile import AUTO_DISTRIBUTED_ROWS, exact_quantiles, largest_group
 
 GRAIN = ("device_id", "date")
 
@@ -21,18 +22,39 @@ def exact_quantile(c: str, q: float):
     return F.percentile(F.col(c), F.lit(q))
 
 
-def telemetry_daily(fct: DataFrame, drift_ratio: float = 1.5, q: float = 0.99) -> DataFrame:
+def telemetry_daily(fct: DataFrame, drift_ratio: float = 1.5, q: float = 0.99,
+                    quantile_strategy: str = "percentile") -> DataFrame:
+    """F1. ``quantile_strategy``: ``percentile`` (one aggregate; a group's distinct
+    values meet in one task), ``distributed`` (bounded tasks, see operators/quantile)
+    or ``auto`` (measure the largest device-day first -- meant for written tables)."""
     c = F.col
-    return fct.groupBy("device_id", c("event_date").alias("date")).agg(
+    if quantile_strategy == "auto":
+        big = largest_group(fct, ["device_id", "event_date"]) > AUTO_DISTRIBUTED_ROWS
+        quantile_strategy = "distributed" if big else "percentile"
+    p99 = []
+    if quantile_strategy == "percentile":
+        p99 = [exact_quantile("gate_error_1q", q).alias("p99_gate_error_1q"),
+               exact_quantile("gate_error_2q", q).alias("p99_gate_error_2q")]
+    daily = fct.groupBy("device_id", c("event_date").alias("date")).agg(
         F.avg("T1_us").alias("avg_T1_us"),
         F.avg("T2_us").alias("avg_T2_us"),
-        exact_quantile("gate_error_1q", q).alias("p99_gate_error_1q"),
-        exact_quantile("gate_error_2q", q).alias("p99_gate_error_2q"),
+        *p99,
         F.min("readout_fidelity").alias("min_readout_fidelity"),
         F.count(F.lit(1)).alias("telemetry_count"),
         any_true((c("gate_error_1q_ratio") >= drift_ratio) | (c("gate_error_2q_ratio") >= drift_ratio))
         .alias("drift_flag"),
     )
+    if quantile_strategy == "percentile":
+        return daily
+    long = (fct.select("device_id", c("event_date").alias("date"), "gate_error_1q", "gate_error_2q")
+            .unpivot(["device_id", "date"], ["gate_error_1q", "gate_error_2q"], "metric", "v"))
+    qs = exact_quantiles(long, ["device_id", "date", "metric"], "v", {"p": q})
+    wide = qs.groupBy("device_id", "date").agg(
+        F.max(F.when(c("metric") == "gate_error_1q", c("p"))).alias("p99_gate_error_1q"),
+        F.max(F.when(c("metric") == "gate_error_2q", c("p"))).alias("p99_gate_error_2q"))
+    return daily.join(wide, ["device_id", "date"], "left").select(
+        "device_id", "date", "avg_T1_us", "avg_T2_us", "p99_gate_error_1q", "p99_gate_error_2q",
+        "min_readout_fidelity", "telemetry_count", "drift_flag")
 
 
 def calibration_daily(stg: DataFrame) -> DataFrame:

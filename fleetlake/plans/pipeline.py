@@ -135,9 +135,25 @@ def build_all(spark: SparkSession, layers: Layers, root: str, run_tests: bool =
     return out
 
 
-def refresh_mart(spark: SparkSession, root: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Q5: rebuild only the mart from the written silver tables and fact."""
+def refresh_mart(spark: SparkSession, root: str, tables: dict[str, DataFrame] | None = None,
+                 quantile_strategy: str = "auto") -> DataFrame:
+    """Q5: rebuild only the mart from the written silver tables and fact.
+
+    The inputs are written tables, so ``auto`` measures the largest device-day
+    with one cheap scan and picks the bounded quantile plan when it is large.
+    """
     t = tables or {n: spark.read.parquet(table_path(root, n))
                    for n in ("fct_telemetry", "stg_calibration", "stg_jobs", "stg_health")}
-    mart = gold.mart_from_layers(t["fct_telemetry"], t["stg_calibration"], t["stg_jobs"], t["stg_health"])
+    mart = gold.mart_from_layers(t["fct_telemetry"], t["stg_calibration"], t["stg_jobs"], t["stg_health"],
+                                 quantile_strategy=quantile_strategy)
     return materialize(spark, mart, root, "device_reliability_mart")
+
+
+def run_drift_detection(spark: SparkSession, root: str, alerts_path: str, **params) -> DataFrame:
+    """Drift job: read the written fact, compute alerts (blocked plan for very long
+    series), replace the alert set (A8) and return it as read back (A9)."""
+    from fleetlake.sources import alerts as alert_io
+    fct = spark.read.parquet(table_path(root, "fct_telemetry"))
+    params.setdefault("block_rows", "auto")
+    alert_io.write_alerts(drift_op.presentation_order(drift_op.drift_alerts(fct, **params)), alerts_path)
+    return alert_io.read_alerts(spark, alerts_path)

@@ -1,20 +1,26 @@
 """Full build with the quality gate, and the mart-only refresh."""
 
+import uuid
+
 import pytest
 
 from fleetlake.operators import quality
-from fleetlake.plans.pipeline import Layers, build_all, refresh_mart
+from fleetlake.plans.pipeline import Layers, build_all, refresh_mart, run_drift_detection
 from fleetlake.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_build_all_and_refresh(spark):
-    root = scratch_path(spark, "build-test")
+    root = scratch_path(spark, f"build-test-{uuid.uuid4().hex}")
     out = build_all(spark, Layers.from_test_tables(spark, SF), root)
-    n = out["device_reliability_mart"].count()
-    assert n > 0
-    assert refresh_mart(spark, root).count() == n
+    first = sorted(map(tuple, out["device_reliability_mart"].collect()))
+    assert len(first) > 0
+    assert sorted(map(tuple, refresh_mart(spark, root).collect())) == first
+    distributed = refresh_mart(spark, root, quantile_strategy="distributed")
+    assert sorted(map(tuple, distributed.collect())) == first
+    alerts = run_drift_detection(spark, root, scratch_path(spark, f"alerts-test-{uuid.uuid4().hex}"))
+    assert alerts.count() == Layers.from_test_tables(spark, SF).drift_alerts().count()
 
 
 def test_gate_raises_on_violations(spark):
