@@ -73,7 +73,15 @@ def split(messages: DataFrame, spec: StreamSpec, value_col: str = "value",
     return Ingested(enrich(ok.drop("value", "_violations"), spec), bad, checked if persist else None)
 
 
-def reject_summary(rejects: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Rejects counted per violation name (a record with two violations counts twice)."""
-    return (rejects.select(*by, F.explode("_violations").alias("rule"))
+def reject_summary(checked: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Rejected records counted per violation name (a record with two violations
+    counts twice). Works on validated or rejected rows alike: accepted records have
+    an empty list and contribute nothing.
+
+    ``explode_outer`` + a null filter above it, rather than ``explode``: for
+    ``explode`` the optimizer infers ``size(list) > 0`` and pushes it below the
+    rule projections, inlining every rule into that filter.
+    """
+    return (checked.select(*by, F.explode_outer("_violations").alias("rule"))
+            .where(F.col("rule").isNotNull())
             .groupBy(*by, "rule").agg(F.count(F.lit(1)).alias("rejected")))

@@ -28,3 +28,29 @@ def test_gate_raises_on_violations(spark):
     report = quality.run_checks(spark, {"dup_raw_runs": quality.duplicate_keys(layers.raw("telemetry"), "event_id")})
     with pytest.raises(quality.QualityGateError):
         quality.gate(report)
+
+
+def test_end_to_end_from_bronze(spark):
+    """Bound streams -> JSON messages -> contract -> bronze -> silver/gold -> mart and alerts."""
+    from fleetlake.plans import ingest
+    from fleetlake.schemas import STREAMS
+    from fleetlake.sources import bindings, bronze
+    from fleetlake.sources.events import encode_events
+
+    root = scratch_path(spark, f"e2e-{uuid.uuid4().hex}")
+    broot = f"{root}/bronze"
+    for name, spec in STREAMS.items():
+        out = ingest.split(encode_events(bindings.stream(spark, SF, name), spec), spec)
+        bronze.write_bronze(out.valid, broot, spec)
+        out.release()
+    dim = Layers.from_test_tables(spark, SF).dim_device
+    layers = Layers.from_bronze(spark, broot, dim=dim)
+    assert dict(layers.raw("telemetry").dtypes)["timestamp"] == "timestamp"
+    built = build_all(spark, layers, f"{root}/tables")
+    mart = built["device_reliability_mart"]
+    assert mart.count() > 0
+    assert mart.where("device_id is null").count() == 0
+    # ingest rejected T2 > 2*T1 rows, so every fact row is physically valid
+    fct = built["fct_telemetry"]
+    assert fct.where("T2_us > 2 * T1_us").count() == 0
+    assert run_drift_detection(spark, f"{root}/tables", f"{root}/alerts").count() >= 0
