@@ -118,14 +118,19 @@ def drift_alerts(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit
                  order_cols: Sequence[str] = ("timestamp", "event_id"),
                  metrics: Sequence[str] = DEFAULT_METRICS, window: int = DEFAULT_WINDOW,
                  threshold: float = DEFAULT_THRESHOLD, min_history: int = DEFAULT_MIN_HISTORY,
-                 carry: Sequence[str] = (), block_rows: int | str | None = None) -> DataFrame:
+                 carry: Sequence[str] = (), block_rows: int | str | None = None,
+                 size_probe: DataFrame | None = None) -> DataFrame:
     """Alert rows: device, qubit, timestamp, metric, value, rolling mean/stddev, z-score.
 
     ``block_rows="auto"`` measures the longest series first and switches to the
-    blocked plan when one series exceeds ``AUTO_BLOCK_ROWS`` rows.
+    blocked plan when one series exceeds ``AUTO_BLOCK_ROWS`` rows. ``size_probe``
+    may name a cheaper frame whose series are at least as long (e.g. the raw
+    stream the fact is filtered and deduplicated from): an upper bound is enough
+    to decide safely.
     """
     if block_rows == "auto":
-        block_rows = AUTO_BLOCK_ROWS if longest_series(df, group_cols) > AUTO_BLOCK_ROWS else None
+        probe = size_probe if size_probe is not None else df
+        block_rows = AUTO_BLOCK_ROWS if longest_series(probe, group_cols) > AUTO_BLOCK_ROWS else None
     z = rolling_zscores(df, group_cols, order_cols, metrics, window, min_history, carry, block_rows)
     alerts = z.where(F.abs(F.col("zscore")) >= threshold)
     # The series' time column is reported; further ordering columns only break ties.

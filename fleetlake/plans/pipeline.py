@@ -95,6 +95,7 @@ class Layers:
     def drift_alerts(self, **params) -> DataFrame:
         """Drift alerts; a series longer than ``AUTO_BLOCK_ROWS`` switches to the blocked plan."""
         params.setdefault("block_rows", "auto")
+        params.setdefault("size_probe", self.raw("telemetry"))  # raw series bound the fact's
         return drift_op.drift_alerts(self.fct_telemetry, **params)
 
     def tables(self) -> dict[str, DataFrame]:

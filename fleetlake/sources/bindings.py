@@ -35,7 +35,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() * 2 <= want:
-        return df.repartition(want)
+        # hash of every column: deterministic on retry without the local sort a
+        # round-robin repartition performs first
+        return df.repartition(want, *df.columns)
     return df
 
 
