@@ -23,13 +23,15 @@ def exact_quantile(c: str, q: float):
 
 
 def telemetry_daily(fct: DataFrame, drift_ratio: float = 1.5, q: float = 0.99,
-                    quantile_strategy: str = "percentile") -> DataFrame:
+                    quantile_strategy: str = "percentile", size_probe: DataFrame | None = None) -> DataFrame:
     """F1. ``quantile_strategy``: ``percentile`` (one aggregate; a group's distinct
     values meet in one task), ``distributed`` (bounded tasks, see operators/quantile)
-    or ``auto`` (measure the largest device-day first -- meant for written tables)."""
+    or ``auto`` (measure the largest device-day first, on ``size_probe`` if given --
+    any frame whose device-days are at least as large, such as the raw stream)."""
     c = F.col
     if quantile_strategy == "auto":
-        big = largest_group(fct, ["device_id", "event_date"]) > AUTO_DISTRIBUTED_ROWS
+        probe = size_probe if size_probe is not None else fct
+        big = largest_group(probe, ["device_id", "event_date"]) > AUTO_DISTRIBUTED_ROWS
         quantile_strategy = "distributed" if big else "percentile"
     p99 = []
     if quantile_strategy == "percentile":

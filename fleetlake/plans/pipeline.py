@@ -83,7 +83,9 @@ class Layers:
 
     def daily(self, name: str) -> DataFrame:
         if name == "telemetry":
-            return agg.telemetry_daily(self.fct_telemetry)
+            # raw device-days bound the fact's: a cheap probe decides the quantile plan
+            return agg.telemetry_daily(self.fct_telemetry, quantile_strategy="auto",
+                                       size_probe=self.raw("telemetry"))
         return {"calibration": agg.calibration_daily, "jobs": agg.jobs_daily,
                 "health": agg.health_daily}[name](self.stg(name))
 

@@ -41,8 +41,12 @@ def spread(df: DataFrame, keys=None, min_partitions: int | None = None) -> DataF
     Hashing on the row key is deterministic on retry without the local sort a
     round-robin repartition performs first, and keeps column pruning intact.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- e.g. a Spark Connect session: leave the scan as it is
+        return df
+    if have * 2 <= want:
         return df.repartition(want, *(keys or df.columns))
     return df
 
