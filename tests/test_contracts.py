@@ -100,3 +100,15 @@ def test_timestamps_normalise_to_utc(spark):
     assert stamps[0] == "2024-01-01T00:00:00" and len(stamps) == 5
     assert stamps[-1].endswith(".123456")
     assert {r["date"].isoformat() for r in out} == {"2024-01-01"}
+
+
+def test_encoder_keeps_null_keys_for_the_contract(spark):
+    # A null error_code must stay in the JSON as "error_code": null
+    from fleetlake.sources import bindings
+    from fleetlake.sources.events import encode_events
+    msgs = encode_events(bindings.stream(spark, "/root/testdata/sf0.001", "jobs"), JOBS)
+    sample = [json.loads(r["value"]) for r in msgs.where("value like '%\"error_code\":null%'").limit(3).collect()]
+    assert sample and all("error_code" in d and d["error_code"] is None for d in sample)
+    assert msgs.select("key").where("key like 'dev_%'").count() == msgs.count()
+    checked = ingest.validate(msgs, JOBS)
+    assert checked.where("array_contains(_violations, 'required:error_code')").count() == 0

@@ -113,3 +113,11 @@ def test_orphan_day_without_telemetry_has_no_mart_row(spark):
     r = rows[0]
     assert (r["job_count"], r["job_sla_pct"], r["calibration_count"], r["avg_system_health_score"],
             r["health_alert_seen"]) == (5, 50.0, 0, 1.0, False)
+
+
+def test_dedup_is_global_across_event_dates(spark):
+    # One key under two dates keeps only the newest row, not one per date
+    rows = [("e1", "d", 0, 100.0, 120.0, 0.001, 0.006, 0.98, T0, 1.0),
+            ("e1", "d", 0, 110.0, 120.0, 0.001, 0.006, 0.98, T0 + dt.timedelta(days=3), 2.0)]
+    out = silver.stg_telemetry(_telemetry(spark, rows)).collect()
+    assert len(out) == 1 and out[0]["event_date"] == (T0 + dt.timedelta(days=3)).date()
