@@ -81,3 +81,15 @@ def test_streaming_ingest_replay_late_and_bad(spark, scratch):
     assert rej.count() == 2
     assert {v for r in rej.collect() for v in r["_violations"]} >= {"unparsable_json", "minimum:T1_us"}
     assert raw.select("_source_topic").distinct().collect()[0][0] == TELEMETRY.topic
+
+
+def test_event_date_filter_prunes_bronze_partitions(spark, scratch):
+    from tools.plan_audit import plan_text
+    msgs = spark.createDataFrame([(_event(1),), (_event(2, ts="2023-12-01T10:00:00Z"),)], "value string")
+    bronze.write_bronze(ingest.split(msgs, TELEMETRY).valid, scratch, TELEMETRY)
+    raw = bronze.typed_projection(bronze.scan_bronze(spark, scratch, TELEMETRY), TELEMETRY)
+    q = raw.where(F.col("event_date") == F.lit("2023-12-01").cast("date"))
+    text = plan_text(q)
+    pf = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert pf and "date" in pf[0] and "2023-12-01" in pf[0]
+    assert q.count() == 1
