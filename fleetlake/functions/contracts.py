@@ -31,15 +31,18 @@ def _path(name: str) -> str:
     return "$['" + name.replace("'", "\\'") + "']"
 
 
-def type_ok(t: Column, f: FieldSpec, v: Column | None = None) -> Column:
+def type_ok(t: Column, f: FieldSpec, whole: Column | None = None) -> Column:
     """JSON Schema type check on the inferred Variant type name.
 
     ``integer`` accepts integral numbers, including decimals with zero scale
-    (``5.0``), and rejects ``5.5`` and ``true``; ``number`` accepts any numeric.
+    (``5.0``) and whole doubles (``1e+16``, via ``whole``), and rejects ``5.5``
+    and ``true``; ``number`` accepts any numeric.
     """
     integral = t.isin(*INTEGER_TYPES) | t.rlike(r"^DECIMAL\(\d+,0\)$")
     if f.json_type == "integer":
         ok = integral
+        if whole is not None:
+            ok = ok | (t.isin("DOUBLE", "FLOAT") & F.coalesce(whole, F.lit(False)))
     elif f.json_type == "number":
         ok = integral | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
     elif f.json_type in ("string", "date-time"):
@@ -64,6 +67,10 @@ def type_col(name: str) -> str:
     return f"_t_{name}"
 
 
+def whole_col(name: str) -> str:
+    return f"_w_{name}"
+
+
 def field_columns(v: Column, spec: StreamSpec) -> list[Column]:
     """Per field: its inferred JSON type (``_t_<f>``) and its typed value (``<f>``).
 
@@ -74,6 +81,9 @@ def field_columns(v: Column, spec: StreamSpec) -> list[Column]:
     for f in spec.fields:
         p = _path(f.name)
         cols.append(F.schema_of_variant(F.variant_get(v, p, "variant")).alias(type_col(f.name)))
+        if f.json_type == "integer":
+            d = F.try_variant_get(v, p, "double")
+            cols.append((d % F.lit(1.0) == F.lit(0.0)).alias(whole_col(f.name)))  # floor() is BIGINT-bound
         if f.json_type == "date-time":
             c = parse_iso_timestamp(F.try_variant_get(v, p, "string"))
         else:
@@ -85,7 +95,7 @@ def field_columns(v: Column, spec: StreamSpec) -> list[Column]:
 def field_rules(f: FieldSpec) -> list[Column]:
     """Rules of one field over the projected ``_t_<f>`` and ``<f>`` columns."""
     t, x = F.col(type_col(f.name)), F.col(f.name)
-    ok = type_ok(t, f, None)
+    ok = type_ok(t, f, F.col(whole_col(f.name)) if f.json_type == "integer" else None)
     present_ok = t.isNotNull() & ok & (t != "VOID")
     out = [_rule(t.isNotNull() & ~ok, f"type:{f.name}")]
     if f.minimum is not None:
@@ -169,5 +179,9 @@ DOMAIN_RULES = {"telemetry": _telemetry_rules, "calibration": _calibration_rules
 
 
 def domain_violations(spec: StreamSpec, c: Callable[[str], Column] = F.col) -> Column:
-    """Domain-rule violations of typed rows, as ``array<string>``."""
-    return F.array_compact(F.array(*DOMAIN_RULES[spec.name](c)))
+    """Domain-rule violations of typed rows, as ``array<string>`` (empty if the
+    stream has no domain rules)."""
+    rules = DOMAIN_RULES.get(spec.name)
+    if rules is None:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*rules(c)))
