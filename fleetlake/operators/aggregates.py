@@ -31,7 +31,7 @@ def telemetry_daily(fct: DataFrame, drift_ratio: float = 1.5, q: float = 0.99,
     c = F.col
     if quantile_strategy == "auto":
         probe = size_probe if size_probe is not None else fct
-        big = largest_group(probe, ["device_id", "event_date"]) > AUTO_DISTRIBUTED_ROWS
+        big = largest_group(probe, ["device_id", "event_date"], AUTO_DISTRIBUTED_ROWS) > AUTO_DISTRIBUTED_ROWS
         quantile_strategy = "distributed" if big else "percentile"
     p99 = []
     if quantile_strategy == "percentile":

@@ -108,10 +108,11 @@ def rolling_zscores(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qu
     return stats.withColumn("zscore", z)
 
 
-def longest_series(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the longest series (one aggregate; partial counts are combined map-side)."""
-    row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+def longest_series(df: DataFrame, group_cols: Sequence[str], threshold: int | None = None) -> int:
+    """Row count of the longest series, or the total row count when that is within
+    ``threshold`` (it bounds every series, and needs no grouping)."""
+    from fleetlake.operators.quantile import largest_group
+    return largest_group(df, group_cols, threshold)
 
 
 def drift_alerts(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit_id"),
@@ -130,7 +131,8 @@ def drift_alerts(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit
     """
     if block_rows == "auto":
         probe = size_probe if size_probe is not None else df
-        block_rows = AUTO_BLOCK_ROWS if longest_series(probe, group_cols) > AUTO_BLOCK_ROWS else None
+        longest = longest_series(probe, group_cols, AUTO_BLOCK_ROWS)
+        block_rows = AUTO_BLOCK_ROWS if longest > AUTO_BLOCK_ROWS else None
     z = rolling_zscores(df, group_cols, order_cols, metrics, window, min_history, carry, block_rows)
     alerts = z.where(F.abs(F.col("zscore")) >= threshold)
     # The series' time column is reported; further ordering columns only break ties.

@@ -83,7 +83,16 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     return g.select(*group_cols, *out)
 
 
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the largest group (one partial-aggregated count)."""
+def largest_group(df: DataFrame, group_cols: Sequence[str], threshold: int | None = None) -> int:
+    """Row count of the largest group (one partial-aggregated count).
+
+    With ``threshold``, the total row count is taken first (no columns read): it
+    bounds every group, so when it is within the threshold no grouping is needed
+    and the total is returned as the (upper-bound) answer.
+    """
+    if threshold is not None:
+        total = df.count()
+        if total <= threshold:
+            return total
     row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
     return int(row[0] or 0)
