@@ -93,3 +93,20 @@ def test_event_date_filter_prunes_bronze_partitions(spark, scratch):
     pf = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
     assert pf and "date" in pf[0] and "2023-12-01" in pf[0]
     assert q.count() == 1
+
+
+def test_continuous_ingest_picks_up_new_files(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    broot, rroot = os.path.join(scratch, "bronze"), os.path.join(scratch, "rejects")
+    q = start_ingest(file_messages(spark, landing, TELEMETRY.topic), TELEMETRY, broot, rroot,
+                     os.path.join(scratch, "ckpt"), processing_time="1 second")
+    try:
+        for n, name in ((3, "a.json"), (4, "b.json")):
+            with open(os.path.join(landing, name), "w") as fh:
+                fh.write("\n".join(_event(i + 10 * n) for i in range(n)))
+            q.processAllAvailable()
+        assert bronze.scan_bronze(spark, broot, TELEMETRY).count() == 7
+        assert q.lastProgress is not None
+    finally:
+        q.stop()
