@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetlake.functions.exprs import non_null
 from fleetlake.functions.timestamps import parse_iso_timestamp
 from fleetlake.schemas import FieldSpec, StreamSpec
 
@@ -128,15 +129,21 @@ def parsed(text: Column) -> tuple[Column, Column]:
 
 def structural_violations(v: Column, keys: Column, spec: StreamSpec) -> Column:
     """All structural contract violations, over a frame that already has the
-    ``field_columns`` projected next to ``v`` and ``keys``; ``array<string>``."""
-    required = F.array(*[F.lit(n) for n in spec.names])
-    missing = F.transform(F.array_except(required, keys), lambda k: F.concat(F.lit("required:"), k))
-    extra = F.transform(F.array_except(keys, required), lambda k: F.concat(F.lit("additional:"), k))
-    per_field = F.array_compact(F.array(*[r for f in spec.fields for r in field_rules(f)]))
+    ``field_columns`` projected next to ``v`` and ``keys``; ``array<string>``.
+
+    One ``required:<f>`` per missing key; all unexpected keys in one
+    ``additional:<k1>,<k2>`` (as JSON Schema reports that rule). No lambdas, so the
+    projection stays in whole-stage codegen.
+    """
+    known = F.array(*[F.lit(n) for n in spec.names])
+    extra = F.array_except(keys, known)
+    rules = [_rule(~F.array_contains(keys, F.lit(f.name)), f"required:{f.name}") for f in spec.fields]
+    rules.append(F.when(F.size(extra) > 0, F.concat(F.lit("additional:"), F.array_join(extra, ","))))
+    rules += [r for f in spec.fields for r in field_rules(f)]
     is_object = F.schema_of_variant(v).startswith("OBJECT<")
     return (F.when(v.isNull(), F.array(F.lit("unparsable_json")))
              .when(~is_object, F.array(F.lit("not_object")))
-             .otherwise(F.concat(missing, extra, per_field)))
+             .otherwise(non_null(*rules)))
 
 
 # ---------------------------------------------------------------------------
@@ -184,4 +191,4 @@ def domain_violations(spec: StreamSpec, c: Callable[[str], Column] = F.col) -> C
     rules = DOMAIN_RULES.get(spec.name)
     if rules is None:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*rules(c)))
+    return non_null(*rules(c))

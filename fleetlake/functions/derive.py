@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetlake.functions.exprs import non_null
+
 # Producer rules.
 TARGET_CRYO_TEMP_MK = 15.0          # cryostat set point, mK
 CRYO_STABLE_BAND_MK = 1.0           # stable when |temp - set point| < band
@@ -53,7 +55,7 @@ def health_score(stable, control, network) -> Column:
 
 def active_alerts(stable, control, network) -> Column:
     """M2: alert names appended by rule, in rule order (nulls dropped)."""
-    return F.array_compact(F.array(
+    return non_null(*(
         F.when(~_c(stable), F.lit(ALERT_CRYO)),
         F.when(_c(control) != "nominal", F.lit(ALERT_CONTROL)),
         F.when(_c(network) != "ok", F.lit(ALERT_NETWORK)),

@@ -28,3 +28,12 @@ def any_true(cond: Column) -> Column:
 def count_if(cond: Column) -> Column:
     """``sum(case when cond then 1 else 0 end)`` as BIGINT."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+
+
+def non_null(*items: Column) -> Column:
+    """``array(items...)`` without its nulls, in order (items are distinct names).
+
+    ``array_except(..., array(null))`` instead of ``array_compact``: the latter is a
+    lambda (``filter``), which keeps the whole projection out of whole-stage codegen.
+    """
+    return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
