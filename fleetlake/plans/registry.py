@@ -7,14 +7,23 @@ scalars against the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from fleetlake.functions import contracts, derive
 from fleetlake.operators import aggregates as agg
-from fleetlake.plans import reports
+from fleetlake.operators import quality
+from fleetlake.plans import ingest, reports
 from fleetlake.plans.pipeline import Layers
+from fleetlake.schemas import STREAMS, FieldSpec, StreamSpec
+from fleetlake.session import scratch_path
+from fleetlake.sources import alerts as alert_io
+from fleetlake.sources import bindings, bronze
+from fleetlake.sources.events import encode_events, text_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,18 +68,6 @@ QUERIES.update({
 # Ingestion: the bound streams are encoded as JSON messages (A3) and go through
 # the contract (B1-B5), enrichment (B6) and reject routing.
 # ---------------------------------------------------------------------------
-import uuid  # noqa: E402
-
-from fleetlake.functions import contracts, derive  # noqa: E402
-from fleetlake.operators import quality  # noqa: E402
-from fleetlake.plans import ingest  # noqa: E402
-from fleetlake.schemas import STREAMS  # noqa: E402
-from fleetlake.session import scratch_path  # noqa: E402
-from fleetlake.sources import alerts as alert_io  # noqa: E402
-from fleetlake.sources import bindings, bronze  # noqa: E402
-from fleetlake.sources.events import encode_events, text_events  # noqa: E402
-
-
 def _messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return encode_events(bindings.stream(spark, sf_dir, name), STREAMS[name], carry=("tie",))
 
@@ -176,8 +173,6 @@ def alerts_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contract_props_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 on a real JSON column: ``events.props`` must be ``{"k": integer in 10..90}``."""
-    from fleetlake.schemas import FieldSpec, StreamSpec
-    from pyspark.sql import types as T
     spec = StreamSpec(name="props", topic="events.props", key="event_id",
                       fields=(FieldSpec("k", "integer", T.LongType(), minimum=10, maximum=90),))
     ev = bindings.table(spark, sf_dir, "events")
