@@ -22,24 +22,22 @@ EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 DAY0 = "DATE'1995-01-01'"
 
 
-# Row keys of the bound tables: spreading hashes on these, so a scan still reads
-# only the columns a query uses (plus the key).
-TABLE_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",),
-              "events": ("event_id",), "customer": ("c_custkey",), "supplier": ("s_suppkey",)}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), TABLE_KEYS.get(name))
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
-def spread(df: DataFrame, keys=None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread an under-partitioned input over the cluster before per-row work.
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-partitioned input evenly over the cluster before per-row work.
 
     A scan yields one task per Parquet row group at most; a one-row-group file
     would run all per-row work (JSON encode/parse, contracts) in a single task.
     Only then is a shuffle added -- a large, many-file input is left as it is.
-    Hashing on the row key is deterministic on retry without the local sort a
-    round-robin repartition performs first, and keeps column pruning intact.
+
+    Round-robin, not a column hash: a key (or a group of identical copies) that
+    holds a third of the rows still spreads evenly, no column is read for it, and
+    filters are still pushed through to the scan (a random salt would block that).
+    Spark sorts each input partition locally first, so a retried task reproduces
+    the same assignment.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -47,7 +45,7 @@ def spread(df: DataFrame, keys=None, min_partitions: int | None = None) -> DataF
     except Exception:  # noqa: BLE001 -- e.g. a Spark Connect session: leave the scan as it is
         return df
     if have * 2 <= want:
-        return df.repartition(want, *(keys or df.columns))
+        return df.repartition(want)
     return df
 
 
