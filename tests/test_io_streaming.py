@@ -110,3 +110,37 @@ def test_continuous_ingest_picks_up_new_files(spark, scratch):
         assert q.lastProgress is not None
     finally:
         q.stop()
+
+
+def test_continuous_ingest_from_a_producing_stream(spark, scratch):
+    """A stand-in for a Kafka topic: Spark's rate source produces telemetry JSON
+    continuously (every 7th event violates T2 <= 2*T1); the same driver ingests it."""
+    src = spark.readStream.format("rate").option("rowsPerSecond", 40).load()
+    v = F.col("value")
+    events = src.select(
+        F.concat(F.lit("dev_"), (v % 4).cast("string")).alias("key"),
+        F.to_json(F.struct(
+            F.concat(F.lit("e-"), v.cast("string")).alias("event_id"),
+            F.concat(F.lit("dev_"), (v % 4).cast("string")).alias("device_id"),
+            (v % 16).cast("int").alias("qubit_id"),
+            F.lit(100.0).alias("T1_us"),
+            F.when(v % 7 == 0, F.lit(250.0)).otherwise(F.lit(120.0)).alias("T2_us"),
+            F.lit(0.001).alias("gate_error_1q"), F.lit(0.006).alias("gate_error_2q"),
+            F.lit(0.98).alias("readout_fidelity"),
+            F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+        )).alias("value"),
+        F.lit(TELEMETRY.topic).alias("topic"))
+    broot, rroot = os.path.join(scratch, "bronze"), os.path.join(scratch, "rejects")
+    q = start_ingest(events, TELEMETRY, broot, rroot, os.path.join(scratch, "ckpt"), processing_time="1 second")
+    try:
+        import time
+        deadline = time.time() + 60
+        while time.time() < deadline and (q.lastProgress is None or q.lastProgress["batchId"] < 3):
+            time.sleep(0.5)
+        assert q.isActive and q.exception() is None
+    finally:
+        q.stop()
+    good = bronze.scan_bronze(spark, broot, TELEMETRY).count()
+    bad = spark.read.parquet(os.path.join(rroot, "telemetry"))
+    assert good > 0 and bad.count() > 0
+    assert {v for r in bad.collect() for v in r["_violations"]} == {"t2_exceeds_2x_t1"}
