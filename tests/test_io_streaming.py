@@ -144,3 +144,15 @@ def test_continuous_ingest_from_a_producing_stream(spark, scratch):
     bad = spark.read.parquet(os.path.join(rroot, "telemetry"))
     assert good > 0 and bad.count() > 0
     assert {v for r in bad.collect() for v in r["_violations"]} == {"t2_exceeds_2x_t1"}
+
+
+def test_bronze_scan_unions_files_by_name(spark, scratch):
+    # an older file without readout_fidelity next to a current one
+    msgs = spark.createDataFrame([(_event(1),), (_event(2),)], "value string")
+    valid = ingest.split(msgs, TELEMETRY).valid
+    old = valid.where("event_id = 'e1'").drop("readout_fidelity")
+    old.write.mode("append").partitionBy("date", "device_id").parquet(os.path.join(scratch, "telemetry"))
+    bronze.write_bronze(valid.where("event_id = 'e2'"), scratch, TELEMETRY)
+    raw = bronze.typed_projection(bronze.scan_bronze(spark, scratch, TELEMETRY), TELEMETRY)
+    got = {r["event_id"]: r["readout_fidelity"] for r in raw.collect()}
+    assert got == {"e1": None, "e2": 0.98}
