@@ -10,6 +10,8 @@ operators/  reusable DataFrame operators: latest-per-key, rolling z-score,
             daily aggregates, dimension joins, lateral expansion, quality checks
 plans/      silver, gold, reports, ingestion and the pipeline that chains them
 streaming/  Structured Streaming ingestion driver
+cli.py      the jobs as commands: ingest, build, refresh-mart, drift, report
+oracle.py   independent DuckDB SQL for the registered queries (checks only)
 """
 
 __all__ = ["session"]
