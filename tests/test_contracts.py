@@ -93,11 +93,12 @@ def test_unparsable_records_are_rejected_not_fatal(spark):
 def test_timestamps_normalise_to_utc(spark):
     texts = [_with(GOOD_T, timestamp=t) for t in
              ("2024-01-01T05:00:00+05:00", "2024-01-01T00:00:00Z", "2024-01-01T00:00:00",
-              "2024-01-01T00:00:00.123456Z", "2023-12-31T23:30:00-00:30")]
+              "2024-01-01T00:00:00.123456Z", "2023-12-31T23:30:00-00:30", "2024-01-01T00:00Z",
+              "2024-01-01T01:00+01:00", "2024-01-01")]
     df = spark.createDataFrame([(t,) for t in texts], "value string")
     out = ingest.split(df, TELEMETRY).valid.select("timestamp", "date").collect()
     stamps = sorted(r["timestamp"].isoformat() for r in out)
-    assert stamps[0] == "2024-01-01T00:00:00" and len(stamps) == 5
+    assert stamps[0] == "2024-01-01T00:00:00" and len(stamps) == 8
     assert stamps[-1].endswith(".123456")
     assert {r["date"].isoformat() for r in out} == {"2024-01-01"}
 
