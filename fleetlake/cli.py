@@ -37,6 +37,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--rejects", required=True)
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--max-per-trigger", type=int, default=None)
+    i.add_argument("--min-partitions", type=int, default=None,
+                   help="Kafka: split offset ranges into at least this many tasks (default: cluster cores)")
     i.add_argument("--once", action="store_true")
 
     b = sub.add_parser("build")
@@ -78,6 +80,7 @@ def main(argv: list[str] | None = None) -> int:
             msgs = file_messages(spark, args.files, topic, args.max_per_trigger)
         else:
             msgs = kafka_stream(spark, args.kafka, topic,
+                                min_partitions=args.min_partitions or spark.sparkContext.defaultParallelism,
                                 maxOffsetsPerTrigger=str(args.max_per_trigger or DEFAULT_BATCH_SIZE))
         q = start_ingest(msgs, spec, args.bronze, args.rejects, args.checkpoint, available_now=args.once)
         q.awaitTermination()
