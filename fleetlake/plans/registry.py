@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions import contracts, derive
-from fleetlake.operators import aggregates as agg
 from fleetlake.operators import quality
 from fleetlake.plans import ingest, reports
 from fleetlake.plans.pipeline import Layers
@@ -49,10 +48,9 @@ QUERIES.update({
     "dim_device": _on_layers(lambda L: L.dim_device),
     "dim_qubit": _on_layers(lambda L: L.dim_qubit),
     "fct_telemetry": _on_layers(lambda L: L.fct_telemetry),
-    "p99_by_device_day": _on_layers(lambda L: L.fct_telemetry.groupBy(
-        "device_id", F.col("event_date").alias("date")).agg(
-        agg.exact_quantile("gate_error_1q", 0.99).alias("p99_gate_error_1q"),
-        agg.exact_quantile("gate_error_2q", 0.99).alias("p99_gate_error_2q"))),
+    # F5 through the daily aggregate: the same exact-quantile strategy choice
+    "p99_by_device_day": _on_layers(lambda L: L.daily("telemetry").select(
+        "device_id", "date", "p99_gate_error_1q", "p99_gate_error_2q")),
     "device_reliability_mart": _on_layers(lambda L: L.mart),
     "drift_alerts": _on_layers(lambda L: L.drift_alerts()),
     "mart_listing": _on_layers(lambda L: reports.mart_listing(L.mart)),
