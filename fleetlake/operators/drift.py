@@ -61,6 +61,7 @@ def _series_positions(long: DataFrame, series: Sequence[str], order_cols: Sequen
 
 
 def _stats_columns(w, window_col: str = "value", min_history: int = DEFAULT_MIN_HISTORY):
+    """Mean and sample standard deviation over the frame ``w``, null below ``min_history`` values."""
     n = F.count(window_col).over(w)
     enough = n >= min_history
     return F.when(enough, F.avg(window_col).over(w)), F.when(enough, F.stddev_samp(window_col).over(w))
@@ -99,10 +100,7 @@ def rolling_zscores(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qu
         return stats.withColumn("zscore", z)
     w = (Window.partitionBy(*group_cols, "metric").orderBy(*[F.col(c).asc() for c in order_cols])
          .rowsBetween(-window, -1))
-    n = F.count("value").over(w)
-    enough = n >= min_history
-    mean = F.when(enough, F.avg("value").over(w))
-    sd = F.when(enough, F.stddev_samp("value").over(w))
+    mean, sd = _stats_columns(w, "value", min_history)
     stats = long.select(*ids, "metric", "value", mean.alias("rolling_mean"), sd.alias("rolling_stddev"))
     z = (F.col("value") - F.col("rolling_mean")) / F.nullif(F.col("rolling_stddev"), F.lit(0.0))
     return stats.withColumn("zscore", z)
