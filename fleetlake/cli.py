@@ -2,9 +2,9 @@
 
     python -m fleetlake.cli ingest  --stream telemetry --files DIR | --kafka HOST:PORT
                                     --bronze ROOT --rejects ROOT --checkpoint DIR [--once]
-    python -m fleetlake.cli build   --bronze ROOT --out ROOT [--no-tests]
+    python -m fleetlake.cli build   --bronze ROOT --out ROOT [--no-tests] [--register]
     python -m fleetlake.cli refresh-mart --out ROOT
-    python -m fleetlake.cli drift   --out ROOT --alerts PATH [--window 30 --threshold 2.5 --min-history 5]
+    python -m fleetlake.cli drift   [--out ROOT] --alerts PATH [--window 30 --threshold 2.5 --min-history 5]
     python -m fleetlake.cli report  --out ROOT --name mart_listing|latest_per_device|fleet_kpis|
                                     telemetry_trend|job_status_breakdown|latest_health [--show 20]
 
@@ -45,12 +45,13 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--bronze", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--no-tests", action="store_true")
+    b.add_argument("--register", action="store_true", help="expose tables in the silver/gold databases")
 
     r = sub.add_parser("refresh-mart")
     r.add_argument("--out", required=True)
 
     d = sub.add_parser("drift")
-    d.add_argument("--out", required=True)
+    d.add_argument("--out", default=None, help="tables root (default: find fct_telemetry in the catalog)")
     d.add_argument("--alerts", required=True)
     d.add_argument("--window", type=int, default=30)
     d.add_argument("--threshold", type=float, default=2.5)
@@ -86,7 +87,7 @@ def main(argv: list[str] | None = None) -> int:
         q.awaitTermination()
     elif args.cmd == "build":
         pipeline.build_all(spark, pipeline.Layers.from_bronze(spark, args.bronze), args.out,
-                           run_tests=not args.no_tests)
+                           run_tests=not args.no_tests, register=args.register)
     elif args.cmd == "refresh-mart":
         pipeline.refresh_mart(spark, args.out)
     elif args.cmd == "drift":

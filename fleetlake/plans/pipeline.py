@@ -122,8 +122,13 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, name: str) -> Dat
     return spark.read.parquet(path)
 
 
-def build_all(spark: SparkSession, layers: Layers, root: str, run_tests: bool = True) -> dict[str, DataFrame]:
-    """Build silver, dims, fact and mart in dependency order; then run the quality gate."""
+def build_all(spark: SparkSession, layers: Layers, root: str, run_tests: bool = True,
+              register: bool = False) -> dict[str, DataFrame]:
+    """Build silver, dims, fact and mart in dependency order; then run the quality gate.
+
+    ``register`` also exposes every written table in the catalog, in databases
+    named after their layer (``silver``, ``gold``), for lookup by name.
+    """
     out: dict[str, DataFrame] = {}
     for name in STREAMS:
         out[f"stg_{name}"] = materialize(spark, layers.stg(name), root, f"stg_{name}")
@@ -132,6 +137,11 @@ def build_all(spark: SparkSession, layers: Layers, root: str, run_tests: bool =
     out["fct_telemetry"] = materialize(spark, gold.fct_telemetry(out["stg_telemetry"], out["dim_device"]),
                                        root, "fct_telemetry")
     out["device_reliability_mart"] = refresh_mart(spark, root, out)
+    if register:
+        from fleetlake.sources.catalog import register_tables
+        for name in out:
+            layer = os.path.basename(os.path.dirname(table_path(root, name)))
+            register_tables(spark, {name: table_path(root, name)}, layer)
     if run_tests:
         checks = {n: f(out) for n, f in quality.STANDARD_CHECKS.items()}
         quality.gate(quality.run_checks(spark, checks))
@@ -152,11 +162,19 @@ def refresh_mart(spark: SparkSession, root: str, tables: dict[str, DataFrame] |
     return materialize(spark, mart, root, "device_reliability_mart")
 
 
-def run_drift_detection(spark: SparkSession, root: str, alerts_path: str, **params) -> DataFrame:
+def run_drift_detection(spark: SparkSession, root: str | None, alerts_path: str, **params) -> DataFrame:
     """Drift job: read the written fact, compute alerts (blocked plan for very long
-    series), replace the alert set (A8) and return it as read back (A9)."""
+    series), replace the alert set (A8) and return it as read back (A9).
+
+    With ``root=None`` the fact is found by name in the catalog (A10): the first
+    database, alphabetically, that holds a ``fct_telemetry`` table.
+    """
     from fleetlake.sources import alerts as alert_io
-    fct = spark.read.parquet(table_path(root, "fct_telemetry"))
+    if root is None:
+        from fleetlake.sources.catalog import find_table
+        fct = spark.table(find_table(spark, "fct_telemetry"))
+    else:
+        fct = spark.read.parquet(table_path(root, "fct_telemetry"))
     params.setdefault("block_rows", "auto")
     alert_io.write_alerts(drift_op.presentation_order(drift_op.drift_alerts(fct, **params)), alerts_path)
     return alert_io.read_alerts(spark, alerts_path)

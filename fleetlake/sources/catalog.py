@@ -24,7 +24,9 @@ def find_table(spark: SparkSession, name: str, strict: bool = True) -> str:
 
 
 def register_tables(spark: SparkSession, tables: dict, database: str) -> None:
-    """Expose written pipeline tables under ``database`` (external parquet tables)."""
+    """Expose written pipeline tables under ``database`` as external Parquet tables
+    (re-pointed on every build; dropping an external table keeps its files)."""
     spark.sql(f"create database if not exists `{database}`")
     for name, path in tables.items():
-        spark.sql(f"create table if not exists `{database}`.`{name}` using parquet location '{path}'")
+        spark.sql(f"drop table if exists `{database}`.`{name}`")
+        spark.sql(f"create table `{database}`.`{name}` using parquet location '{path}'")

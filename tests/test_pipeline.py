@@ -54,3 +54,13 @@ def test_end_to_end_from_bronze(spark):
     fct = built["fct_telemetry"]
     assert fct.where("T2_us > 2 * T1_us").count() == 0
     assert run_drift_detection(spark, f"{root}/tables", f"{root}/alerts").count() >= 0
+
+
+def test_registered_tables_and_lookup_by_name(spark):
+    from fleetlake.sources.catalog import find_table
+    root = scratch_path(spark, f"catalog-{uuid.uuid4().hex}")
+    build_all(spark, Layers.from_test_tables(spark, SF), root, register=True)
+    assert find_table(spark, "fct_telemetry") == "`gold`.`fct_telemetry`"
+    assert find_table(spark, "stg_jobs") == "`silver`.`stg_jobs`"
+    alerts = run_drift_detection(spark, None, scratch_path(spark, f"alerts-{uuid.uuid4().hex}"))
+    assert alerts.count() == Layers.from_test_tables(spark, SF).drift_alerts().count()
