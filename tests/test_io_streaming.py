@@ -156,3 +156,14 @@ def test_bronze_scan_unions_files_by_name(spark, scratch):
     raw = bronze.typed_projection(bronze.scan_bronze(spark, scratch, TELEMETRY), TELEMETRY)
     got = {r["event_id"]: r["readout_fidelity"] for r in raw.collect()}
     assert got == {"e1": None, "e2": 0.98}
+
+
+def test_bronze_sink_writes_few_files_per_partition(spark, scratch):
+    from fleetlake.sources import bindings
+    from fleetlake.sources.events import encode_events
+    valid = ingest.split(encode_events(bindings.stream(spark, "/root/testdata/sf0.001", "telemetry"), TELEMETRY),
+                         TELEMETRY).valid
+    bronze.write_bronze(valid, scratch, TELEMETRY)
+    per_dir = [sum(f.endswith(".parquet") for f in fs) for _, _, fs in os.walk(os.path.join(scratch, "telemetry"))]
+    per_dir = [n for n in per_dir if n]
+    assert len(per_dir) > 50 and max(per_dir) <= 2
