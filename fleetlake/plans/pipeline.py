@@ -33,24 +33,27 @@ class Layers:
     ``dim_source()`` the device dimension.
     """
 
-    def __init__(self, raw_source: RawSource, dim_source: Callable[[], DataFrame]):
+    def __init__(self, raw_source: RawSource, dim_source: Callable[[], DataFrame],
+                 probe_source: RawSource | None = None):
         self._raw_source = raw_source
         self._dim_source = dim_source
+        # rows of the raw streams for size probes (counts), without per-row work
+        self._probe_source = probe_source or raw_source
 
     # -- constructors -----------------------------------------------------
     @classmethod
     def from_test_tables(cls, spark: SparkSession, sf_dir: str) -> "Layers":
         """Bind the supplied test tables to the streams (FIXTURES.md part B)."""
-        def raw(name: str) -> DataFrame:
+        def raw(name: str, spread_input: bool = True) -> DataFrame:
             spec = STREAMS[name]
-            rows = bronze.as_bronze_rows(bindings.stream(spark, sf_dir, name), spec)
+            rows = bronze.as_bronze_rows(bindings.stream(spark, sf_dir, name, spread_input), spec)
             return bronze.typed_projection(rows, spec, keep=("tie",))
 
         def dim() -> DataFrame:
             profiles = inline_dimension(spark, bindings.BINDING_PROFILES)
             return conformed_devices(bindings.device_registry(spark, sf_dir), profiles)
 
-        return cls(raw, dim)
+        return cls(raw, dim, probe_source=lambda name: raw(name, spread_input=False))
 
     @classmethod
     def from_bronze(cls, spark: SparkSession, bronze_root: str, dim: DataFrame | None = None) -> "Layers":
@@ -85,7 +88,7 @@ class Layers:
         if name == "telemetry":
             # raw device-days bound the fact's: a cheap probe decides the quantile plan
             return agg.telemetry_daily(self.fct_telemetry, quantile_strategy="auto",
-                                       size_probe=self.raw("telemetry"))
+                                       size_probe=self._probe_source("telemetry"))
         return {"calibration": agg.calibration_daily, "jobs": agg.jobs_daily,
                 "health": agg.health_daily}[name](self.stg(name))
 
@@ -97,7 +100,7 @@ class Layers:
     def drift_alerts(self, **params) -> DataFrame:
         """Drift alerts; a series longer than ``AUTO_BLOCK_ROWS`` switches to the blocked plan."""
         params.setdefault("block_rows", "auto")
-        params.setdefault("size_probe", self.raw("telemetry"))  # raw series bound the fact's
+        params.setdefault("size_probe", self._probe_source("telemetry"))  # raw series bound the fact's
         return drift_op.drift_alerts(self.fct_telemetry, **params)
 
     def tables(self) -> dict[str, DataFrame]:

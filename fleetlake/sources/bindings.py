@@ -22,8 +22,9 @@ EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 DAY0 = "DATE'1995-01-01'"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_input else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -63,9 +64,9 @@ def _device(c: str) -> Column:
     return F.concat(F.lit("dev_"), (F.col(c) % 4).cast("string"))
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
     """lineitem -> telemetry (natural duplicate event ids from the composite key)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread_input)
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("event_id"),
@@ -82,9 +83,9 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calibration(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
     """orders -> calibration runs (run ids repeat through modulo 12000)."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread_input)
     return o.select(
         F.concat(F.lit("run_"), (F.col("o_orderkey") % 12000).cast("string")).alias("run_id"),
         _device("o_custkey").alias("device_id"),
@@ -104,9 +105,9 @@ def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def jobs(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
     """events -> jobs (job ids repeat through modulo 9000; 2 % inconsistent totals)."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", spread_input)
     k = F.get_json_object(F.col("props"), "$.k").cast("double")
     return e.select(
         F.concat(F.lit("job_"), (F.col("event_id") % 9000).cast("string")).alias("job_id"),
@@ -130,9 +131,9 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def health(spark: SparkSession, sf_dir: str) -> DataFrame:
+def health(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
     """customer -> health events (ids repeat through modulo 1400; out-of-range values occur)."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", spread_input)
     cryo = F.lit(4.0) + F.col("c_nationkey") * F.lit(4.2)
     ctrl = F.when(F.col("c_custkey") % 101 == 0, "fault").otherwise("nominal")
     net = F.when(F.col("c_custkey") % 173 == 0, "degraded").otherwise("ok")
@@ -156,8 +157,8 @@ BINDINGS = {"telemetry": telemetry, "calibration": calibration, "jobs": jobs, "h
 SPECS = {"telemetry": TELEMETRY, "calibration": CALIBRATION, "jobs": JOBS, "health": HEALTH}
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return BINDINGS[name](spark, sf_dir)
+def stream(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
+    return BINDINGS[name](spark, sf_dir, spread_input)
 
 
 def device_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
