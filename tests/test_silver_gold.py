@@ -121,3 +121,11 @@ def test_dedup_is_global_across_event_dates(spark):
             ("e1", "d", 0, 110.0, 120.0, 0.001, 0.006, 0.98, T0 + dt.timedelta(days=3), 2.0)]
     out = silver.stg_telemetry(_telemetry(spark, rows)).collect()
     assert len(out) == 1 and out[0]["event_date"] == (T0 + dt.timedelta(days=3)).date()
+
+
+def test_reference_fleet_dimension_expands_to_its_qubits(spark):
+    from fleetlake.sources.dimension import REFERENCE_DEVICES, inline_dimension
+    q = gold.dim_qubit(inline_dimension(spark, REFERENCE_DEVICES))
+    assert q.count() == 127 + 133 + 127 + 127
+    keys = {r["qubit_key"] for r in q.where("qubit_id in (0, 132)").collect()}
+    assert "ibm_fez:q0" in keys and "ibm_torino:q132" in keys and "ibm_fez:q132" not in keys
