@@ -24,3 +24,26 @@ def test_projection_reaches_the_scan(spark):
 def test_fact_dimension_join_is_a_broadcast(spark):
     text = plan_text(entry.queries()["fct_telemetry"](spark, SF))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_dimension_join_falls_back_beyond_its_bound(spark):
+    from fleetlake.operators.joins import join_dimension
+    from fleetlake.plans.pipeline import Layers
+    layers = Layers.from_test_tables(spark, SF)
+    fact, dim = layers.stg("telemetry"), layers.dim_device
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # isolate our own check
+    try:
+        small = plan_text(join_dimension(fact, dim, "device_id"))
+        big = plan_text(join_dimension(fact, dim, "device_id", max_broadcast_rows=1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in small
+    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
+
+
+def test_daily_aggregates_combine_before_the_shuffle(spark):
+    text = plan_text(entry.queries()["calibration_daily"](spark, SF))
+    tree = text.split("\n\n")[0]
+    # partial HashAggregate below the exchange on (device_id, date), final above it
+    assert tree.count("HashAggregate") >= 2
