@@ -34,8 +34,8 @@ def test_dimension_join_falls_back_beyond_its_bound(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # isolate our own check
     try:
-        small = plan_text(join_dimension(fact, dim, "device_id"))
-        big = plan_text(join_dimension(fact, dim, "device_id", max_broadcast_rows=1))
+        small = plan_text(join_dimension(fact, dim, "device_id")).split("\n\n")[0]
+        big = plan_text(join_dimension(fact, dim, "device_id", max_broadcast_rows=1)).split("\n\n")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     # the dimension itself joins its declared profile rows by broadcast; only the
