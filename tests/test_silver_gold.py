@@ -129,3 +129,18 @@ def test_reference_fleet_dimension_expands_to_its_qubits(spark):
     assert q.count() == 127 + 133 + 127 + 127
     keys = {r["qubit_key"] for r in q.where("qubit_id in (0, 132)").collect()}
     assert "ibm_fez:q0" in keys and "ibm_torino:q132" in keys and "ibm_fez:q132" not in keys
+
+
+def test_latest_per_key_null_ordering_matches_desc_nulls_last(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 4000).select(
+        (F.col("id") % 53).alias("k"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 7).alias("ts"),
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 4).alias("tie"),
+        F.col("id").alias("payload"))
+    got = {tuple(r) for r in latest_per_key(df, "k", ["ts", "tie"]).collect()}
+    # the remaining columns break full ties in the aggregate; order the window the same way
+    w = Window.partitionBy("k").orderBy(F.col("ts").desc_nulls_last(), F.col("tie").desc_nulls_last(),
+                                        F.col("payload").desc_nulls_last())
+    want = {tuple(r) for r in df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn").collect()}
+    assert got == want
