@@ -113,3 +113,10 @@ def test_encoder_keeps_null_keys_for_the_contract(spark):
     assert msgs.select("key").where("key like 'dev_%'").count() == msgs.count()
     checked = ingest.validate(msgs, JOBS)
     assert checked.where("array_contains(_violations, 'required:error_code')").count() == 0
+
+
+def test_t2_tolerance_passes_ingest(spark):
+    # 2*T1 + 5e-7 is within the ingest tolerance (1e-6); 2*T1 + 2e-6 is not
+    got = _violations(spark, TELEMETRY, [_with(GOOD_T, T1_us=100.0, T2_us=200.0000005),
+                                         _with(GOOD_T, T1_us=100.0, T2_us=200.000002)])
+    assert got[0] == [] and got[1] == ["t2_exceeds_2x_t1"]
