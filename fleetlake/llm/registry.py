@@ -1,10 +1,12 @@
 """Queries of this subpackage and their SQL, where SQL can express them."""
 
-from fleetlake.llm import mixing, sharding
+from fleetlake.llm import bpe, mixing, sharding, tokenfiles
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op5_sharding": sharding.op5_sharding,
+    "op6_token_files": tokenfiles.op6_token_files,
+    "op8_bpe": bpe.op8_bpe,
 }
 
 ORACLE = {
