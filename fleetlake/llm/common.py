@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def arrow_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
         if b.num_rows == 0:
             continue
         col = b.column(b.schema.get_field_index(column))
-        size = np.nan_to_num(np.asarray(pa.compute.binary_length(col).to_numpy(zero_copy_only=False), dtype=np.float64))
+        size = np.nan_to_num(np.asarray(pc.binary_length(col).to_numpy(zero_copy_only=False), dtype=np.float64))
         group = (np.cumsum(size) // limit).astype(np.int64)
         cuts = np.flatnonzero(np.diff(group)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, b.num_rows]):
@@ -69,7 +70,7 @@ def arrow_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null has no bytes."""
-    col = pa.compute.fill_null(col.cast(pa.large_string()), "")
+    col = pc.fill_null(col.cast(pa.large_string()), "")
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
