@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -45,6 +46,8 @@ class Scratch:
     def cut(self, df: DataFrame) -> DataFrame:
         where = self.path()
         df.write.parquet(where)
+        gc.collect()  # frames that nothing names any more free their shuffle files
+        self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(where)
         out._scratch = where
         return out

@@ -1,9 +1,10 @@
 """Queries of this subpackage and their SQL, where SQL can express them."""
 
-from fleetlake.llm import bpe, mixing, sharding, tokenfiles
+from fleetlake.llm import bpe, mixing, setjoin, sharding, tokenfiles
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_jaccard_join": setjoin.op2_jaccard_join,
     "op5_sharding": sharding.op5_sharding,
     "op6_token_files": tokenfiles.op6_token_files,
     "op8_bpe": bpe.op8_bpe,
