@@ -1,13 +1,15 @@
 """Queries of this subpackage and their SQL, where SQL can express them."""
 
-from fleetlake.llm import bpe, mixing, setjoin, sharding, tokenfiles
+from fleetlake.llm import annsearch, bpe, capjoin, mixing, setjoin, sharding, tokenfiles
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_jaccard_join": setjoin.op2_jaccard_join,
+    "op4_cap_join": capjoin.op4_cap_join,
     "op5_sharding": sharding.op5_sharding,
     "op6_token_files": tokenfiles.op6_token_files,
     "op8_bpe": bpe.op8_bpe,
+    "op9_ann": annsearch.op9_ann,
 }
 
 ORACLE = {
