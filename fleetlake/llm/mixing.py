@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import read_table
+from fleetlake.llm.common import Scratch, read_table
 
 SEED = "mix-1"
 ADDED = ("copy_no", "n_copies", "rate", "shuffle_key")
@@ -41,8 +41,8 @@ def poisson_quantile(u: Column, rate: Column) -> Column:
     return F.when(rate > 500, F.floor(rate + u).cast("int")).otherwise(small)
 
 
-def mix(docs: DataFrame, by: str = "source", weights: dict | None = None, alpha: float = 0.5, epochs: float = 1.0,
-        seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, scratch: Scratch, by: str = "source", weights: dict | None = None, alpha: float = 0.5,
+        epochs: float = 1.0, seed: str = SEED) -> DataFrame:
     """Replicate ``docs`` so that each ``by`` group's expected bytes have its share of the total.
 
     ``weights``: share per group value (a group it doesn't name gets none); default: the group's bytes to the
@@ -61,6 +61,7 @@ def mix(docs: DataFrame, by: str = "source", weights: dict | None = None, alpha:
     rates = groups.join(F.broadcast(total)).select(  # one row
         "_by", F.coalesce(F.try_divide(F.col("_share") * F.lit(float(epochs)) * F.col("_total"),
                                        F.col("_all") * F.col("_bytes")), F.lit(0.0)).alias("_rate"))
+    rates = scratch.cut(rates)  # one row per group; its known size lets Spark choose the join
     body = docs.drop(*ADDED)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     n = body.join(rates, body[by].eqNullSafe(rates["_by"]), "left").drop("_by")
@@ -74,11 +75,11 @@ def mix(docs: DataFrame, by: str = "source", weights: dict | None = None, alpha:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, mixed by source with square-root weights to one epoch."""
-    return mix(read_table(spark, sf_dir, "documents"))
+    return mix(read_table(spark, sf_dir, "documents"), Scratch(spark, "mix"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs).select(*docs.columns)
+    return mix(docs, Scratch(spark, "mix")).select(*docs.columns)
 
 
 ORACLE = """
