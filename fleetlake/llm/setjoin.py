@@ -7,12 +7,13 @@ A document is the set of its distinct 5-word shingles, each a 64-bit hash. Two s
 2. Shingles are put in one global order, rare ones first, by a table of ``SKETCH`` counters filled from all
    documents. Linked sets must share a shingle among their first ``n - ceil(0.8 n) + 1``; sets that share one
    there form a tile. The order decides only how small tiles are; any order gives all links.
-3. Each tile's smallest fingerprint is paired with its other members; a signature of 2 bits per shingle
-   bounds the overlap from above, and what is left is intersected exactly (sorted arrays of the low 48 bits).
-4. Components of these links label the classes. Only tiles with several labels are left: there, members with
-   different labels and sizes in the same or the next band (a band spans a factor 1.25) are paired, bounded,
-   and intersected in the same way. Sets with one label need no further pair, so a group of thousands of near
-   copies costs its size and not its square.
+3. Every class is compared with the smallest and the largest member that most of its tiles name; components of
+   these links label the classes. Then only tiles that hold several labels are left, and in them only pairs of
+   different labels, so a group of thousands of near copies costs its size and not its square.
+4. A tile is cut into blocks of about ``TILE`` members. Its members are banded by signature width (a power of two
+   of at least 2 bits per shingle): a pair of one or two neighbouring bands whose sizes differ by a factor 1.25
+   at most is kept if the bit counts, which bound the overlap from above, let it link. What is kept is
+   intersected exactly (sorted arrays of the hashes' low 48 bits).
 
 Defined cases: a null or empty text, or one without words, has no shingles, n_shingles 0, and its own doc_id
 as component; under 5 words the whole sequence is the one shingle; repeated rows give repeated rows; rows with
@@ -35,6 +36,7 @@ from fleetlake.llm.common import Scratch, arrow_slices, components, mix64, read_
 WORDS = 5
 SKETCH = 1 << 19  # counters of the order table, in all
 SKETCH_ROWS = 64
+TILE = 2048  # members of a tile's block
 _U = np.uint64
 
 
@@ -143,7 +145,72 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         c = {k: b.column(k).to_pylist() for k in ("na", "nb", "sa", "sb")}
         keep = [5 * min(x, y) >= 4 * max(x, y) and 9 * overlap_bound(p, q, x, y) >= 4 * (x + y) for x, y, p, q in zip(*c.values())]
-        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        yield b.select(["a_", "b_"]).filter(pa.array(keep, pa.bool_()))
+
+
+def tile_pairs(n: np.ndarray, label: np.ndarray, sig: list[bytes], side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Members (i, j) of one tile with different labels that sizes and signatures let link.
+
+    ``side``: the block of each member where the tile pairs two blocks (pairs within a block are another tile's).
+    """
+    names, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return np.zeros(0, int), np.zeros(0, int)
+    left = np.flatnonzero(inverse != count.argmax())  # pairs within the largest label aren't asked
+    width = np.array(list(map(len, sig)))
+    out = []
+    for w in np.unique(width[left]):
+        own = left[width[left] == w]
+        for v in (w // 2, w, 2 * w):
+            other = np.flatnonzero(width == v)
+            if not len(other):
+                continue
+            x = np.frombuffer(b"".join(sig[i] for i in own), np.uint64).reshape(len(own), -1)
+            y = np.frombuffer(b"".join(sig[i] for i in other), np.uint64).reshape(len(other), -1)
+            k = min(x.shape[1], y.shape[1])
+            x = np.bitwise_or.reduce(x.reshape(len(own), -1, k), axis=1)
+            y = np.bitwise_or.reduce(y.reshape(len(other), -1, k), axis=1)
+            step = max(1, (1 << 20) // (len(other) * k))
+            for lo in range(0, len(own), step):
+                i = own[lo:lo + step]
+                small, large = np.minimum(n[i][:, None], n[other]), np.maximum(n[i][:, None], n[other])
+                far = np.bitwise_count(x[lo:lo + step, None, :] ^ y[None, :, :]).sum(2, dtype=np.int64)
+                ok = (label[i][:, None] != label[other]) & (5 * small >= 4 * large) & (9 * ((small + large - far) // 2) >= 4 * (small + large))
+                if side is not None:
+                    ok &= side[i][:, None] != side[other]
+                r, c = np.nonzero(ok)
+                out.append((i[r], other[c]))
+    return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (np.zeros(0, int),) * 2
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of fingerprints from rows sorted by tile (tok, bi, bj); each once per partition."""
+    held, seen = None, set()
+
+    def pairs(t: pa.RecordBatch) -> list[tuple[int, int]]:
+        bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
+        fp = t.column("fp").to_numpy()
+        i, j = tile_pairs(t.column("n").to_numpy(), t.column("label").to_numpy(), t.column("sig").to_pylist(),
+                          None if bi == bj else t.column("block").to_numpy())
+        new = set(zip(np.minimum(fp[i], fp[j]).tolist(), np.maximum(fp[i], fp[j]).tolist())) - seen
+        if len(seen) < 1_000_000:  # only spares rows: the pairs are made distinct afterwards
+            seen.update(new)
+        return list(new)
+
+    def out(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["a_", "b_"])
+
+    for b in batches:
+        t = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+        k = np.column_stack([t.column(c).to_numpy() for c in ("tok", "bi", "bj")])
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1)]
+        rows = []
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            rows += pairs(t.slice(lo, hi - lo))
+        held = t.slice(cuts[-1])
+        yield out(rows)
+    if held is not None and held.num_rows:
+        yield out(pairs(held))
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,18 +245,22 @@ class JaccardJoin:
 
     def tiles(self) -> None:
         post = self.docs.where("doc_id IS NOT NULL").mapInArrow(_postings(self.level), "tok long, fp long")
-        shared = post.groupBy("tok").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other")).where("pivot <> other")
-        shared = self.s.cut(shared.select("tok", "pivot"))
+        shared = post.groupBy("tok").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high")
+        shared = self.s.cut(shared)
         self.posts = self.s.cut(post.join(shared, "tok"))
         self.s.drop(shared)
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) of fingerprints, the linked ones as pairs of ids."""
+    def verify(self, pairs: DataFrame, bounded: bool) -> DataFrame:
+        """Of pairs (a_, b_) of fingerprints, the linked ones as pairs of ids (a, b)."""
         r = self.reps
-        pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a_")
-                 .join(r.select(F.col("fp").alias("b_"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b_"))
-        pairs = self.s.cut(pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_bounded, "a long, b long"))
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        if not bounded:
+            pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a_")
+                     .join(r.select(F.col("fp").alias("b_"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b_"))
+            pairs = pairs.select("a_", "b_", "na", "nb", "sa", "sb").mapInArrow(_bounded, "a_ long, b_ long")
+        pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("id").alias("a")), "a_")
+                 .join(r.select(F.col("fp").alias("b_"), F.col("id").alias("b")), "b_"))
+        pairs = self.s.cut(pairs.select("a", "b"))
+        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
         arrays = self.docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
         arrays = self.s.cut(arrays.mapInArrow(_arrays, "id long, arr binary").dropDuplicates(["id"]))
         both = (pairs.join(arrays.select(F.col("id").alias("b"), F.col("arr").alias("xb")), "b")
@@ -199,25 +270,29 @@ class JaccardJoin:
         return out
 
     def label(self) -> None:
-        star = self.posts.where("fp <> pivot").select(F.col("pivot").alias("a_"), F.col("fp").alias("b_")).distinct()
-        self.edges = self.verify(star)
+        """Labels from two links at most per class: to the smallest and to the largest fingerprint of its tiles,
+        the ones that most of its tiles name. They only save work; ``mixed`` finds every other link."""
+        stars = []
+        for end in ("low", "high"):
+            votes = self.posts.where(F.col("fp") != F.col(end)).groupBy("fp", end).agg(F.count("*").alias("c"))
+            stars.append(votes.groupBy("fp").agg(F.max_by(end, F.struct("c", end)).alias("b_"))
+                         .select(F.least("fp", "b_").alias("a_"), F.greatest("fp", "b_").alias("b_")))
+        self.edges = self.verify(stars[0].unionByName(stars[1]).distinct(), bounded=False)
         labels = components(self.edges, self.s)
         self.labelled = self.s.cut(self.reps.join(labels, "id", "left").select(
-            "fp", "n", F.coalesce("component", "id").alias("label")))
+            "fp", "n", "sig", F.coalesce("component", "id").alias("label")))
 
     def mixed(self) -> None:
         """Links between labels, from tiles that hold several."""
-        rows = self.s.cut(self.posts.select("tok", "fp").join(self.labelled, "fp"))
-        several = rows.groupBy("tok").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("tok")
-        rows = self.s.cut(rows.join(several, "tok").select(
-            "tok", "fp", "n", "label", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int").alias("band")))
-        x = rows.select("tok", "band", F.col("fp").alias("a_"), F.col("n").alias("na"), F.col("label").alias("la"))
-        # the larger of a pair stands in the smaller's band or the one above
-        y = rows.select("tok", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
-                        F.col("fp").alias("b_"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        pairs = x.join(y, ["tok", "band"]).where(
-            "la <> lb AND nb * 4 <= na * 5 AND (na < nb OR na = nb AND a_ < b_)").select("a_", "b_").distinct()
-        more = self.verify(pairs)
+        rows = self.s.cut(self.posts.select("tok", "fp").distinct().join(self.labelled.select("fp", "label"), "fp"))
+        several = self.s.cut(rows.groupBy("tok").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("c"))
+                             .where("x <> y").select("tok", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")))
+        rows = (rows.select("tok", "fp").join(several, "tok").join(self.labelled, "fp")
+                .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .select("tok", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "fp", "n", "label", "sig"))
+        pairs = rows.repartition("tok", "bi", "bj").sortWithinPartitions("tok", "bi", "bj").mapInArrow(_tiles, "a_ long, b_ long")
+        more = self.verify(self.s.cut(pairs.distinct()), bounded=True)
         self.edges = self.s.cut(self.edges.unionByName(more))
 
     def result(self) -> DataFrame:
