@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL, where SQL can express them."""
 
-from fleetlake.llm import annsearch, bpe, capjoin, mixing, setjoin, sharding, tokenfiles
+from fleetlake.llm import annsearch, bpe, capjoin, mixing, setjoin, sharding, tokenfiles, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_token_files": tokenfiles.op6_token_files,
     "op8_bpe": bpe.op8_bpe,
     "op9_ann": annsearch.op9_ann,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {
