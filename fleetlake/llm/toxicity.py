@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
 Examples: of the labelled rows that may be learnt from, at most ``EXAMPLES`` of each label (smallest hash of
-doc_id). Terms are words and their first 4 and 5 letters; those that the examples tie to the label (chi-square of
+doc_id). Terms are words and their first 4 to 7 letters; those that the examples tie to the label (chi-square of
 at least ``CHI``, at most ``TERMS`` of them) span the vectors. Inverse document frequencies come from all documents.
 An inverted index holds the examples' weights in blocks of ``BLOCK`` with each term's largest weight per block;
 blocks are scored in the order of their upper bound until it falls under the k-th cosine, so the k nearest are exact.
@@ -30,9 +30,10 @@ from fleetlake.llm.common import Scratch, arrow_slices, read_table
 
 EXAMPLES = 3000
 TERMS = 4096
-CHI = 30.0
+CHI = 50.0
 BLOCK = 64
 NEIGHBOURS = 15
+HEADS = (4, 5, 6, 7)  # letters of a word that are a term of their own
 PRIOR_WEIGHT = 0.2  # cosine mass of the prior in a vote
 THRESHOLD = 0.7
 _word = re.compile(r"[^\W\d_]+")
@@ -42,9 +43,9 @@ def terms_of(text: str | None) -> Counter:
     words = Counter(_word.findall((text or "").lower()))
     out = Counter(words)
     for w, n in words.items():
-        if len(w) > 5:
-            out["^" + w[:4]] += n
-            out["^" + w[:5]] += n
+        for k in HEADS:
+            if len(w) > k:
+                out["^" + w[:k]] += n
     return out
 
 
@@ -71,11 +72,9 @@ def _vectors(vocabulary, extra: list[str]):
                     i = words.get(w)
                     if i is not None:
                         got[i] = got.get(i, 0) + n
-                    if len(w) > 5:
-                        for h in (w[:4], w[:5]):
-                            i = heads.get(h)
-                            if i is not None:
-                                got[i] = got.get(i, 0) + n
+                    for k in HEADS:
+                        if len(w) > k and (i := heads.get(w[:k])) is not None:
+                            got[i] = got.get(i, 0) + n
                 keys = sorted(got)
                 at.append(keys)
                 tf.append([got[k] for k in keys])
