@@ -1,10 +1,11 @@
 """Queries of this subpackage and their SQL, where SQL can express them."""
 
-from fleetlake.llm import annsearch, bpe, capjoin, mixing, setjoin, sharding, tokenfiles, toxicity
+from fleetlake.llm import annsearch, bpe, capjoin, mixing, passages, setjoin, sharding, tokenfiles, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_jaccard_join": setjoin.op2_jaccard_join,
+    "op3_passages": passages.op3_passages,
     "op4_cap_join": capjoin.op4_cap_join,
     "op5_sharding": sharding.op5_sharding,
     "op6_token_files": tokenfiles.op6_token_files,
