@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL, where SQL can express them."""
 
-from fleetlake.llm import annsearch, bpe, capjoin, mixing, passages, setjoin, sharding, tokenfiles, toxicity
+from fleetlake.llm import annsearch, bpe, capjoin, langid, mixing, passages, setjoin, sharding, tokenfiles, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_cap_join": capjoin.op4_cap_join,
     "op5_sharding": sharding.op5_sharding,
     "op6_token_files": tokenfiles.op6_token_files,
+    "op7_language_id": langid.op7_language_id,
     "op8_bpe": bpe.op8_bpe,
     "op9_ann": annsearch.op9_ann,
     "op10_toxicity": toxicity.op10_toxicity,
