@@ -83,6 +83,17 @@ def _vectors(vocabulary, extra: list[str]):
     return run
 
 
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, documents) of a partition."""
+    total = np.zeros(0, np.int64)
+    for b in batches:
+        c = np.bincount(b.column("terms").flatten().to_numpy(), minlength=len(total))
+        c[:len(total)] += total
+        total = c
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["t", "c"])
+
+
 class BlockMaxIndex:
     """Examples as unit TF-IDF vectors, searched block by block."""
 
@@ -227,7 +238,8 @@ def score_documents(docs: DataFrame, labelled: DataFrame, scratch: Scratch) -> D
     kind = "terms array<int>, tf array<int>"
     rows = scratch.cut(docs.mapInArrow(_vectors(words, ["doc_id"]), "doc_id long, " + kind))
     # document frequencies over all documents: at most TERMS rows
-    df = {r.t: r.c for r in rows.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("c")).collect()}
+    df = {r.t: r.c for r in rows.select("terms").mapInArrow(_document_counts, "t int, c long")
+          .groupBy("t").agg(F.sum("c").alias("c")).collect()}
     n = rows.count()
     idf = np.array([math.log((1 + n) / (1 + df.get(i, 0))) + 1 for i in range(len(number))])
     own = sorted(body.select("doc_id", "y", "text").mapInArrow(_vectors(words, ["doc_id", "y"]), "doc_id long, y int, " + kind).collect(),
