@@ -123,8 +123,8 @@ def identify(rows: DataFrame, model, names: list[str], scratch: Scratch, markup:
         return scratch.cut(scored.where(F.col(by).isNotNull()).groupBy(by).agg(*sums).select(
             by, F.array(*(F.col(f"s{i}") for i in range(n))).alias(name)))
 
-    whole = scored.agg(*sums).select(F.array(*(F.coalesce(F.col(f"s{i}"), F.lit(0.0)) for i in range(n))).alias("all"))
-    out = scored.join(F.broadcast(whole))  # one row
+    whole = scored.agg(*sums).first()  # one number per language
+    out = scored.withColumn("all", F.array(*(F.lit(float(x or 0.0)) for x in whole)))
     for by in ("host", "suffix", "declared"):
         out = out.join(table(by, f"by_{by}"), by, "left")
 

@@ -56,12 +56,12 @@ def mix(docs: DataFrame, scratch: Scratch, by: str = "source", weights: dict | N
         share = F.lit(0.0)
         for k, v in weights.items():
             share = F.when(F.col("_by").eqNullSafe(F.lit(k)), F.lit(float(v))).otherwise(share)
-    groups = groups.withColumn("_share", share)
-    total = groups.agg(F.sum("_share").alias("_all"), F.sum("_bytes").alias("_total"))
-    rates = groups.join(F.broadcast(total)).select(  # one row
-        "_by", F.coalesce(F.try_divide(F.col("_share") * F.lit(float(epochs)) * F.col("_total"),
-                                       F.col("_all") * F.col("_bytes")), F.lit(0.0)).alias("_rate"))
-    rates = scratch.cut(rates)  # one row per group; its known size lets Spark choose the join
+    # one row per group; its written size lets Spark choose the join below
+    groups = scratch.cut(groups.withColumn("_share", share))
+    total = groups.agg(F.sum("_share").alias("share"), F.sum("_bytes").alias("bytes")).first()
+    rates = groups.select("_by", F.coalesce(F.try_divide(
+        F.col("_share") * F.lit(float(epochs)) * F.lit(total.bytes or 0),
+        F.lit(float(total.share or 0)) * F.col("_bytes")), F.lit(0.0)).alias("_rate"))
     body = docs.drop(*ADDED)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     n = body.join(rates, body[by].eqNullSafe(rates["_by"]), "left").drop("_by")
