@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "ingest":
         from fleetlake.sources.events import kafka_stream
-        from fleetlake.streaming.ingest import DEFAULT_BATCH_SIZE, file_messages, start_ingest
+        from fleetlake.streaming.ingest import file_messages, start_ingest
         spec = STREAMS[args.stream]
         topic = args.topic or spec.topic
         if args.files:
@@ -82,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             msgs = kafka_stream(spark, args.kafka, topic,
                                 min_partitions=args.min_partitions or spark.sparkContext.defaultParallelism,
-                                maxOffsetsPerTrigger=str(args.max_per_trigger or DEFAULT_BATCH_SIZE))
+                                **({"maxOffsetsPerTrigger": str(args.max_per_trigger)} if args.max_per_trigger else {}))
         q = start_ingest(msgs, spec, args.bronze, args.rejects, args.checkpoint, available_now=args.once)
         q.awaitTermination()
     elif args.cmd == "build":

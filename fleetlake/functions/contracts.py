@@ -99,6 +99,9 @@ def field_rules(f: FieldSpec) -> list[Column]:
     ok = type_ok(t, f, F.col(whole_col(f.name)) if f.json_type == "integer" else None)
     present_ok = t.isNotNull() & ok & (t != "VOID")
     out = [_rule(t.isNotNull() & ~ok, f"type:{f.name}")]
+    if f.json_type == "integer":
+        # a whole number that the stored type cannot hold
+        out.append(_rule(present_ok & x.isNull(), f"range:{f.name}"))
     if f.minimum is not None:
         out.append(_rule(present_ok & (x < F.lit(f.minimum)), f"minimum:{f.name}"))
     if f.maximum is not None:
@@ -110,8 +113,8 @@ def field_rules(f: FieldSpec) -> list[Column]:
     if f.pattern is not None:
         out.append(_rule(present_ok & ~x.rlike(f.pattern), f"pattern:{f.name}"))
     if f.json_type == "array" and f.item_type == "string":
-        # every item a string: ARRAY<STRING>, or an empty array (typed ARRAY<VOID>)
-        items_ok = (t == "ARRAY<STRING>") | ((t == "ARRAY<VOID>") & (F.size(x) == 0))
+        # every item a string (a null item leaves the type ARRAY<STRING>), or an empty array (typed ARRAY<VOID>)
+        items_ok = ((t == "ARRAY<STRING>") & (F.size(F.array_compact(x)) == F.size(x))) | ((t == "ARRAY<VOID>") & (F.size(x) == 0))
         out.append(_rule(present_ok & ~items_ok, f"items:{f.name}"))
     if f.json_type == "date-time":
         out.append(_rule(present_ok & x.isNull(), f"timestamp:{f.name}"))
@@ -121,8 +124,8 @@ def field_rules(f: FieldSpec) -> list[Column]:
 def parsed(text: Column) -> tuple[Column, Column]:
     """(VARIANT, top-level keys) of a JSON text; both null when it does not parse.
 
-    Project these once and pass the projected columns on, so the text is parsed
-    once per record however many rules read it.
+    Project these once and pass the projected columns on: the text is read twice
+    per record (value, keys) however many rules read it.
     """
     return F.try_parse_json(text), F.json_object_keys(text)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.exprs import any_true, count_if
-from fleetlake.operators.quantile import AUTO_DISTRIBUTED_ROWS, exact_quantiles, largest_group
+from fleetlake.operators.quantile import exact_quantiles
 
 GRAIN = ("device_id", "date")
 
@@ -23,16 +23,11 @@ def exact_quantile(c: str, q: float):
 
 
 def telemetry_daily(fct: DataFrame, drift_ratio: float = 1.5, q: float = 0.99,
-                    quantile_strategy: str = "percentile", size_probe: DataFrame | None = None) -> DataFrame:
-    """F1. ``quantile_strategy``: ``percentile`` (one aggregate; a group's distinct
-    values meet in one task), ``distributed`` (bounded tasks, see operators/quantile)
-    or ``auto`` (measure the largest device-day first, on ``size_probe`` if given --
-    any frame whose device-days are at least as large, such as the raw stream)."""
+                    quantile_strategy: str = "distributed") -> DataFrame:
+    """F1. ``quantile_strategy``: ``distributed`` (bounded tasks at every size, see
+    operators/quantile) or ``percentile`` (one aggregate; a group's distinct values
+    meet in one task)."""
     c = F.col
-    if quantile_strategy == "auto":
-        probe = size_probe if size_probe is not None else fct
-        big = largest_group(probe, ["device_id", "event_date"], AUTO_DISTRIBUTED_ROWS) > AUTO_DISTRIBUTED_ROWS
-        quantile_strategy = "distributed" if big else "percentile"
     p99 = []
     if quantile_strategy == "percentile":
         p99 = [exact_quantile("gate_error_1q", q).alias("p99_gate_error_1q"),

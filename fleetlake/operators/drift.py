@@ -26,12 +26,12 @@ DEFAULT_WINDOW = 30
 DEFAULT_THRESHOLD = 2.5
 DEFAULT_MIN_HISTORY = 5
 
-# A series longer than this is split into blocks of this many rows (blocked plan).
-AUTO_BLOCK_ROWS = 2_000_000
+# Rows of a series that one window task takes; a longer series is several blocks.
+BLOCK_ROWS = 2_000_000
 
 
 def _series_positions(long: DataFrame, series: Sequence[str], order_cols: Sequence[str],
-                      partitions: int) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """Exact 0-based position of every row within its series, without a per-series task.
 
     Range partitioning on (series, order) splits even a very long series over
@@ -40,7 +40,9 @@ def _series_positions(long: DataFrame, series: Sequence[str], order_cols: Sequen
     partition. Those counts come from a small (partition, series) aggregate.
     """
     keys = [*series, *order_cols]
-    ranged = (long.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+    # without a given number AQE sizes the partitions by bytes
+    dealt = long.repartitionByRange(*keys) if partitions is None else long.repartitionByRange(partitions, *keys)
+    ranged = (dealt.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_id", F.monotonically_increasing_id()))
     # Written once to the shared checkpoint folder: partition ids and row ids must
@@ -53,8 +55,6 @@ def _series_positions(long: DataFrame, series: Sequence[str], order_cols: Sequen
     seg = seg.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     # one row per (range partition, series): bounded by partitions + series
     seg = seg.select("_pid", *series, "_id0", "_off")
-    if seg.count() <= 2_000_000:
-        seg = F.broadcast(seg)
     return (ranged.join(seg, ["_pid", *series])
             .withColumn("_pos", F.col("_off") + F.col("_id") - F.col("_id0"))
             .drop("_pid", "_id", "_id0", "_off"))
@@ -85,8 +85,7 @@ def rolling_zscores(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qu
     if block_rows is not None:
         if block_rows <= window:
             raise ValueError("block_rows must exceed the window")
-        parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        pos = _series_positions(long, [*group_cols, "metric"], order_cols, parts)
+        pos = _series_positions(long, [*group_cols, "metric"], order_cols, partitions)
         own = F.floor(F.col("_pos") / block_rows)
         tail = (F.col("_pos") % block_rows) >= block_rows - window
         blocked = pos.select("*", own.alias("_own"),
@@ -106,31 +105,16 @@ def rolling_zscores(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qu
     return stats.withColumn("zscore", z)
 
 
-def longest_series(df: DataFrame, group_cols: Sequence[str], threshold: int | None = None) -> int:
-    """Row count of the longest series, or the total row count when that is within
-    ``threshold`` (it bounds every series, and needs no grouping)."""
-    from fleetlake.operators.quantile import largest_group
-    return largest_group(df, group_cols, threshold)
-
-
 def drift_alerts(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit_id"),
                  order_cols: Sequence[str] = ("timestamp", "event_id"),
                  metrics: Sequence[str] = DEFAULT_METRICS, window: int = DEFAULT_WINDOW,
                  threshold: float = DEFAULT_THRESHOLD, min_history: int = DEFAULT_MIN_HISTORY,
-                 carry: Sequence[str] = (), block_rows: int | str | None = None,
-                 size_probe: DataFrame | None = None) -> DataFrame:
+                 carry: Sequence[str] = (), block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Alert rows: device, qubit, timestamp, metric, value, rolling mean/stddev, z-score.
 
-    ``block_rows="auto"`` measures the longest series first and switches to the
-    blocked plan when one series exceeds ``AUTO_BLOCK_ROWS`` rows. ``size_probe``
-    may name a cheaper frame whose series are at least as long (e.g. the raw
-    stream the fact is filtered and deduplicated from): an upper bound is enough
-    to decide safely.
+    The blocked plan runs at every size: no task holds more than ``block_rows`` rows
+    of a series (see ``rolling_zscores``).
     """
-    if block_rows == "auto":
-        probe = size_probe if size_probe is not None else df
-        longest = longest_series(probe, group_cols, AUTO_BLOCK_ROWS)
-        block_rows = AUTO_BLOCK_ROWS if longest > AUTO_BLOCK_ROWS else None
     z = rolling_zscores(df, group_cols, order_cols, metrics, window, min_history, carry, block_rows)
     alerts = z.where(F.abs(F.col("zscore")) >= threshold)
     # The series' time column is reported; further ordering columns only break ties.

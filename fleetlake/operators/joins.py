@@ -1,4 +1,4 @@
-"""Join operators: size-checked dimension join (E1), chained left joins at a
+"""Join operators: dimension join (E1), chained left joins at a
 shared grain (E2), and lateral number expansion (E3)."""
 
 from __future__ import annotations
@@ -8,22 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count is at or under this bound;
-# above it the join falls back to a shuffled (sort-merge) join.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension only behind a size check.
-
-    The check counts the dimension (one small job over a table that is one row
-    per device); if it is larger than ``max_broadcast_rows`` the plain join lets
-    Catalyst/AQE pick a shuffled join, so a grown dimension cannot exhaust
-    executor memory.
-    """
-    if dim.count() <= max_broadcast_rows:
-        dim = F.broadcast(dim)
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Join a fact to a dimension. Spark broadcasts it while its bytes are known to be
+    under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond, splitting hot
+    keys at run time; no hint overrides that bound and no job runs to measure it."""
     return fact.join(dim, on=on, how=how)
 
 

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from fleetlake.session import checkpoint_dir
 
-# A group with more rows than this uses the distributed plan under "auto".
-AUTO_DISTRIBUTED_ROWS = 5_000_000
 
-
-def _rank_intervals(counts: DataFrame, group_cols: Sequence[str], value_col: str, partitions: int) -> DataFrame:
+def _rank_intervals(counts: DataFrame, group_cols: Sequence[str], value_col: str,
+                    partitions: int | None = None) -> DataFrame:
     keys = [*group_cols, value_col]
-    ranged = counts.repartitionByRange(partitions, *keys).withColumn("_pid", F.spark_partition_id())
+    # without a given number AQE sizes the partitions by bytes
+    dealt = counts.repartitionByRange(*keys) if partitions is None else counts.repartitionByRange(partitions, *keys)
+    ranged = dealt.withColumn("_pid", F.spark_partition_id())
     checkpoint_dir(counts.sparkSession)
     ranged = ranged.checkpoint(eager=True)
     inside = Window.partitionBy("_pid", *group_cols).orderBy(value_col) \
@@ -42,8 +42,6 @@ def _rank_intervals(counts: DataFrame, group_cols: Sequence[str], value_col: str
                      F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
                      F.sum("_pn").over(Window.partitionBy(*group_cols)).alias("_n"))
     # one row per (range partition, group): bounded by partitions + groups
-    if seg.count() <= 2_000_000:
-        seg = F.broadcast(seg)
     end = F.col("_off") + F.col("_cum")
     return rows.join(seg, ["_pid", *group_cols]).select(
         *group_cols, value_col, (end - F.col("_c")).alias("_start"), end.alias("_end"), "_n")
@@ -52,10 +50,9 @@ def _rank_intervals(counts: DataFrame, group_cols: Sequence[str], value_col: str
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     quantiles: Mapping[str, float], partitions: int | None = None) -> DataFrame:
     """One row per group with one column per named quantile of ``value_col`` (nulls ignored)."""
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.where(F.col(value_col).isNotNull())
               .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c")))
-    iv = _rank_intervals(counts, group_cols, value_col, parts)
+    iv = _rank_intervals(counts, group_cols, value_col, partitions)
 
     def pos(q: float) -> Column:
         return (F.col("_n") - 1) * F.lit(q)
@@ -81,18 +78,3 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         out.append(F.when((lo_r == hi_r) | (lo_v == hi_v), lo_v)
                    .otherwise((hi_r - h) * lo_v + (h - lo_r) * hi_v).alias(name))
     return g.select(*group_cols, *out)
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str], threshold: int | None = None) -> int:
-    """Row count of the largest group (one partial-aggregated count).
-
-    With ``threshold``, the total row count is taken first (no columns read): it
-    bounds every group, so when it is within the threshold no grouping is needed
-    and the total is returned as the (upper-bound) answer.
-    """
-    if threshold is not None:
-        total = df.count()
-        if total <= threshold:
-            return total
-    row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
-    return int(row[0] or 0)

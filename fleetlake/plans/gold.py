@@ -62,7 +62,7 @@ def device_reliability_mart(telemetry_daily: DataFrame, calibration_daily: DataF
 
 
 def mart_from_layers(fct: DataFrame, stg_calibration: DataFrame, stg_jobs: DataFrame,
-                     stg_health: DataFrame, quantile_strategy: str = "percentile") -> DataFrame:
+                     stg_health: DataFrame, quantile_strategy: str = "distributed") -> DataFrame:
     return device_reliability_mart(agg.telemetry_daily(fct, quantile_strategy=quantile_strategy),
                                    agg.calibration_daily(stg_calibration),
                                    agg.jobs_daily(stg_jobs), agg.health_daily(stg_health))

@@ -64,11 +64,15 @@ def split(messages: DataFrame, spec: StreamSpec, value_col: str = "value",
     the cached relation is a plan boundary -- without it the optimizer pushes the
     two row filters below the rule projections and inlines every rule (and the
     parse) into each filter. Call ``Ingested.release()`` after writing.
+    With ``persist=False`` (for a caller of one output) nothing is cached.
     """
     checked = validate(messages, spec, value_col, carry)
     if persist:
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
-    ok = checked.where(F.size("_violations") == 0)
+        ok = checked.where(F.size("_violations") == 0)
+    else:
+        # an empty list gives one row with a null name; no filter can move below the rules
+        ok = checked.withColumn("_v", F.explode_outer("_violations")).where(F.col("_v").isNull()).drop("_v")
     bad = checked.where(F.size("_violations") > 0).select("value", "_violations", *carry)
     return Ingested(enrich(ok.drop("value", "_violations"), spec), bad, checked if persist else None)
 

@@ -86,9 +86,7 @@ class Layers:
 
     def daily(self, name: str) -> DataFrame:
         if name == "telemetry":
-            # raw device-days bound the fact's: a cheap probe decides the quantile plan
-            return agg.telemetry_daily(self.fct_telemetry, quantile_strategy="auto",
-                                       size_probe=self._probe_source("telemetry"))
+            return agg.telemetry_daily(self.fct_telemetry)
         return {"calibration": agg.calibration_daily, "jobs": agg.jobs_daily,
                 "health": agg.health_daily}[name](self.stg(name))
 
@@ -98,9 +96,7 @@ class Layers:
                                             self.daily("jobs"), self.daily("health"))
 
     def drift_alerts(self, **params) -> DataFrame:
-        """Drift alerts; a series longer than ``AUTO_BLOCK_ROWS`` switches to the blocked plan."""
-        params.setdefault("block_rows", "auto")
-        params.setdefault("size_probe", self._probe_source("telemetry"))  # raw series bound the fact's
+        """Drift alerts, by the blocked plan at every size."""
         return drift_op.drift_alerts(self.fct_telemetry, **params)
 
     def tables(self) -> dict[str, DataFrame]:
@@ -152,12 +148,8 @@ def build_all(spark: SparkSession, layers: Layers, root: str, run_tests: bool =
 
 
 def refresh_mart(spark: SparkSession, root: str, tables: dict[str, DataFrame] | None = None,
-                 quantile_strategy: str = "auto") -> DataFrame:
-    """Q5: rebuild only the mart from the written silver tables and fact.
-
-    The inputs are written tables, so ``auto`` measures the largest device-day
-    with one cheap scan and picks the bounded quantile plan when it is large.
-    """
+                 quantile_strategy: str = "distributed") -> DataFrame:
+    """Q5: rebuild only the mart from the written silver tables and fact."""
     t = tables or {n: spark.read.parquet(table_path(root, n))
                    for n in ("fct_telemetry", "stg_calibration", "stg_jobs", "stg_health")}
     mart = gold.mart_from_layers(t["fct_telemetry"], t["stg_calibration"], t["stg_jobs"], t["stg_health"],
@@ -166,8 +158,7 @@ def refresh_mart(spark: SparkSession, root: str, tables: dict[str, DataFrame] |
 
 
 def run_drift_detection(spark: SparkSession, root: str | None, alerts_path: str, **params) -> DataFrame:
-    """Drift job: read the written fact, compute alerts (blocked plan for very long
-    series), replace the alert set (A8) and return it as read back (A9).
+    """Drift job: read the written fact, compute alerts (blocked plan), replace the alert set (A8) and return it as read back.
 
     With ``root=None`` the fact is found by name in the catalog (A10): the first
     database, alphabetically, that holds a ``fct_telemetry`` table.
@@ -178,6 +169,5 @@ def run_drift_detection(spark: SparkSession, root: str | None, alerts_path: str,
         fct = spark.table(find_table(spark, "fct_telemetry"))
     else:
         fct = spark.read.parquet(table_path(root, "fct_telemetry"))
-    params.setdefault("block_rows", "auto")
     alert_io.write_alerts(drift_op.presentation_order(drift_op.drift_alerts(fct, **params)), alerts_path)
     return alert_io.read_alerts(spark, alerts_path)

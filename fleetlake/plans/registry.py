@@ -96,7 +96,7 @@ def _validate(name: str) -> Query:
 def _enrich(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = STREAMS[name]
-        valid = ingest.split(_messages(spark, sf_dir, name), spec, carry=("tie",)).valid
+        valid = ingest.split(_messages(spark, sf_dir, name), spec, carry=("tie",), persist=False).valid
         return _scalar_arrays(_ntz(valid.drop("_ingested_at")))
     return run
 
@@ -156,7 +156,7 @@ def bronze_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted per partition."""
     spec = STREAMS["telemetry"]
     root = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
-    valid = ingest.split(_messages(spark, sf_dir, "telemetry"), spec).valid
+    valid = ingest.split(_messages(spark, sf_dir, "telemetry"), spec, persist=False).valid
     bronze.write_bronze(valid, root, spec)
     raw = bronze.typed_projection(bronze.scan_bronze(spark, root, spec), spec)
     return raw.groupBy("event_date", "device_id").agg(F.count(F.lit(1)).alias("rows"))
@@ -211,7 +211,8 @@ def dq_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4: violation counts of the standard checks on the built tables, plus the same
     checks on the raw inputs (which do have violations)."""
     L = Layers.from_test_tables(spark, sf_dir)
-    checks = {n: f(L.tables()) for n, f in quality.STANDARD_CHECKS.items()}
+    tables = L.tables()
+    checks = {n: f(tables) for n, f in quality.STANDARD_CHECKS.items()}
     checks["raw_duplicate_calibration_runs"] = quality.duplicate_keys(L.raw("calibration"), "run_id")
     checks["raw_fidelity_range"] = quality.out_of_range(L.raw("telemetry"), "readout_fidelity", 0.5, 1.0)
     return quality.run_checks(spark, checks)

@@ -59,3 +59,25 @@ def test_type_rules_match_json_schema(spark, records):
         for k, kind in KINDS.items():
             flagged = f"type:{k}" in row["_violations"]
             assert flagged == (not expected_ok(kind, rec[k])), (k, rec[k], row["_violations"])
+
+
+def test_whole_numbers_beyond_the_stored_type_and_null_items_are_rejected(spark):
+    import json
+
+    from fleetlake.schemas import STREAMS
+    from fleetlake.plans import ingest
+    rows = []
+    base = {
+        "telemetry": {"event_id": "e", "device_id": "d", "qubit_id": 1, "T1_us": 100.0, "T2_us": 100.0, "gate_error_1q": 0.001,
+                      "gate_error_2q": 0.01, "readout_fidelity": 0.95, "timestamp": "2024-01-01T00:00:00Z"},
+    }
+    spec = STREAMS["telemetry"]
+    names = {f.name for f in spec.fields}
+    msg = {k: v for k, v in base["telemetry"].items() if k in names}
+    for bad in (3000000000, 10**16, 99999999999999999999, 1):
+        rows.append((json.dumps(msg | {"qubit_id": bad}),))
+    got = [r._violations for r in ingest.validate(spark.createDataFrame(rows, "value string"), spec).collect()]
+    assert all("range:qubit_id" in v for v in got[:3]) and "range:qubit_id" not in got[3]
+    items = [(json.dumps({"active_alerts": x}),) for x in (["a", None], ["a"], [])]
+    got = [r._violations for r in ingest.validate(spark.createDataFrame(items, "value string"), STREAMS["health"]).collect()]
+    assert ["items:active_alerts" in v for v in got] == [True, False, False]

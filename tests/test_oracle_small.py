@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fleetlake import oracle
+from fleetlake.plans import registry
 from tools.oracle_check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -18,11 +20,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(registry.QUERIES) - set(entry.oracle_sql())
     assert missing <= {"encode_events"}
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.QUERIES))
 def test_query_matches_oracle(spark, con, key):
     sdf = entry.queries()[key](spark, SF)
     s_rows = [r.asDict() for r in sdf.collect()]
