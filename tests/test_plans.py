@@ -22,16 +22,13 @@ def test_projection_reaches_the_scan(spark):
     assert schema and all("c_name" not in s and "c_mktsegment" not in s for s in schema)
 
 
-def test_fact_dimension_join_is_a_broadcast(spark):
-    text = plan_text(entry.queries()["fct_telemetry"](spark, SF))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-
-
-def test_dimension_join_leaves_the_strategy_to_the_byte_limit(spark):
+def test_dimension_join_follows_the_byte_limit(spark, scratch):
+    """A written dimension of few bytes is broadcast; beyond Spark's byte limit the join shuffles."""
     from fleetlake.operators.joins import join_dimension
     from fleetlake.plans.pipeline import Layers
     layers = Layers.from_test_tables(spark, SF)
-    fact, dim = layers.stg("telemetry"), layers.dim_device
+    layers.dim_device.write.parquet(f"{scratch}/dim")
+    fact, dim = layers.stg("telemetry"), spark.read.parquet(f"{scratch}/dim")
     small = plan_text(join_dimension(fact, dim, "device_id")).split("\n\n")[0]
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -39,7 +36,7 @@ def test_dimension_join_leaves_the_strategy_to_the_byte_limit(spark):
         big = plan_text(join_dimension(fact, dim, "device_id")).split("\n\n")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "SortMergeJoin" in big and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in big and "BroadcastHashJoin" in small and "SortMergeJoin" not in small
 
 
 def test_daily_aggregates_combine_before_the_shuffle(spark):
