@@ -10,7 +10,7 @@ A document is the set of its distinct 5-word shingles, each a 64-bit hash. Two s
 3. Every class is compared with the smallest and the largest member that most of its tiles name; components of
    these links label the classes. Then only tiles that hold several labels are left, and in them only pairs of
    different labels, so a group of thousands of near copies costs its size and not its square.
-4. A tile is cut into blocks of about ``TILE`` members. Its members are banded by signature width (a power of two
+4. A tile of two is its one pair. A larger tile is cut into blocks of about ``TILE`` members. Its members are banded by signature width (a power of two
    of at least 2 bits per shingle): a pair of one or two neighbouring bands whose sizes differ by a factor 1.25
    at most is kept if the bit counts, which bound the overlap from above, let it link. What is kept is
    intersected exactly (sorted arrays of the hashes' low 48 bits).
@@ -250,13 +250,16 @@ class JaccardJoin:
         self.posts = self.s.cut(post.join(shared, "tok"))
         self.s.drop(shared)
 
-    def verify(self, pairs: DataFrame, bounded: bool) -> DataFrame:
+    def bound(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a_, b_) of fingerprints that sizes and signatures let link."""
+        r = self.reps
+        pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a_")
+                 .join(r.select(F.col("fp").alias("b_"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b_"))
+        return pairs.select("a_", "b_", "na", "nb", "sa", "sb").mapInArrow(_bounded, "a_ long, b_ long")
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a_, b_) of fingerprints, the linked ones as pairs of ids (a, b)."""
         r = self.reps
-        if not bounded:
-            pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a_")
-                     .join(r.select(F.col("fp").alias("b_"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b_"))
-            pairs = pairs.select("a_", "b_", "na", "nb", "sa", "sb").mapInArrow(_bounded, "a_ long, b_ long")
         pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("id").alias("a")), "a_")
                  .join(r.select(F.col("fp").alias("b_"), F.col("id").alias("b")), "b_"))
         pairs = self.s.cut(pairs.select("a", "b"))
@@ -277,7 +280,7 @@ class JaccardJoin:
             votes = self.posts.where(F.col("fp") != F.col(end)).groupBy("fp", end).agg(F.count("*").alias("c"))
             stars.append(votes.groupBy("fp").agg(F.max_by(end, F.struct("c", end)).alias("b_"))
                          .select(F.least("fp", "b_").alias("a_"), F.greatest("fp", "b_").alias("b_")))
-        self.edges = self.verify(stars[0].unionByName(stars[1]).distinct(), bounded=False)
+        self.edges = self.verify(self.bound(stars[0].unionByName(stars[1]).distinct()))
         labels = components(self.edges, self.s)
         self.labelled = self.s.cut(self.reps.join(labels, "id", "left").select(
             "fp", "n", "sig", F.coalesce("component", "id").alias("label")))
@@ -285,14 +288,17 @@ class JaccardJoin:
     def mixed(self) -> None:
         """Links between labels, from tiles that hold several."""
         rows = self.s.cut(self.posts.select("tok", "fp").distinct().join(self.labelled.select("fp", "label"), "fp"))
-        several = self.s.cut(rows.groupBy("tok").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("c"))
-                             .where("x <> y").select("tok", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")))
-        rows = (rows.select("tok", "fp").join(several, "tok").join(self.labelled, "fp")
+        several = self.s.cut(rows.groupBy("tok").agg(
+            F.min("label").alias("x"), F.max("label").alias("y"), F.min("fp").alias("a_"), F.max("fp").alias("b_"),
+            F.count("*").alias("c")).where("x <> y").select("tok", "a_", "b_", "c", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")))
+        # a tile of two members is its one pair; many tiles are the same two
+        twos = self.bound(several.where("c = 2").select("a_", "b_").distinct())
+        rows = (rows.select("tok", "fp").join(several.where("c > 2").select("tok", "blocks"), "tok").join(self.labelled, "fp")
                 .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .select("tok", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "fp", "n", "label", "sig"))
         pairs = rows.repartition("tok", "bi", "bj").sortWithinPartitions("tok", "bi", "bj").mapInArrow(_tiles, "a_ long, b_ long")
-        more = self.verify(self.s.cut(pairs.distinct()), bounded=True)
+        more = self.verify(self.s.cut(pairs.unionByName(twos).distinct()))
         self.edges = self.s.cut(self.edges.unionByName(more))
 
     def result(self) -> DataFrame:
