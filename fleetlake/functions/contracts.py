@@ -2,7 +2,7 @@
 
 A contract (``StreamSpec``) compiles to one ``array<string>`` column of violation
 names, evaluated per record on the JVM: the JSON text is parsed once to a
-VARIANT, keys come from ``json_object_keys``, each field's JSON type from
+VARIANT, keys come from that value, each field's JSON type from
 ``schema_of_variant`` and its value from ``try_variant_get``. No Python runs per
 record.
 
@@ -124,10 +124,11 @@ def field_rules(f: FieldSpec) -> list[Column]:
 def parsed(text: Column) -> tuple[Column, Column]:
     """(VARIANT, top-level keys) of a JSON text; both null when it does not parse.
 
-    Project these once and pass the projected columns on: the text is read twice
-    per record (value, keys) however many rules read it.
+    Project these once and pass the projected columns on. The keys come from the
+    parsed value, so the text itself is read once per record.
     """
-    return F.try_parse_json(text), F.json_object_keys(text)
+    v = F.try_parse_json(text)
+    return v, F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
 
 
 def structural_violations(v: Column, keys: Column, spec: StreamSpec) -> Column:

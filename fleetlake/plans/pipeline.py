@@ -33,27 +33,24 @@ class Layers:
     ``dim_source()`` the device dimension.
     """
 
-    def __init__(self, raw_source: RawSource, dim_source: Callable[[], DataFrame],
-                 probe_source: RawSource | None = None):
+    def __init__(self, raw_source: RawSource, dim_source: Callable[[], DataFrame]):
         self._raw_source = raw_source
         self._dim_source = dim_source
-        # rows of the raw streams for size probes (counts), without per-row work
-        self._probe_source = probe_source or raw_source
 
     # -- constructors -----------------------------------------------------
     @classmethod
     def from_test_tables(cls, spark: SparkSession, sf_dir: str) -> "Layers":
         """Bind the supplied test tables to the streams (FIXTURES.md part B)."""
-        def raw(name: str, spread_input: bool = True) -> DataFrame:
+        def raw(name: str) -> DataFrame:
             spec = STREAMS[name]
-            rows = bronze.as_bronze_rows(bindings.stream(spark, sf_dir, name, spread_input), spec)
+            rows = bronze.as_bronze_rows(bindings.stream(spark, sf_dir, name), spec)
             return bronze.typed_projection(rows, spec, keep=("tie",))
 
         def dim() -> DataFrame:
             profiles = inline_dimension(spark, bindings.BINDING_PROFILES)
             return conformed_devices(bindings.device_registry(spark, sf_dir), profiles)
 
-        return cls(raw, dim, probe_source=lambda name: raw(name, spread_input=False))
+        return cls(raw, dim)
 
     @classmethod
     def from_bronze(cls, spark: SparkSession, bronze_root: str, dim: DataFrame | None = None) -> "Layers":
@@ -115,10 +112,17 @@ def table_path(root: str, name: str) -> str:
 
 
 def materialize(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
-    """``create or replace table``: overwrite the table folder, return a scan of it."""
+    """``create or replace table``: overwrite the table folder, return a scan of it.
+
+    Tables with an ``event_date`` (silver, fact) get a folder per date, so that reads
+    bounded by date prune; the REBALANCE hint keeps the files of a date few and large.
+    """
     path = table_path(root, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if "event_date" in df.columns:
+        df.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).select(*df.columns)
 
 
 def build_all(spark: SparkSession, layers: Layers, root: str, run_tests: bool = True,

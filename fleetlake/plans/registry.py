@@ -67,7 +67,8 @@ QUERIES.update({
 # the contract (B1-B5), enrichment (B6) and reject routing.
 # ---------------------------------------------------------------------------
 def _messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return encode_events(bindings.stream(spark, sf_dir, name), STREAMS[name], carry=("tie",))
+    """The bound stream as messages, dealt evenly like a topic's partitions at every size."""
+    return encode_events(bindings.stream(spark, sf_dir, name).hint("rebalance"), STREAMS[name], carry=("tie",))
 
 
 def _ntz(df: DataFrame) -> DataFrame:
@@ -162,6 +163,74 @@ def bronze_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.groupBy("event_date", "device_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _bronze_values(name: str) -> Query:
+    """A4 + A5 by value: accepted rows appended to bronze and scanned back as typed rows."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = STREAMS[name]
+        root = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
+        bronze.write_bronze(ingest.split(_messages(spark, sf_dir, name), spec, persist=False).valid, root, spec)
+        raw = bronze.typed_projection(bronze.scan_bronze(spark, root, spec), spec)
+        return _scalar_arrays(_ntz(raw.drop("_ingested_at")))
+    return run
+
+
+def _encoded(name: str) -> Query:
+    """A3 by value: key, topic and the fields decoded from the JSON text of every message."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = STREAMS[name]
+        schema = T.StructType([T.StructField(f.name, f.spark_type) for f in spec.fields])
+        m = _messages(spark, sf_dir, name).select("key", "topic", "tie", F.from_json("value", schema).alias("v"))
+        return _scalar_arrays(_ntz(m.select("key", "topic", "tie", "v.*")))
+    return run
+
+
+for _s in STREAMS:
+    QUERIES[f"bronze_values_{_s}"] = _bronze_values(_s)
+    QUERIES[f"encoded_{_s}"] = _encoded(_s)
+
+
+def _mutated(value: str, which, changes: list[tuple[str, str]]):
+    """The JSON text with the change numbered ``which`` (from 1); any other number leaves it."""
+    out = F.col(value)
+    for i, (pattern, text) in enumerate(changes, 1):
+        out = F.when(which == i, F.regexp_replace(F.col(value), pattern, text)).otherwise(out)
+    return out
+
+
+# one change per structural rule: pattern in the message, what takes its place
+JOB_CHANGES = [
+    ('"status":"[a-z]+",', ""),                           # required
+    (r"^\{", '{"zz":1,'),                                 # additional
+    (r'"num_shots":(\d+)', '"num_shots":"$1"'),           # type
+    (r'"num_shots":\d+', '"num_shots":3000000000'),       # beyond the stored integer
+    ('"status":"[a-z]+"', '"status":"lost"'),             # enum
+    ('"user_id":"user_', '"user_id":"usr_'),              # pattern
+    (r"\}$", ""),                                         # not JSON
+    ('"timestamp":"[^"]*"', '"timestamp":"20240101"'),    # not an ISO date-time
+    (r'"circuit_depth":\d+', '"circuit_depth":true'),     # type
+]
+HEALTH_CHANGES = [
+    (r'"active_alerts":\[[^\]]*\]', '"active_alerts":["a",null]'),  # items
+    (r'"active_alerts":\[[^\]]*\]', '"active_alerts":["a",1]'),     # items
+    ('"device_id":"[^"]*"', '"device_id":""'),                       # minLength
+]
+
+
+def contract_structural_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: every job and health message, most with one change that breaks one structural rule."""
+    parts = []
+    for name, changes in (("jobs", JOB_CHANGES), ("health", HEALTH_CHANGES)):
+        m = _messages(spark, sf_dir, name)
+        m = m.withColumn("value", _mutated("value", F.col("tie") % (len(changes) + 1), changes))
+        checked = ingest.validate(m, STREAMS[name], carry=("tie",))
+        parts.append(checked.select(F.lit(name).alias("stream"), F.col("tie").cast("long").alias("tie"),
+                                    F.array_join(F.array_sort("_violations"), "|").alias("violations")))
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES["contract_structural"] = contract_structural_q
+
+
 def alerts_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 + A9: drift alerts written as JSON lines and read back with the declared schema."""
     path = scratch_path(spark, f"alerts-{uuid.uuid4().hex}")
@@ -203,6 +272,7 @@ QUERIES.update({
         "job_id", "tie", "total_time_seconds", derive.sla_met("total_time_seconds").alias("derived_sla_met")),
     "dq_duplicate_keys": _on_layers(lambda L: quality.duplicate_keys(L.raw("calibration"), "run_id")),
     "dq_not_null": _on_layers(lambda L: quality.not_null(L.mart, "device_id")),
+    "dq_not_null_raw": _on_layers(lambda L: quality.not_null(L.raw("jobs"), "error_code")),
     "dq_range": _on_layers(lambda L: quality.out_of_range(L.raw("telemetry"), "readout_fidelity", 0.5, 1.0)),
 })
 

@@ -22,32 +22,8 @@ EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 DAY0 = "DATE'1995-01-01'"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_input else df
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-partitioned input evenly over the cluster before per-row work.
-
-    A scan yields one task per Parquet row group at most; a one-row-group file
-    would run all per-row work (JSON encode/parse, contracts) in a single task.
-    Only then is a shuffle added -- a large, many-file input is left as it is.
-
-    Round-robin, not a column hash: a key (or a group of identical copies) that
-    holds a third of the rows still spreads evenly, no column is read for it, and
-    filters are still pushed through to the scan (a random salt would block that).
-    Spark sorts each input partition locally first, so a retried task reproduces
-    the same assignment.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- e.g. a Spark Connect session: leave the scan as it is
-        return df
-    if have * 2 <= want:
-        return df.repartition(want)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def minutes_after_epoch(n: Column) -> Column:
@@ -64,9 +40,9 @@ def _device(c: str) -> Column:
     return F.concat(F.lit("dev_"), (F.col(c) % 4).cast("string"))
 
 
-def telemetry(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> telemetry (natural duplicate event ids from the composite key)."""
-    li = table(spark, sf_dir, "lineitem", spread_input)
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("event_id"),
@@ -83,11 +59,11 @@ def telemetry(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> Da
     )
 
 
-def calibration(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
-    """orders -> calibration runs (run ids repeat through modulo 12000)."""
-    o = table(spark, sf_dir, "orders", spread_input)
+def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> calibration runs (every fifth run id comes twice)."""
+    o = table(spark, sf_dir, "orders")
     return o.select(
-        F.concat(F.lit("run_"), (F.col("o_orderkey") % 12000).cast("string")).alias("run_id"),
+        F.concat(F.lit("run_"), F.expr("o_orderkey * 4 div 5").cast("string")).alias("run_id"),
         _device("o_custkey").alias("device_id"),
         F.when(F.col("o_orderpriority").startswith("1"), "drift_alert")
          .when(F.col("o_orderpriority").startswith("2"), "manual")
@@ -105,12 +81,12 @@ def calibration(spark: SparkSession, sf_dir: str, spread_input: bool = True) ->
     )
 
 
-def jobs(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
-    """events -> jobs (job ids repeat through modulo 9000; 2 % inconsistent totals)."""
-    e = table(spark, sf_dir, "events", spread_input)
+def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> jobs (every ninth job id comes twice; 2 % inconsistent totals)."""
+    e = table(spark, sf_dir, "events")
     k = F.get_json_object(F.col("props"), "$.k").cast("double")
     return e.select(
-        F.concat(F.lit("job_"), (F.col("event_id") % 9000).cast("string")).alias("job_id"),
+        F.concat(F.lit("job_"), F.expr("event_id * 9 div 10").cast("string")).alias("job_id"),
         _device("user_id").alias("device_id"),
         F.format_string("user_%08x", F.col("user_id")).alias("user_id"),
         (F.lit(5) + F.col("event_id") % 495).cast("int").alias("circuit_depth"),
@@ -131,15 +107,15 @@ def jobs(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFra
     )
 
 
-def health(spark: SparkSession, sf_dir: str, spread_input: bool = True) -> DataFrame:
-    """customer -> health events (ids repeat through modulo 1400; out-of-range values occur)."""
-    c = table(spark, sf_dir, "customer", spread_input)
+def health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> health events (every fourteenth id comes twice; out-of-range values occur)."""
+    c = table(spark, sf_dir, "customer")
     cryo = F.lit(4.0) + F.col("c_nationkey") * F.lit(4.2)
     ctrl = F.when(F.col("c_custkey") % 101 == 0, "fault").otherwise("nominal")
     net = F.when(F.col("c_custkey") % 173 == 0, "degraded").otherwise("ok")
     stable = derive.cryo_stable(cryo)
     return c.select(
-        F.concat(F.lit("h_"), (F.col("c_custkey") % 1400).cast("string")).alias("event_id"),
+        F.concat(F.lit("h_"), F.expr("c_custkey * 14 div 15").cast("string")).alias("event_id"),
         _device("c_custkey").alias("device_id"),
         cryo.alias("cryo_temp_mk"),
         stable.alias("cryo_temp_stable"),
@@ -157,8 +133,8 @@ BINDINGS = {"telemetry": telemetry, "calibration": calibration, "jobs": jobs, "h
 SPECS = {"telemetry": TELEMETRY, "calibration": CALIBRATION, "jobs": JOBS, "health": HEALTH}
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
-    return BINDINGS[name](spark, sf_dir, spread_input)
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return BINDINGS[name](spark, sf_dir)
 
 
 def device_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
