@@ -7,13 +7,14 @@ A document is the set of its distinct 5-word shingles, each a 64-bit hash. Two s
 2. Shingles are put in one global order, rare ones first, by a table of ``SKETCH`` counters filled from all
    documents. Linked sets must share a shingle among their first ``n - ceil(0.8 n) + 1``; sets that share one
    there form a tile. The order decides only how small tiles are; any order gives all links.
-3. Every class is compared with the smallest and the largest member that most of its tiles name; components of
-   these links label the classes. Then only tiles that hold several labels are left, and in them only pairs of
-   different labels, so a group of thousands of near copies costs its size and not its square.
-4. A tile of two is its one pair. A larger tile is cut into blocks of about ``TILE`` members. Its members are banded by signature width (a power of two
-   of at least 2 bits per shingle): a pair of one or two neighbouring bands whose sizes differ by a factor 1.25
-   at most is kept if the bit counts, which bound the overlap from above, let it link. What is kept is
-   intersected exactly (sorted arrays of the hashes' low 48 bits).
+3. Every class is compared with the smallest member, the largest and the hub (the one that has most of its prefix
+   in common with others) that most of its tiles name; components of these links label the classes. Then only
+   tiles that hold several labels are left, each set of members once, and in them only pairs of different labels,
+   so a group of thousands of near copies costs its size and not its square.
+4. A tile of two is its one pair. A larger tile is cut into blocks of about ``TILE`` members. Its members are
+   banded by signature width (a power of two of at least 2 bits per shingle): a pair of one or two neighbouring
+   bands whose sizes differ by a factor 1.25 at most is kept if the bit counts, which bound the overlap from
+   above, let it link. What is kept is intersected exactly (sorted arrays of the hashes' low 48 bits).
 
 Defined cases: a null or empty text, or one without words, has no shingles, n_shingles 0, and its own doc_id
 as component; under 5 words the whole sequence is the one shingle; repeated rows give repeated rows; rows with
@@ -273,24 +274,35 @@ class JaccardJoin:
         return out
 
     def label(self) -> None:
-        """Labels from two links at most per class: to the smallest and to the largest fingerprint of its tiles,
-        the ones that most of its tiles name. They only save work; ``mixed`` finds every other link."""
-        stars = []
-        for end in ("low", "high"):
-            votes = self.posts.where(F.col("fp") != F.col(end)).groupBy("fp", end).agg(F.count("*").alias("c"))
-            stars.append(votes.groupBy("fp").agg(F.max_by(end, F.struct("c", end)).alias("b_"))
-                         .select(F.least("fp", "b_").alias("a_"), F.greatest("fp", "b_").alias("b_")))
-        self.edges = self.verify(self.bound(stars[0].unionByName(stars[1]).distinct()))
+        """Labels from three links at most per class: to the smallest and to the largest fingerprint of its tiles and
+        to their hubs, the ones that most of its tiles name. A hub is the member of which the largest part of the
+        prefix is shared: a text that was copied with changes shares all of it, its copies have shingles of their
+        own. Links only save work; ``mixed`` finds every other one."""
+        self.members = self.s.cut(self.posts.select("tok", "fp").distinct())
+        prefix = F.expr("n - (4 * n + 4) div 5 + 1")
+        own = self.s.cut(self.members.groupBy("fp").agg(F.count("*").alias("c")).join(self.reps.select("fp", "n"), "fp")
+                         .select("fp", (F.col("c") / prefix).alias("part")))
+        hubs = self.s.cut(self.members.join(own, "fp").groupBy("tok").agg(F.max_by("fp", F.struct("part", "fp")).alias("hub")))
+        stars = None
+        for end, rows in (("low", self.posts), ("high", self.posts), ("hub", self.members.join(hubs, "tok"))):
+            votes = rows.where(F.col("fp") != F.col(end)).groupBy("fp", end).agg(F.count("*").alias("c"))
+            star = (votes.groupBy("fp").agg(F.max_by(end, F.struct("c", end)).alias("b_"))
+                    .select(F.least("fp", "b_").alias("a_"), F.greatest("fp", "b_").alias("b_")))
+            stars = star if stars is None else stars.unionByName(star)
+        self.edges = self.verify(self.bound(stars.distinct()))
+        self.s.drop(own, hubs)
         labels = components(self.edges, self.s)
         self.labelled = self.s.cut(self.reps.join(labels, "id", "left").select(
             "fp", "n", "sig", F.coalesce("component", "id").alias("label")))
 
     def mixed(self) -> None:
         """Links between labels, from tiles that hold several."""
-        rows = self.s.cut(self.posts.select("tok", "fp").distinct().join(self.labelled.select("fp", "label"), "fp"))
+        rows = self.s.cut(self.members.join(self.labelled.select("fp", "label"), "fp"))
         several = self.s.cut(rows.groupBy("tok").agg(
             F.min("label").alias("x"), F.max("label").alias("y"), F.min("fp").alias("a_"), F.max("fp").alias("b_"),
-            F.count("*").alias("c")).where("x <> y").select("tok", "a_", "b_", "c", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")))
+            F.count("*").alias("c"), F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("all")).where("x <> y")
+            # tiles of the same members ask the same pairs: one of them stays
+            .groupBy("a_", "b_", "c", "all").agg(F.min("tok").alias("tok")).select("tok", "a_", "b_", "c", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")))
         # a tile of two members is its one pair; many tiles are the same two
         twos = self.bound(several.where("c = 2").select("a_", "b_").distinct())
         rows = (rows.select("tok", "fp").join(several.where("c > 2").select("tok", "blocks"), "tok").join(self.labelled, "fp")
