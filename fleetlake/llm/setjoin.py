@@ -7,8 +7,8 @@ A document is the set of its distinct 5-word shingles, each a 64-bit hash. Two s
 2. Shingles are put in one global order, rare ones first, by a table of ``SKETCH`` counters filled from all
    documents. Linked sets must share a shingle among their first ``n - ceil(0.8 n) + 1``; sets that share one
    there form a tile. The order decides only how small tiles are; any order gives all links.
-3. Every class is compared with the smallest member, the largest and the hub (the one that has most of its prefix
-   in common with others) that most of its tiles name; components of these links label the classes. Then only
+3. Every class is compared with the smallest member and the hub (the one that has most of its prefix in common
+   with others) that most of its tiles name; components of these links label the classes. Then only
    tiles that hold several labels are left, each set of members once, and in them only pairs of different labels,
    so a group of thousands of near copies costs its size and not its square.
 4. A tile of two is its one pair. A larger tile is cut into blocks of about ``TILE`` members. Its members are
@@ -246,7 +246,7 @@ class JaccardJoin:
 
     def tiles(self) -> None:
         post = self.docs.where("doc_id IS NOT NULL").mapInArrow(_postings(self.level), "tok long, fp long")
-        shared = post.groupBy("tok").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high")
+        shared = post.groupBy("tok").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("tok", "low")
         shared = self.s.cut(shared)
         self.posts = self.s.cut(post.join(shared, "tok"))
         self.s.drop(shared)
@@ -274,8 +274,8 @@ class JaccardJoin:
         return out
 
     def label(self) -> None:
-        """Labels from three links at most per class: to the smallest and to the largest fingerprint of its tiles and
-        to their hubs, the ones that most of its tiles name. A hub is the member of which the largest part of the
+        """Labels from two links at most per class: to the smallest fingerprint of its tiles and to their hub, the ones
+        that most of its tiles name. A hub is the member of which the largest part of the
         prefix is shared: a text that was copied with changes shares all of it, its copies have shingles of their
         own. Links only save work; ``mixed`` finds every other one."""
         self.members = self.s.cut(self.posts.select("tok", "fp").distinct())
@@ -284,7 +284,7 @@ class JaccardJoin:
                          .select("fp", (F.col("c") / prefix).alias("part")))
         hubs = self.s.cut(self.members.join(own, "fp").groupBy("tok").agg(F.max_by("fp", F.struct("part", "fp")).alias("hub")))
         stars = None
-        for end, rows in (("low", self.posts), ("high", self.posts), ("hub", self.members.join(hubs, "tok"))):
+        for end, rows in (("low", self.posts), ("hub", self.members.join(hubs, "tok"))):
             votes = rows.where(F.col("fp") != F.col(end)).groupBy("fp", end).agg(F.count("*").alias("c"))
             star = (votes.groupBy("fp").agg(F.max_by(end, F.struct("c", end)).alias("b_"))
                     .select(F.least("fp", "b_").alias("a_"), F.greatest("fp", "b_").alias("b_")))

@@ -60,6 +60,21 @@ def test_jaccard_join_equals_brute_force(spark, docs, texts):
     assert {i: r.component_id for i, r in got.items()} == dict(enumerate(root))
 
 
+def test_copies_that_only_link_with_their_original_are_one_class_and_few_pairs(spark):
+    rng = random.Random(9)
+    base = words(rng, 100)
+    texts = []
+    for i in range(60):  # two changed words: 86 of 106 shingles shared with the original, 76 of 116 with each other
+        w = list(base)
+        for k in rng.sample(range(5, 95, 6), 2):
+            w[k] = f"own{i}"
+        texts.append(" ".join(w))
+    texts.insert(30, " ".join(base))
+    join = setjoin.JaccardJoin(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Scratch(spark, "t"))
+    assert {r.component_id for r in join.result().collect()} == {0}
+    assert join.labelled.select("label").distinct().count() == 1  # the links to the hub leave no pairs to ask
+
+
 def test_bitmap_bound_never_undercuts_the_overlap():
     rng = np.random.default_rng(1)
     for _ in range(200):
