@@ -1,10 +1,11 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
 Examples: of the labelled rows that may be learnt from, at most ``EXAMPLES`` of each label (smallest hash of
-doc_id). Terms are words and their first 4 to 7 letters; those that the examples tie to the label (chi-square of
-at least ``CHI``, at most ``TERMS`` of them) span the vectors. Inverse document frequencies come from all documents.
-An inverted index holds the examples' weights in blocks of ``BLOCK`` with each term's largest weight per block;
-blocks are scored in the order of their upper bound until it falls under the k-th cosine, so the k nearest are exact.
+doc_id). Terms are words and their first 4 to 7 letters; all terms of the examples span the vectors. A term's weight
+is its inverse document frequency over all documents times how far it tells the labels apart: the absolute log ratio
+of its smoothed shares in toxic and in other examples, plus ``FLOOR``, so no term is without weight at any size.
+An inverted index holds the examples' weights in blocks of ``BLOCK`` with each term's largest weight per block; the
+``FIRST`` blocks of largest upper bound are scored, then all whose bound reaches the k-th cosine, so the k nearest are exact.
 Their labels vote by cosine, each weighted for how thinly its label was sampled, against a prior; the votes of the
 examples themselves, each without itself, are made a monotone score by pooling adjacent violators.
 
@@ -16,7 +17,7 @@ held out; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,9 +30,10 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import Scratch, arrow_slices, read_table
 
 EXAMPLES = 3000
-TERMS = 4096
-CHI = 50.0
+FLOOR = 0.1  # weight of a term that is as common in both labels
 BLOCK = 64
+FIRST = 8
+KNOWN = 200_000  # words whose terms a task remembers
 NEIGHBOURS = 15
 HEADS = (4, 5, 6, 7)  # letters of a word that are a term of their own
 PRIOR_WEIGHT = 0.2  # cosine mass of the prior in a vote
@@ -60,87 +62,133 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         pa.array([c[i] for c in seen.values()], pa.int64()) for i in (0, 1))], ["term", "p", "q"])
 
 
-def _vectors(vocabulary, extra: list[str]):
+class Terms:
+    """Numbers of a text's terms in a vocabulary."""
+
+    def __init__(self, number: dict[str, int]):
+        self.number, self.known = number, {}
+
+    def of(self, word: str) -> list[int]:
+        got = self.known.get(word)
+        if got is None:
+            names = [word, *("^" + word[:k] for k in HEADS if len(word) > k)]
+            got = [self.number[t] for t in names if t in self.number]
+            if len(self.known) < KNOWN:
+                self.known[word] = got
+        return got
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(term numbers, rising; how often)."""
+        got: dict[int, int] = {}
+        for w, n in Counter(_word.findall((text or "").lower())).items():
+            for i in self.of(w):
+                got[i] = got.get(i, 0) + n
+        at, tf = np.fromiter(got.keys(), np.int64, len(got)), np.fromiter(got.values(), np.int64, len(got))
+        order = np.argsort(at)
+        return at[order], tf[order]
+
+
+def _vectors(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = vocabulary.value
-        words, heads = number, {t[1:]: i for t, i in number.items() if t[0] == "^"}
+        terms = Terms(vocabulary.value)
         for b in arrow_slices(batches):
-            at, tf = [], []
+            rows = [terms.vector(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), *(pa.array([r[k] for r in rows], pa.list_(pa.int32())) for k in (0, 1))],
+                                             ["doc_id", "y", "terms", "tf"])
+    return run
+
+
+def _document_counts(vocabulary):
+    """(term, documents) of a partition; term -1 stands for every document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(vocabulary.value)
+        total = np.zeros(len(terms.number), np.int64)
+        n = 0
+        for b in arrow_slices(batches):
+            n += b.num_rows
             for text in b.column("text").to_pylist():
-                got: dict[int, int] = {}
-                for w, n in Counter(_word.findall((text or "").lower())).items():
-                    i = words.get(w)
-                    if i is not None:
-                        got[i] = got.get(i, 0) + n
-                    for k in HEADS:
-                        if len(w) > k and (i := heads.get(w[:k])) is not None:
-                            got[i] = got.get(i, 0) + n
-                keys = sorted(got)
-                at.append(keys)
-                tf.append([got[k] for k in keys])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in extra), pa.array(at, pa.list_(pa.int32())), pa.array(tf, pa.list_(pa.int32()))],
-                                             [*extra, "terms", "tf"])
+                got = {i for w in set(_word.findall((text or "").lower())) for i in terms.of(w)}
+                total[np.fromiter(got, np.int64, len(got))] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(total[at], n), pa.int64())], ["t", "c"])
     return run
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, documents) of a partition."""
-    total = np.zeros(0, np.int64)
-    for b in batches:
-        c = np.bincount(b.column("terms").flatten().to_numpy(), minlength=len(total))
-        c[:len(total)] += total
-        total = c
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["t", "c"])
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... size[0] of them, then those of start[1], and so on."""
+    return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
 
 
 class BlockMaxIndex:
     """Examples as unit TF-IDF vectors, searched block by block."""
 
+    MADE = ("cell_start", "cell_block", "cell_top", "first_cell")
+
     def __init__(self, ids, labels, terms, tfs, idf: np.ndarray, class_weight: tuple[float, float], prior: float):
         self.idf, self.ids, self.y = idf, np.array(ids, np.int64), np.array(labels, np.int64)
         self.weight = np.array(class_weight)[self.y] if len(self.y) else np.zeros(0)
         self.prior, self.cut_points, self.values = prior, np.zeros(1), np.zeros(1)
         n = len(ids)
         self.blocks = (n + BLOCK - 1) // BLOCK
-        post: dict[int, list[tuple[int, float]]] = {}
-        for i, (t, f) in enumerate(zip(terms, tfs)):
-            for k, w in zip(t, self.unit(t, f)):
-                post.setdefault(k, []).append((i, w))
-        self.post, self.top = {}, {}
-        for k, rows in post.items():
-            at, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            top = np.zeros(self.blocks)
-            np.maximum.at(top, at // BLOCK, w)
-            self.post[k] = (at % BLOCK, w, np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK))
-            self.top[k] = top
+        size = np.array([len(t) for t in terms], np.int64)
+        weights = [self.unit(t, f) for t, f in zip(terms, tfs)]
+        term = np.concatenate([np.asarray(t, np.int64) for t in terms]) if n else np.zeros(0, np.int64)
+        at = np.repeat(np.arange(n), size)
+        order = np.lexsort((at, term))
+        # postings by term and example
+        self.at, self.w = at[order].astype(np.int32), np.concatenate([*weights, np.zeros(0)])[order]
+        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        self._cells()
+
+    def __getstate__(self):
+        return {k: v for k, v in vars(self).items() if k not in self.MADE}  # a broadcast lies on every executor's disk
+
+    def __setstate__(self, state):
+        vars(self).update(state)
+        self._cells()
+
+    def _cells(self) -> None:
+        """A cell is a term's postings in one block."""
+        term, block = np.repeat(np.arange(len(self.idf)), np.diff(self.first)), self.at // BLOCK
+        new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])[:len(term)])
+        self.cell_start = np.append(new, len(term))
+        self.cell_block = block[new]
+        self.cell_top = np.maximum.reduceat(self.w, new) if len(new) else np.zeros(0)
+        self.first_cell = np.searchsorted(term[new], np.arange(len(self.idf) + 1))
 
     def unit(self, terms, tf) -> np.ndarray:
         w = np.log1p(np.asarray(tf, np.float64)) * self.idf[np.asarray(terms, np.int64)]
-        return w / math.sqrt(w @ w) if len(w) else w
+        return w / np.sqrt(w @ w) if len(w) else w
 
     def nearest(self, terms, tf, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples with a cosine over 0, nearest first."""
-        known = [(t, w) for t, w in zip(terms, self.unit(terms, tf)) if t in self.post]
-        if not known:
+        t = np.asarray(terms, np.int64)
+        if not len(t) or not self.blocks:
             return np.zeros(0, int), np.zeros(0)
-        bound = sum(w * self.top[t] for t, w in known)
+        size = self.first_cell[t + 1] - self.first_cell[t]
+        cells, w = _ranges(self.first_cell[t], size), np.repeat(self.unit(t, tf), size)
+        block = self.cell_block[cells]
+        bound = np.bincount(block, w * self.cell_top[cells], self.blocks)
+        order = np.argsort(-bound, kind="stable")
         best_i, best_s = np.zeros(0, int), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best_s) == k and bound[b] < best_s[-1] - 1e-12:
+        for part in (order[:FIRST], order[FIRST:]):
+            part = part[bound[part] > 0]
+            if len(best_s) == k:
+                part = part[bound[part] >= best_s[-1] - 1e-12]
+            if not len(part):
                 break
-            score = np.zeros(BLOCK)
-            for t, w in known:
-                at, ws, ptr = self.post[t]
-                lo, hi = ptr[b], ptr[b + 1]
-                if hi > lo:
-                    score[at[lo:hi]] += w * ws[lo:hi]
-            hit = np.flatnonzero(score > 0)
-            i = hit + b * BLOCK
-            i, s = i[i != without], score[hit][i != without]
-            i, s = np.concatenate([best_i, i]), np.concatenate([best_s, s])
-            order = np.lexsort((i, -s))[:k]
-            best_i, best_s = i[order], s[order]
+            wanted = np.zeros(self.blocks, bool)
+            wanted[part] = True
+            c = wanted[block]
+            lo = self.cell_start[cells[c]]
+            n = self.cell_start[cells[c] + 1] - lo
+            at = _ranges(lo, n)
+            score = np.bincount(self.at[at], self.w[at] * np.repeat(w[c], n))
+            i = np.flatnonzero(score > 0)
+            i = i[i != without]
+            i, s = np.concatenate([best_i, i]), np.concatenate([best_s, score[i]])
+            first = np.lexsort((i, -s))[:k]
+            best_i, best_s = i[first], s[first]
         return best_i, best_s
 
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
@@ -174,25 +222,26 @@ def _own_votes(index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = index.value
         for b in batches:
-            n = b.column("n").to_pylist()
+            n = np.searchsorted(x.ids, b.column("doc_id").to_numpy())
             votes = [x.vote(*x.nearest(t, f, without=i)) for i, t, f in zip(n, b.column("terms").to_pylist(), b.column("tf").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("n"), pa.array(votes, pa.float64())], ["n", "vote"])
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(votes, pa.float64())], ["n", "vote"])
     return run
 
 
 SCHEMA = "doc_id long, score double, nearest_id long, nearest_cosine double, nearest_toxic int"
 
 
-def _scores(index):
+def _scores(index, vocabulary, cut_points, values):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, known = index.value, {}
-        for b in batches:
+        x, terms, known = index.value, Terms(vocabulary.value), {}
+        x.cut_points, x.values = cut_points, values
+        for b in arrow_slices(batches):
             rows = []
-            for t, f in zip(b.column("terms").to_pylist(), b.column("tf").to_pylist()):
-                key = (tuple(t), tuple(f))
+            for text in b.column("text").to_pylist():
+                key = hashlib.md5((text or "").encode()).digest()
                 got = known.get(key)
                 if got is None:
-                    at, cos = x.nearest(t, f)
+                    at, cos = x.nearest(*terms.vector(text))
                     near = (int(x.ids[at[0]]), float(cos[0]), int(x.y[at[0]])) if len(at) else (None, None, None)
                     got = (x.score(x.vote(at, cos)), *near)
                     if len(known) < 50_000:
@@ -205,7 +254,7 @@ def _scores(index):
 
 
 def fit(docs: DataFrame, labelled: DataFrame, scratch: Scratch, examples: int = EXAMPLES):
-    """The vocabulary and an index without document frequencies; ``labelled``: (doc_id, y) to learn from."""
+    """The examples, all their terms and each one's weight before document frequencies; ``labelled``: (doc_id, y) to learn from."""
     count = {r.y: r.c for r in labelled.groupBy("y").agg(F.count("*").alias("c")).collect()}  # two rows
     if set(count) != {0, 1}:
         return None
@@ -215,15 +264,13 @@ def fit(docs: DataFrame, labelled: DataFrame, scratch: Scratch, examples: int =
     size = {r.y: r.c for r in body.groupBy("y").agg(F.count("*").alias("c")).collect()}
     if set(size) != {0, 1}:
         return None
-    a, n1, n0 = F.col("p"), size[1], size[0]
-    both, total = F.col("p") + F.col("q"), n1 + n0
-    gap = (a * n0 - F.col("q") * n1).cast("double")
-    chi = total * gap * gap / (both * (total - both + F.lit(1e-9)) * float(n1) * float(n0))
-    terms = (body.mapInArrow(_example_terms, "term string, p long, q long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
-             .withColumn("chi", chi).where(F.col("chi") >= CHI).orderBy(F.desc("chi"), "term").limit(TERMS).collect())
-    number = {r.term: i for i, r in enumerate(terms)}
+    terms = (body.mapInArrow(_example_terms, "term string, p long, q long").groupBy("term")
+             .agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toArrow().sort_by("term"))  # terms of at most 2 * examples texts
+    number = {t: i for i, t in enumerate(terms["term"].to_pylist())}
+    p, q = (terms[c].to_numpy() for c in ("p", "q"))
+    telling = np.abs(np.log((p + 0.5) / (size[1] + 1)) - np.log((q + 0.5) / (size[0] + 1))) + FLOOR
     share = count[1] / (count[0] + count[1])
-    return body, number, (count[0] / size[0], count[1] / size[1]), share
+    return body, number, telling, (count[0] / size[0], count[1] / size[1]), share
 
 
 def score_documents(docs: DataFrame, labelled: DataFrame, scratch: Scratch) -> DataFrame:
@@ -233,23 +280,23 @@ def score_documents(docs: DataFrame, labelled: DataFrame, scratch: Scratch) -> D
     if fitted is None:
         return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(None).cast("long").alias("nearest_id"),
                            F.lit(None).cast("double").alias("nearest_cosine"), F.lit(None).cast("int").alias("nearest_toxic"))
-    body, number, weights, share = fitted
-    words = spark.sparkContext.broadcast(number)  # at most TERMS
-    kind = "terms array<int>, tf array<int>"
-    rows = scratch.cut(docs.mapInArrow(_vectors(words, ["doc_id"]), "doc_id long, " + kind))
-    # document frequencies over all documents: at most TERMS rows
-    df = {r.t: r.c for r in rows.select("terms").mapInArrow(_document_counts, "t int, c long")
-          .groupBy("t").agg(F.sum("c").alias("c")).collect()}
-    n = rows.count()
-    idf = np.array([math.log((1 + n) / (1 + df.get(i, 0))) + 1 for i in range(len(number))])
-    own = sorted(body.select("doc_id", "y", "text").mapInArrow(_vectors(words, ["doc_id", "y"]), "doc_id long, y int, " + kind).collect(),
-                 key=lambda r: r.doc_id)  # at most 2 * EXAMPLES rows of a few terms
-    index = BlockMaxIndex([r.doc_id for r in own], [r.y for r in own], [r.terms for r in own], [r.tf for r in own], idf, weights, share)
+    body, number, telling, weights, share = fitted
+    words = spark.sparkContext.broadcast(number)  # terms of at most 2 * EXAMPLES texts
+    # document frequencies over all documents: a row a term
+    counts = docs.mapInArrow(_document_counts(words), "t int, c long").groupBy("t").agg(F.sum("c").alias("c")).toArrow()
+    t, c = counts["t"].to_numpy(), counts["c"].to_numpy()
+    df, n = np.zeros(len(number)), int(c[t < 0].sum())
+    df[t[t >= 0]] = c[t >= 0]
+    idf = np.log((1 + n) / (1 + df)) + 1
+    mine = scratch.cut(body.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text")
+                       .mapInArrow(_vectors(words), "doc_id long, y int, terms array<int>, tf array<int>"))
+    own = mine.toArrow().sort_by("doc_id")  # at most 2 * EXAMPLES rows
+    lists = [[x.values.to_numpy() for x in own[name]] for name in ("terms", "tf")]
+    index = BlockMaxIndex(own["doc_id"].to_numpy(), own["y"].to_numpy(), *lists, idf * telling, weights, share)
     shared = spark.sparkContext.broadcast(index)
-    mine = spark.createDataFrame([(i, list(r.terms), list(r.tf)) for i, r in enumerate(own)], "n int, " + kind).repartition(24)
-    votes = {r.n: r.vote for r in mine.mapInArrow(_own_votes(shared), "n int, vote double").collect()}
-    index.calibrate(np.array([votes[i] for i in range(len(own))]))
-    return rows.mapInArrow(_scores(spark.sparkContext.broadcast(index)), SCHEMA)
+    votes = {r.n: r.vote for r in mine.repartition(24).mapInArrow(_own_votes(shared), "n int, vote double").collect()}
+    index.calibrate(np.array([votes[i] for i in range(own.num_rows)]))
+    return docs.mapInArrow(_scores(shared, words, index.cut_points, index.values), SCHEMA)
 
 
 def held_out(col="doc_id"):

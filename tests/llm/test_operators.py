@@ -236,6 +236,26 @@ def test_toxicity_held_out(spark):
     assert read_table(spark, SF, "labels").count() > 0
 
 
+def test_toxicity_learns_a_rare_word_from_few_labels(spark):
+    rng, rows, labels = random.Random(11), [], []
+    for i in range(400):
+        bad = i % 5 == 0  # each of eight slurs is in a tenth of the toxic texts
+        rows.append((i, " ".join(words(rng, 12) + (['abcdefgh'[i // 5 % 8] + "slur"] * 2 if bad else [])), None, "s", 1, 0, ""))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = toxicity.score_documents(docs, toxicity.learnable(spark.createDataFrame(labels, "doc_id long, toxic int")), Scratch(spark, "t"))
+    held = out.withColumn("held", toxicity.held_out()).where("held").collect()
+    assert {r.doc_id for r in held if r.score >= toxicity.THRESHOLD} == {r.doc_id for r in held if r.doc_id % 5 == 0}
+    assert all(r.nearest_id is not None for r in held)
+
+
+def test_toxicity_every_term_of_the_examples_has_weight(spark):
+    docs = spark.createDataFrame([(0, "alpha beta"), (1, "gamma beta"), (2, "alpha delta")], "doc_id long, text string")
+    labelled = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, y int")
+    _, number, telling, _, _ = toxicity.fit(docs, labelled, Scratch(spark, "t"))
+    assert set(number) == {t for x in ("alpha beta", "gamma beta") for t in toxicity.terms_of(x)} and (telling > 0).all()
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(6)
     terms = [sorted(rng.choice(50, rng.integers(1, 8), replace=False).tolist()) for _ in range(500)]
