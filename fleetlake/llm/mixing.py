@@ -12,6 +12,8 @@ the input that clash with an added one are replaced by it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,18 +29,22 @@ def uniform(*parts: Column) -> Column:
 
 
 def poisson_quantile(u: Column, rate: Column) -> Column:
-    """Smallest n with u < P(N <= n), N Poisson with mean ``rate``. Means above 500 are rounded at random by
-    ``u`` instead (exp(-mean) has no double there)."""
-    steps = F.sequence(F.lit(1), (F.least(rate, F.lit(500.0)) + 12 * F.sqrt(F.least(rate, F.lit(500.0))) + 30).cast("int"))
-    none = F.exp(-F.least(rate, F.lit(500.0)))
-    start = F.struct(none.alias("p"), none.alias("c"), F.lit(0).alias("n"))
+    """Smallest n with u < P(N <= n), N Poisson with mean ``rate``. Means above 700 (exp(-mean) has no full double
+    there) start 12 deviations under the mean, where P(N = n) comes from Stirling's series; what lies below is
+    under 1e-30."""
+    large, wide = rate > 700, 12 * F.sqrt(rate) + 30
+    low = F.when(large, F.floor(rate - wide)).otherwise(F.lit(0)).cast("int")
+    steps = F.sequence(low + 1, (rate + wide).cast("int"))
+    x = F.greatest(low, F.lit(1)).cast("double")
+    far = x * F.log1p((F.greatest(rate, x) - x) / x) - (rate - x) - 0.5 * F.log(2 * math.pi * x) - 1 / (12 * x) + 1 / (360 * x * x * x)
+    none = F.when(large, F.exp(far)).otherwise(F.exp(-rate))
+    start = F.struct(none.alias("p"), none.alias("c"), low.alias("n"))
 
     def step(acc: Column, k: Column) -> Column:
         p = acc["p"] * rate / k
         return F.when(acc["c"] <= u, F.struct(p.alias("p"), (acc["c"] + p).alias("c"), k.alias("n"))).otherwise(acc)
 
-    small = F.aggregate(steps, start, step, lambda acc: acc["n"])
-    return F.when(rate > 500, F.floor(rate + u).cast("int")).otherwise(small)
+    return F.aggregate(steps, start, step, lambda acc: acc["n"])
 
 
 def mix(docs: DataFrame, scratch: Scratch, by: str = "source", weights: dict | None = None, alpha: float = 0.5,

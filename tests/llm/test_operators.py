@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, a library or a round trip, on small tables with awkward rows."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -118,6 +119,21 @@ def test_mixing_counts_follow_poisson(spark):
     assert abs(n.mean() - 2.5) < 0.05 and abs(n.var() - 2.5) < 0.12
 
 
+@pytest.mark.parametrize("rate", [0.0, 2.5, 600.3, 720.6, 5000.7, 1000000.5])
+def test_mixing_draws_large_means_from_poisson(spark, rate):
+    us = [0.0001, 0.02, 0.3, 0.5, 0.77, 0.99, 0.9999]
+    got = [r.n for r in spark.createDataFrame([(u,) for u in us], "u double").select(
+        mixing.poisson_quantile(F.col("u"), F.lit(rate)).alias("n"), "u").orderBy("u").collect()]
+    low, c, want = max(0, int(rate - 14 * rate ** 0.5 - 40)), 0.0, []
+    n = low - 1
+    for u in us:
+        while c <= u:
+            n += 1
+            c += math.exp(n * math.log(rate) - rate - math.lgamma(n + 1)) if rate else 1.0
+        want.append(n)
+    assert got == want
+
+
 def test_mixing(spark, docs):
     rows = mixing.mix(docs, Scratch(spark, "t"), weights={"src0": 3.0, None: 1.0}, epochs=4.0).collect()
     again = mixing.mix(docs, Scratch(spark, "t"), weights={"src0": 3.0, None: 1.0}, epochs=4.0).collect()
