@@ -1,7 +1,7 @@
 """Language by fusing evidence: text, declared markup language, address suffix, host.
 
 Text: byte trigrams of the lower-cased text, hashed to ``BUCKETS``; a multinomial model per language is fitted on
-at most ``EXAMPLES`` labelled documents of each (smallest hash of doc_id). A text's mean log-likelihood counts as
+at most ``EXAMPLES`` labelled documents of each language that documents name (smallest hash of doc_id). A text's mean log-likelihood counts as
 ``EVIDENCE`` trigrams at most, since neighbouring ones are not independent. Every row's text posterior is then
 summed by host, by address suffix and by declared language over all rows; a row's prior is its host's share of
 each language, smoothed towards its suffix's, which is smoothed towards the whole table's (``HOST``, ``SUFFIX``:
@@ -27,12 +27,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fleetlake.llm.common import Scratch, arrow_slices, read_table, utf8
 
 BUCKETS = 1 << 15
 EXAMPLES = 1000
-LANGUAGES = 64
+AT_ONCE = 8  # languages whose likelihoods are summed in one go
 EVIDENCE = 100.0
 HOST, SUFFIX, DECLARED = 5.0, 20.0, 5.0
 _drop = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
@@ -68,16 +69,17 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([c.tobytes() for c in total.values()], pa.binary())], ["lang", "counts"])
 
 
-def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame, scratch: Scratch) -> tuple[list[str], np.ndarray]:
     """Languages and log-probabilities (buckets, languages) from a bounded sample of labelled documents."""
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
-    names = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    total = {n: np.zeros(BUCKETS, np.int64) for n in names}
-    for n in names:  # at most LANGUAGES samples of bounded size, counted where they lie
-        part = known.where(F.col("lang") == n).select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
-        for r in part.select("text", "lang").mapInArrow(_counts, "lang string, counts binary").collect():
-            total[r.lang] += np.frombuffer(r.counts, np.int64)
-    names = sorted(names)
+    # ids only; Spark keeps the first EXAMPLES of each language before the shuffle too
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = known.select("doc_id", "lang").withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= EXAMPLES)
+    picked = scratch.cut(picked.select("doc_id", "lang").distinct())  # its written size lets Spark choose the join
+    part = known.select("doc_id", "text", "lang").join(picked, ["doc_id", "lang"], "left_semi").repartition("lang")
+    total = {r.lang: np.frombuffer(r.counts, np.int64)
+             for r in part.select("text", "lang").mapInArrow(_counts, "lang string, counts binary").collect()}  # a row a language
+    names = sorted(total)
     c = np.array([total[n] for n in names], np.float64).reshape(len(names), BUCKETS) + 0.5
     return names, np.log(c / c.sum(1, keepdims=True)).T.copy()
 
@@ -96,9 +98,13 @@ def _likelihoods(model, markup: bool):
                 found = [_host.match(x or "") for x in hosts]
                 hosts = [m.group(1).lower() if m else None for m in found]
             g, start = trigrams(body)
-            run_ = np.concatenate([np.zeros((1, logp.shape[1])), np.cumsum(logp[g], axis=0)])
             n = np.diff(start)
-            ll = (run_[start[1:]] - run_[start[:-1]]) * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
+            ll = np.empty((len(n), logp.shape[1]))
+            for k in range(0, logp.shape[1], AT_ONCE):
+                part = logp[:, k:k + AT_ONCE]
+                run_ = np.concatenate([np.zeros((1, part.shape[1])), np.cumsum(part[g], axis=0)])
+                ll[:, k:k + AT_ONCE] = run_[start[1:]] - run_[start[:-1]]
+            ll *= (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
             ll -= ll.max(1, keepdims=True)
             p = np.exp(ll)
             p /= p.sum(1, keepdims=True)
@@ -113,7 +119,7 @@ def _likelihoods(model, markup: bool):
 def identify(rows: DataFrame, model, names: list[str], scratch: Scratch, markup: bool) -> DataFrame:
     """id, lang, posterior and the evidence, for rows of (id, body, host)."""
     n = len(names)
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # BUCKETS by at most LANGUAGES numbers
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers a language
     kind = "id long, host string, suffix string, declared string, ll array<double>, p array<double>"
     scored = scratch.cut(rows.mapInArrow(_likelihoods(shared, markup), kind))
     sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]
@@ -156,7 +162,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "language")
     docs = read_table(spark, sf_dir, "documents")
     pages = read_table(spark, sf_dir, "pages")
-    names, logp = fit(docs)
+    names, logp = fit(docs, scratch)
     if not names:
         names, logp = ["und"], np.zeros((BUCKETS, 1))
     parts = [(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("body"), F.col("source").alias("host")), False),

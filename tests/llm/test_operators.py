@@ -294,6 +294,17 @@ def test_language_held_out(spark):
     assert sum(r.lang == r.truth for r in rows) >= 0.97 * len(rows)
 
 
+def test_language_of_every_one_that_documents_name(spark, tmp_path):
+    rng, rows = random.Random(3), []
+    for i in range(70):  # the last six have the fewest documents
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+        rows += [(100 * i + k, " ".join(rng.choices(own, k=30)), f"l{i:02d}", "s") for k in range(3 if i < 64 else 2)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.doc_id: r for r in langid.op7_language_id(spark, str(tmp_path)).collect()}
+    assert {i: r.lang for i, r in got.items()} == {r[0]: r[2] for r in rows} and all(r.text_lang == r.lang for r in got.values())
+
+
 @pytest.mark.parametrize("stage", [toxicity.stage, setjoin.stage, passages.stage, mixing.stage, bpe.stage])
 def test_stages_take_empty_and_null_rows(spark, docs, stage):
     assert stage(spark, docs.limit(0), SF).count() == 0
