@@ -1,7 +1,7 @@
 """Substring dedup by collinear chaining.
 
-1. Seeds: of every ``WINDOW`` neighbouring 8-word runs the one with the smallest hash, so two texts that share
-   ``WINDOW + K - 1`` words in a row share a seed.
+1. Seeds: every run of ``K`` words, so two texts that share 4 words in a row share a seed; 50 words of which 40 are
+   equal have at least one such run, however the others lie.
    A run that comes again in a text is also a seed together with its number of earlier times, so that periodic
    texts line up time by time.
 2. A seed's anchor is its place in the smallest doc_id that holds it; every other document's seed is matched with
@@ -9,9 +9,10 @@
 3. Per (document, anchor document), matches on one diagonal join to blocks, and blocks are chained in order:
    a chain's score is its words less ``GAP_COST`` per word skipped in either text, its best predecessor comes
    from a Fenwick tree of prefix maxima over ends in the anchor document.
-4. Each chain's words are fetched in blocks from both texts; chains are aligned: ends grow over equal words, gaps
-   are closed by edit distance, and a chain stays whole if at least ``SIMILAR`` of its words match (else its blocks
-   count alone).
+4. Each chain's words, of one seed or more, are fetched in blocks from both texts; chains are aligned: blocks grow
+   over equal words, and the ends of a chain also over unequal ones as far as the words gained are ``SIMILAR`` or
+   more; gaps are closed by edit distance, and a chain stays whole if at least ``SIMILAR`` of its words match (else
+   its blocks count alone).
 5. A document's aligned spans, over all its anchors, are merged; those of at least ``LEAST`` words are repeated.
 
 A passage is reported in every document but the first that has it. Words are as in the n-gram join.
@@ -32,24 +33,16 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import Scratch, arrow_slices, mix64, read_table, sequence_hashes, utf8, word_hashes
 
-K = 8
-WINDOW = 12
+K = 4
 DIAGONAL_GAP = 48  # words between matches of one block
 GAP_COST = 0.25
-CHAIN = 16  # words of a chain that is worth aligning
 SIMILAR = 0.8
+DROP = 4.0  # how far a growing end's score may fall under its best; an unequal word costs SIMILAR, an equal one gives the rest
 LEAST = 50
 CELL = 64  # words of a fetched block
 MARGIN = 32
 
 
-def seed_places(h: np.ndarray) -> np.ndarray:
-    """Places of the window minima among the run hashes of one text."""
-    if len(h) <= WINDOW:
-        return np.array([h.argmin()]) if len(h) else np.zeros(0, int)
-    return np.unique(np.lib.stride_tricks.sliding_window_view(h, WINDOW).argmin(1) + np.arange(len(h) - WINDOW + 1))
-
-
 def later_rounds(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of all but the first of equal seeds, and how many came before each."""
     order = np.argsort(seeds, kind="stable")
@@ -66,9 +59,8 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, tok, doc, pos = b.column("doc_id").to_pylist(), [], [], []
         for i, (lo, hi) in enumerate(zip(first[:-1], first[1:])):
             if hi - lo >= K:
-                own = runs[lo:hi - K + 1]
-                at = seed_places(own)
-                seeds = own[at]
+                seeds = runs[lo:hi - K + 1]
+                at = np.arange(len(seeds))
                 again, rank = later_rounds(seeds)
                 if len(again):  # a run that comes again: also under a name of its own for each time
                     seeds = np.concatenate([seeds, mix64(seeds[again] ^ (rank * np.uint64(0x9FB21C651E98DF25)))])
@@ -81,6 +73,23 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(np.concatenate(pos).astype(np.int32))], ["tok", "doc", "pos"])
 
 
+def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each seed's place beside its anchor's, from rows in the order of (tok, doc, pos)."""
+    last = None  # tok, doc and pos of the anchor that the rows so far end with
+    for b in batches:
+        if not b.num_rows:
+            continue
+        tok, doc, pos = (b.column(c).to_numpy() for c in ("tok", "doc", "pos"))
+        new = np.concatenate([[last is None or tok[0] != last[0]], tok[1:] != tok[:-1]])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(tok)), -1))
+        lo, apos = doc[at], pos[at]
+        if last is not None:
+            lo[at < 0], apos[at < 0] = last[1], last[2]
+        last = (tok[-1], lo[-1], apos[-1])
+        hit = doc != lo
+        yield pa.RecordBatch.from_arrays([pa.array(doc[hit]), pa.array(lo[hit]), pa.array(pos[hit]), pa.array(apos[hit])], ["doc", "lo", "pos", "apos"])
+
+
 def diagonal_blocks(pos: np.ndarray, apos: np.ndarray) -> list[tuple[int, int, int]]:
     """(start, anchor start, words) of runs of matches on one diagonal; within a run words may differ."""
     order = np.lexsort((pos, pos - apos))
@@ -134,8 +143,7 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for lo, hi in cuts:
             for c in chains(diagonal_blocks(pos[lo:hi], apos[lo:hi])):
-                if sum(n for _, _, n in c) >= CHAIN:
-                    rows.append((int(doc[lo]), int(lo_[lo]), c))
+                rows.append((int(doc[lo]), int(lo_[lo]), c))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
              pa.array([[x for b in r[2] for x in b] for r in rows], pa.list_(pa.int32()))], ["doc", "lo", "blocks"])
@@ -171,6 +179,17 @@ def edit_matches(x: np.ndarray, y: np.ndarray) -> int:
     return int(row[-1])
 
 
+def end_growth(same: np.ndarray) -> int:
+    """Words by which an end grows over ``same`` (equal or not, outwards): to its best score before a fall of ``DROP``."""
+    if not len(same):
+        return 0
+    score = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - SIMILAR, -SIMILAR))])
+    top = np.maximum.accumulate(score)
+    fallen = np.flatnonzero(top - score > DROP + 1e-9)
+    score = score[:fallen[0]] if len(fallen) else score
+    return len(score) - 1 - int(np.argmax(np.round(score, 9)[::-1]))
+
+
 def align(blocks: list[tuple[int, int, int]], x: np.ndarray, x0: int, y: np.ndarray, y0: int) -> list[tuple[int, int, int, int, int]]:
     """(start, end, anchor start, anchor end, matching words) of a chain on the fetched words."""
     def grow(a: int, b: int, n: int) -> tuple[int, int, int]:
@@ -181,6 +200,13 @@ def align(blocks: list[tuple[int, int, int]], x: np.ndarray, x0: int, y: np.ndar
         return a, b, n
 
     grown = [grow(*b) for b in blocks]
+    a, b, n = grown[0]
+    m = min(a - x0, b - y0)
+    more = end_growth((x[a - x0 - m:a - x0] == y[b - y0 - m:b - y0])[::-1])
+    grown[0] = (a - more, b - more, n + more)
+    a, b, n = grown[-1]
+    m = min(x0 + len(x) - a - n, y0 + len(y) - b - n)
+    grown[-1] = (a, b, n + end_growth(x[a + n - x0:a + n - x0 + m] == y[b + n - y0:b + n - y0 + m]))
     hits = [int((x[a - x0:a - x0 + n] == y[b - y0:b - y0 + n]).sum()) for a, b, n in grown]
     total, last = 0, None
     for (a, b, n), m in zip(grown, hits):
@@ -204,11 +230,11 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, lo, flat, cells in zip(*(b.column(c).to_pylist() for c in ("doc", "lo", "blocks", "cells"))):
             side: tuple[list, list] = ([], [])
             for c in cells:
-                side[c["side"]].append((c["cell"], c["words"]))
+                side[c["side"]].append((c["at"], c["words"]))
             if side[0] and side[1]:
                 x, y = (np.frombuffer(b"".join(w for _, w in sorted(s)), "<u4") for s in side)
                 blocks = list(zip(flat[::3], flat[1::3], flat[2::3]))
-                rows += [(doc, lo, *r) for r in align(blocks, x, min(side[0])[0] * CELL, y, min(side[1])[0] * CELL)]
+                rows += [(doc, lo, *r) for r in align(blocks, x, min(side[0])[0], y, min(side[1])[0])]
         names = ["doc", "lo", "s", "e", "ls", "le", "m"]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(7)], names)
 
@@ -241,25 +267,26 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, start_word, end_word, source_id, matching_words of every repeated passage."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     seeds = docs.mapInArrow(_seeds, "tok long, doc long, pos int")
-    shared = scratch.cut(seeds.groupBy("tok").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("tok", "lo"))
-    hits = scratch.cut(seeds.join(shared, "tok"))
-    anchors = scratch.cut(hits.where("doc = lo").groupBy("tok").agg(F.min("pos").alias("apos")))
-    matches = hits.where("doc <> lo").join(anchors, "tok").select("doc", "lo", "pos", "apos").distinct()
+    # seeds are shuffled once and streamed in order, whatever the size of a seed's group
+    matches = seeds.repartition("tok").sortWithinPartitions("tok", "doc", "pos").mapInArrow(_matches, "doc long, lo long, pos int, apos int")
     found = scratch.cut(matches.repartition("doc").sortWithinPartitions("doc", "lo", "pos", "apos")
                         .mapInArrow(_chains, "doc long, lo long, blocks array<int>"))
-    scratch.drop(shared, hits, anchors)
     last = F.size("blocks")
     first_end = [(F.element_at("blocks", k), F.element_at("blocks", last - 2 + k - 1) + F.element_at("blocks", last)) for k in (1, 2)]
     found = found.withColumn("chain", F.xxhash64("doc", "lo", "blocks"))
     wanted = None
     for side, (who, (s, e)) in enumerate(zip(("doc", "lo"), first_end)):
         cells = F.sequence(F.floor(F.greatest(s - MARGIN, F.lit(0)) / CELL).cast("int"), F.floor((e + MARGIN) / CELL).cast("int"))
-        rows = found.select("chain", F.lit(side).alias("side"), F.col(who).alias("of"), F.explode(cells).alias("cell"))
+        rows = found.select("chain", F.lit(side).alias("side"), F.col(who).alias("of"), F.greatest(s - MARGIN, F.lit(0)).alias("from"),
+                            (e + MARGIN).alias("to"), F.explode(cells).alias("cell"))
         wanted = rows if wanted is None else wanted.unionByName(rows)
     need = scratch.cut(wanted.select("of", "cell").distinct())
     cells = scratch.cut(docs.mapInArrow(_cells, "of long, cell int, words binary").join(need, ["of", "cell"], "left_semi")
                         .dropDuplicates(["of", "cell"]))
-    gathered = wanted.join(cells, ["of", "cell"]).groupBy("chain").agg(F.collect_list(F.struct("side", "cell", "words")).alias("cells"))
+    skip = F.greatest(F.col("from") - F.col("cell") * CELL, F.lit(0))  # of a cell only the words that the chain may reach
+    upto = F.least(F.col("to") - F.col("cell") * CELL, F.lit(CELL))
+    part = F.struct("side", (F.col("cell") * CELL + skip).alias("at"), F.substring("words", skip * 4 + 1, (upto - skip) * 4).alias("words"))
+    gathered = wanted.join(cells, ["of", "cell"]).select("chain", part.alias("part")).groupBy("chain").agg(F.collect_list("part").alias("cells"))
     spans = found.dropDuplicates(["chain"]).join(gathered, "chain").select("doc", "lo", "blocks", "cells").mapInArrow(
         _aligned, "doc long, lo long, s long, e long, ls long, le long, m long")
     spans = scratch.cut(spans)

@@ -119,6 +119,38 @@ def test_mixing_counts_follow_poisson(spark):
     assert abs(n.mean() - 2.5) < 0.05 and abs(n.var() - 2.5) < 0.12
 
 
+def changed(rng, passage, share, insert):
+    """The passage with a share of its words replaced, or as many new ones put in."""
+    w = list(passage)
+    for k in sorted(rng.sample(range(1, len(w) - 1), round(share * len(w))), reverse=True):
+        w[k:k + (not insert)] = ["n" + str(rng.randint(0, 10**6))]
+    return w
+
+
+def test_fuzzy_passages_are_found(spark):
+    rng, texts, where = random.Random(21), [], {}
+    for share in (0.05, 0.08, 0.1, 0.125, 0.15):
+        for insert in (False, True):
+            for _ in range(12):
+                p = words(rng, 70)
+                texts.append(words(rng, 45) + p + words(rng, 40))
+                q = changed(rng, p, share, insert)
+                where[len(texts)] = (50, 50 + len(q), share)
+                texts.append(words(rng, 50) + q + words(rng, 30))
+    p = words(rng, 80)  # every 8th word replaced
+    texts += [words(rng, 30) + p, words(rng, 30) + [w if k % 8 else f"r{k}" for k, w in enumerate(p)]]
+    where[len(texts) - 1] = (31, 110, 0.125)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {}
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert set(got) <= set(where)
+    found = {d: len(got.get(d, set()) & set(range(s, e))) / (e - s) for d, (s, e, _) in where.items()}
+    for share in sorted({w[2] for w in where.values()}):
+        part = [found[d] for d in where if where[d][2] == share]
+        assert sum(f >= 0.8 for f in part) >= (0.95 if share <= 0.1 else 0.85) * len(part)
+
+
 @pytest.mark.parametrize("rate", [0.0, 2.5, 600.3, 720.6, 5000.7, 1000000.5])
 def test_mixing_draws_large_means_from_poisson(spark, rate):
     us = [0.0001, 0.02, 0.3, 0.5, 0.77, 0.99, 0.9999]
