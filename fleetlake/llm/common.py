@@ -52,6 +52,14 @@ class Scratch:
         out._scratch = where
         return out
 
+    def write_bytes(self, name: str, data: bytes) -> None:
+        """A file of its own in this folder."""
+        path, fs = self._fs(f"{self.root}/{name}")
+        out = fs.create(path)
+        for lo in range(0, len(data), 8 << 20):
+            out.write(bytearray(data[lo:lo + (8 << 20)]))
+        out.close()
+
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
             path, fs = self._fs(df._scratch)
@@ -108,8 +116,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each text: A-Z lower-cased, cut at ASCII white space.
+def word_hashes(raw: np.ndarray, off: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text: A-Z lower-cased, cut at the bytes that ``gap`` marks (ASCII white space).
 
     Returns (64-bit hash, first byte, end byte) of every word and, per text, the index of its first word
     (one more entry closes the last text).
@@ -117,7 +125,7 @@ def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     low = _LOWER[raw]
     n = len(low)
     solid = np.zeros(n + 1, bool)
-    solid[:n] = ~_SPACE[low]
+    solid[:n] = ~gap[low]
     edge = np.zeros(n + 1, bool)
     edge[off] = True
     before = np.zeros(n + 1, bool)

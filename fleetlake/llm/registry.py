@@ -1,6 +1,7 @@
 """Queries of this subpackage and their SQL, where SQL can express them."""
 
-from fleetlake.llm import annsearch, bpe, capjoin, langid, mixing, passages, setjoin, sharding, tokenfiles, toxicity
+from fleetlake.llm import (annsearch, bitkmeans, bpe, capjoin, langid, lexsearch, mixing, passages, setjoin, sharding, tokenfiles, toxicity,
+                           urlfilter)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -13,8 +14,14 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_ann": annsearch.op9_ann,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_url_filter": urlfilter.op11_url_filter,
+    "op12_bit_kmeans": bitkmeans.op12_bit_kmeans,
+    "op13_lexical_search": lexsearch.op13_lexical_search,
 }
 
 ORACLE = {
     "op1_mixing": mixing.ORACLE,
+    "op11_url_filter": urlfilter.ORACLE,
+    "op12_bit_kmeans": bitkmeans.ORACLE,
+    "op13_lexical_search": lexsearch.ORACLE,
 }
