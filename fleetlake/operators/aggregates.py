@@ -15,6 +15,8 @@ from fleetlake.functions.exprs import any_true, count_if
 from fleetlake.operators.quantile import exact_quantiles
 
 GRAIN = ("device_id", "date")
+TELEMETRY_COLUMNS = ("device_id", "event_date", "T1_us", "T2_us", "gate_error_1q", "gate_error_2q", "readout_fidelity",
+                     "gate_error_1q_ratio", "gate_error_2q_ratio")
 
 
 def exact_quantile(c: str, q: float):

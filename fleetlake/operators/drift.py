@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.session import checkpoint_dir
@@ -81,26 +81,37 @@ def rolling_zscores(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qu
     holds more than ``B + window`` rows of a series however long it is.
     """
     ids = list(dict.fromkeys([*group_cols, *order_cols, *carry]))
-    long = df.select(*ids, *metrics).unpivot(ids, list(metrics), "metric", "value")
+    long = unpivoted(df.select(*ids, *metrics), ids, metrics)
+    return zscores(long, [*group_cols, "metric"], order_cols, window, min_history, block_rows, partitions)
+
+
+def unpivoted(df: DataFrame, ids: Sequence[str], metrics: Sequence[str] = DEFAULT_METRICS) -> DataFrame:
+    """One row per (input row, metric) with the columns ``metric`` and ``value``."""
+    return df.unpivot(list(ids), list(metrics), "metric", "value")
+
+
+def zscores(long: DataFrame, series: Sequence[str], order_cols: Sequence[str], window: int = DEFAULT_WINDOW,
+            min_history: int = DEFAULT_MIN_HISTORY, block_rows: int | None = None,
+            partitions: int | None = None) -> DataFrame:
+    """Rows with a ``value`` each, with the rolling statistics of their series (see ``rolling_zscores``)."""
+    columns = long.columns
     if block_rows is not None:
         if block_rows <= window:
             raise ValueError("block_rows must exceed the window")
-        pos = _series_positions(long, [*group_cols, "metric"], order_cols, partitions)
+        pos = _series_positions(long, series, order_cols, partitions)
         own = F.floor(F.col("_pos") / block_rows)
         tail = (F.col("_pos") % block_rows) >= block_rows - window
-        blocked = pos.select("*", own.alias("_own"),
+        blocked = pos.select("*", own.alias("_in"),
                              F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("_blk"))
-        w = Window.partitionBy(*group_cols, "metric", "_blk").orderBy("_pos").rowsBetween(-window, -1)
+        w = Window.partitionBy(*series, "_blk").orderBy("_pos").rowsBetween(-window, -1)
         mean, sd = _stats_columns(w, "value", min_history)
-        stats = (blocked.select(*ids, "metric", "value", "_blk", "_own", mean.alias("rolling_mean"),
-                                sd.alias("rolling_stddev"))
-                 .where(F.col("_blk") == F.col("_own")).drop("_blk", "_own"))
-        z = (F.col("value") - F.col("rolling_mean")) / F.nullif(F.col("rolling_stddev"), F.lit(0.0))
-        return stats.withColumn("zscore", z)
-    w = (Window.partitionBy(*group_cols, "metric").orderBy(*[F.col(c).asc() for c in order_cols])
-         .rowsBetween(-window, -1))
-    mean, sd = _stats_columns(w, "value", min_history)
-    stats = long.select(*ids, "metric", "value", mean.alias("rolling_mean"), sd.alias("rolling_stddev"))
+        stats = (blocked.select(*columns, "_blk", "_in", mean.alias("rolling_mean"), sd.alias("rolling_stddev"))
+                 .where(F.col("_blk") == F.col("_in")).drop("_blk", "_in"))
+    else:
+        w = (Window.partitionBy(*series).orderBy(*[F.col(c).asc() for c in order_cols])
+             .rowsBetween(-window, -1))
+        mean, sd = _stats_columns(w, "value", min_history)
+        stats = long.select(*columns, mean.alias("rolling_mean"), sd.alias("rolling_stddev"))
     z = (F.col("value") - F.col("rolling_mean")) / F.nullif(F.col("rolling_stddev"), F.lit(0.0))
     return stats.withColumn("zscore", z)
 
@@ -122,8 +133,13 @@ def drift_alerts(df: DataFrame, group_cols: Sequence[str] = ("device_id", "qubit
     return alerts.select(*shown, "metric", "value", "rolling_mean", "rolling_stddev", "zscore")
 
 
+def alert_order(metrics: Sequence[str] = DEFAULT_METRICS,
+                order: Sequence[str] = ("device_id", "qubit_id", "timestamp")) -> list[Column]:
+    """Alerts of metric 1 then metric 2 ..., each by device, qubit, time."""
+    return [F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric")), *[F.col(c) for c in order]]
+
+
 def presentation_order(alerts: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
                        order: Sequence[str] = ("device_id", "qubit_id", "timestamp")) -> DataFrame:
-    """Alerts of metric 1 then metric 2 ..., each by device, qubit, time (a global sort)."""
-    rank = F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric"))
-    return alerts.orderBy(rank, *order)
+    """Alerts in ``alert_order`` (a global sort)."""
+    return alerts.orderBy(*alert_order(metrics, order))

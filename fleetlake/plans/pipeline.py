@@ -3,14 +3,14 @@ build with quality gate (Q4) and mart-only refresh (Q5).
 
 ``Layers`` builds every table lazily from a source of raw rows, so Catalyst sees
 a whole chain (pruning columns down to the scan); ``build_all`` writes silver,
-fact and mart as Parquet tables and reads them back, which cuts the lineage and
-lets a lost executor recompute from the last written table.
+fact and mart as versioned Parquet tables (``sources.tables``) and reads them back,
+which cuts the lineage and lets a lost executor recompute from the last written table.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetlake.operators import aggregates as agg
 from fleetlake.operators import drift as drift_op
 from fleetlake.operators import quality
-from fleetlake.plans import gold, silver
+from fleetlake.plans import gold, incremental, silver
 from fleetlake.schemas import STREAMS
-from fleetlake.sources import bindings, bronze
+from fleetlake.session import cut
+from fleetlake.sources import bindings, bronze, tables
 from fleetlake.sources.dimension import conformed_devices, inline_dimension
 
 RawSource = Callable[[str], DataFrame]
@@ -53,11 +54,12 @@ class Layers:
         return cls(raw, dim)
 
     @classmethod
-    def from_bronze(cls, spark: SparkSession, bronze_root: str, dim: DataFrame | None = None) -> "Layers":
-        """Scan real bronze Parquet written by the ingest jobs."""
+    def from_bronze(cls, spark: SparkSession, bronze_root: str, dim: DataFrame | None = None, mixed: bool = False) -> "Layers":
+        """Scan real bronze Parquet written by the ingest jobs (``mixed``: and by others, with other types)."""
         def raw(name: str) -> DataFrame:
             spec = STREAMS[name]
-            return bronze.typed_projection(bronze.scan_bronze(spark, bronze_root, spec), spec)
+            scan = bronze.scan_bronze_mixed if mixed else bronze.scan_bronze
+            return bronze.typed_projection(scan(spark, bronze_root, spec), spec)
 
         from fleetlake.sources.dimension import REFERENCE_DEVICES
         return cls(raw, lambda: dim if dim is not None else inline_dimension(spark, REFERENCE_DEVICES))
@@ -83,7 +85,8 @@ class Layers:
 
     def daily(self, name: str) -> DataFrame:
         if name == "telemetry":
-            return agg.telemetry_daily(self.fct_telemetry)
+            # averages, value counts and their range bounds all read the fact: it is computed once
+            return agg.telemetry_daily(cut(self.fct_telemetry.select(*agg.TELEMETRY_COLUMNS), "fact"))
         return {"calibration": agg.calibration_daily, "jobs": agg.jobs_daily,
                 "health": agg.health_daily}[name](self.stg(name))
 
@@ -104,61 +107,67 @@ class Layers:
 # ---------------------------------------------------------------------------
 # Materialisation
 # ---------------------------------------------------------------------------
-LAYER_OF = {"stg": "silver", "fct": "gold", "dim": "gold", "device": "gold"}
+def materialize(spark: SparkSession, df: DataFrame, root: str, name: str,
+                results: list[tuple[str, int]] | None = None) -> DataFrame:
+    """``create or replace table``: a new version is written and then shown in one step; a scan of it.
 
-
-def table_path(root: str, name: str) -> str:
-    return os.path.join(root, LAYER_OF.get(name.split("_")[0], "gold"), name)
-
-
-def materialize(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
-    """``create or replace table``: overwrite the table folder, return a scan of it.
-
-    Tables with an ``event_date`` (silver, fact) get a folder per date, so that reads
-    bounded by date prune; the REBALANCE hint keeps the files of a date few and large.
+    The table's checks are metrics of that write; they are added to ``results``.
     """
-    path = table_path(root, name)
-    if "event_date" in df.columns:
-        df.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).select(*df.columns)
+    checks = quality.CheckedWrite(name)
+    if results is None or not checks.checks:
+        return tables.replace(spark, df, root, name)
+    out = tables.replace(spark, checks.prepare(df), root, name, checks.observed)
+    results += checks.results()
+    return out.select(*df.columns)
 
 
 def build_all(spark: SparkSession, layers: Layers, root: str, run_tests: bool = True,
-              register: bool = False) -> dict[str, DataFrame]:
+              register: bool = False, results: list[tuple[str, int]] | None = None,
+              late_data: bool = False) -> dict[str, DataFrame]:
     """Build silver, dims, fact and mart in dependency order; then run the quality gate.
 
     ``register`` also exposes every written table in the catalog, in databases
-    named after their layer (``silver``, ``gold``), for lookup by name.
+    named after their layer (``silver``, ``gold``), for lookup by name. The gate's
+    checks are taken while the tables are written (``results``: where to put them).
+    ``late_data`` also writes the indexes that ``plans.incremental`` needs.
     """
     out: dict[str, DataFrame] = {}
+    results = [] if results is None else results
+
+    def write(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
+        return materialize(spark, df, root, name, results)
+
     for name in STREAMS:
-        out[f"stg_{name}"] = materialize(spark, layers.stg(name), root, f"stg_{name}")
+        out[f"stg_{name}"] = (incremental.build_silver(spark, root, name, layers.raw(name), write=write) if late_data
+                              else write(spark, layers.stg(name), root, f"stg_{name}"))
     out["dim_device"] = materialize(spark, layers.dim_device, root, "dim_device")
     out["dim_qubit"] = materialize(spark, gold.dim_qubit(out["dim_device"]), root, "dim_qubit")
     out["fct_telemetry"] = materialize(spark, gold.fct_telemetry(out["stg_telemetry"], out["dim_device"]),
-                                       root, "fct_telemetry")
-    out["device_reliability_mart"] = refresh_mart(spark, root, out)
+                                       root, "fct_telemetry", results)
+    out["device_reliability_mart"] = refresh_mart(spark, root, out, results=results)
     if register:
-        from fleetlake.sources.catalog import register_tables
-        for name in out:
-            layer = os.path.basename(os.path.dirname(table_path(root, name)))
-            register_tables(spark, {name: table_path(root, name)}, layer)
+        register_all(spark, root, list(out))
     if run_tests:
-        checks = {n: f(out) for n, f in quality.STANDARD_CHECKS.items()}
-        quality.gate(quality.run_checks(spark, checks))
+        quality.gate_results(results)
     return out
 
 
-def refresh_mart(spark: SparkSession, root: str, tables: dict[str, DataFrame] | None = None,
-                 quantile_strategy: str = "distributed") -> DataFrame:
+def register_all(spark: SparkSession, root: str, names: Sequence[str]) -> None:
+    """Show the written tables by name in the databases of their layers, with their present partitions."""
+    from fleetlake.sources.catalog import register_table
+    for name in names:
+        layer = os.path.basename(os.path.dirname(tables.table_path(root, name)))
+        register_table(spark, layer, name, tables.current_path(spark, root, name))
+
+
+def refresh_mart(spark: SparkSession, root: str, built: dict[str, DataFrame] | None = None,
+                 quantile_strategy: str = "distributed", results: list[tuple[str, int]] | None = None) -> DataFrame:
     """Q5: rebuild only the mart from the written silver tables and fact."""
-    t = tables or {n: spark.read.parquet(table_path(root, n))
-                   for n in ("fct_telemetry", "stg_calibration", "stg_jobs", "stg_health")}
+    t = built or {n: tables.read_table(spark, root, n)
+                  for n in ("fct_telemetry", "stg_calibration", "stg_jobs", "stg_health")}
     mart = gold.mart_from_layers(t["fct_telemetry"], t["stg_calibration"], t["stg_jobs"], t["stg_health"],
                                  quantile_strategy=quantile_strategy)
-    return materialize(spark, mart, root, "device_reliability_mart")
+    return materialize(spark, mart, root, "device_reliability_mart", results)
 
 
 def run_drift_detection(spark: SparkSession, root: str | None, alerts_path: str, **params) -> DataFrame:
@@ -172,6 +181,6 @@ def run_drift_detection(spark: SparkSession, root: str | None, alerts_path: str,
         from fleetlake.sources.catalog import find_table
         fct = spark.table(find_table(spark, "fct_telemetry"))
     else:
-        fct = spark.read.parquet(table_path(root, "fct_telemetry"))
+        fct = tables.read_table(spark, root, "fct_telemetry")
     alert_io.write_alerts(drift_op.presentation_order(drift_op.drift_alerts(fct, **params)), alerts_path)
     return alert_io.read_alerts(spark, alerts_path)

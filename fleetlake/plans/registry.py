@@ -10,19 +10,25 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions import contracts, derive
-from fleetlake.operators import quality
-from fleetlake.plans import ingest, reports
-from fleetlake.plans.pipeline import Layers
+from fleetlake.operators import drift, quality
+from fleetlake.operators.ranking import with_position
+from fleetlake.plans import drift_runs, gold, incremental, ingest, reports, silver
+from fleetlake.plans.pipeline import Layers, build_all, materialize, refresh_mart, register_all
 from fleetlake.schemas import STREAMS, FieldSpec, StreamSpec
-from fleetlake.session import scratch_path
+from fleetlake.session import cut, scratch_path
 from fleetlake.sources import alerts as alert_io
 from fleetlake.sources import bindings, bronze
+from fleetlake.sources.catalog import find_table
 from fleetlake.sources.events import encode_events, text_events
+from fleetlake.sources.rejects import read_rejects
+from fleetlake.sources.tables import read_table
+from fleetlake.streaming.ingest import BRONZE, REJECTS, file_messages, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -278,14 +284,17 @@ QUERIES.update({
 
 
 def dq_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4: violation counts of the standard checks on the built tables, plus the same
+    """Q4: violation counts of the standard checks, taken while the tables are written, plus the same
     checks on the raw inputs (which do have violations)."""
     L = Layers.from_test_tables(spark, sf_dir)
-    tables = L.tables()
-    checks = {n: f(tables) for n, f in quality.STANDARD_CHECKS.items()}
-    checks["raw_duplicate_calibration_runs"] = quality.duplicate_keys(L.raw("calibration"), "run_id")
-    checks["raw_fidelity_range"] = quality.out_of_range(L.raw("telemetry"), "readout_fidelity", 0.5, 1.0)
-    return quality.run_checks(spark, checks)
+    root, results = scratch_path(spark, f"checked-{uuid.uuid4().hex}"), []
+    stg = {s: materialize(spark, L.stg(s), root, f"stg_{s}", results) for s in STREAMS}
+    fct = materialize(spark, gold.fct_telemetry(stg["telemetry"], L.dim_device), root, "fct_telemetry", results)
+    refresh_mart(spark, root, {"fct_telemetry": fct, **{f"stg_{s}": df for s, df in stg.items()}}, results=results)
+    raw = quality.run_checks(spark, {
+        "raw_duplicate_calibration_runs": quality.duplicate_keys(L.raw("calibration"), "run_id"),
+        "raw_fidelity_range": quality.out_of_range(L.raw("telemetry"), "readout_fidelity", 0.5, 1.0)})
+    return quality.report_of(spark, results).unionByName(raw)
 
 
 QUERIES["dq_report"] = dq_report_q
@@ -294,25 +303,146 @@ QUERIES["dq_report"] = dq_report_q
 def refresh_mart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6 + Q5: write silver, dimensions, fact and mart as tables (with the quality
     gate), then rebuild only the mart from the written tables."""
-    from fleetlake.plans.pipeline import build_all, refresh_mart
     root = scratch_path(spark, f"tables-{uuid.uuid4().hex}")
     build_all(spark, Layers.from_test_tables(spark, sf_dir), root)
     return refresh_mart(spark, root)
 
 
+def named_tables_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: build and register twice (each name then shows the second build), then count the rows of every table,
+    found by its name."""
+    root = scratch_path(spark, f"named-{uuid.uuid4().hex}")
+    layers = Layers.from_test_tables(spark, sf_dir)
+    names = list(build_all(spark, layers, root, register=True))
+    refresh_mart(spark, root)
+    register_all(spark, root, ["device_reliability_mart"])
+    parts = [spark.table(find_table(spark, n)).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Streaming (J1-J3, B7): bound streams land as JSON-lines files and go through the bounded ingest.
+# ---------------------------------------------------------------------------
+def _streamed(spark: SparkSession, sf_dir: str, name: str, fail_after: str | None = None) -> str:
+    """Ingest one stream; the folder that holds its bronze and rejects. With ``fail_after`` the first batch fails
+    behind that write and the query is started again from its checkpoint."""
+    spec = STREAMS[name]
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    _messages(spark, sf_dir, name).select("value").write.text(f"{root}/landing")
+
+    def start(on_written):
+        return start_ingest(file_messages(spark, f"{root}/landing", spec.topic), spec, f"{root}/bronze", f"{root}/rejects",
+                            f"{root}/checkpoint", available_now=True, on_written=on_written)
+
+    if fail_after:
+        def fail(write: str) -> None:
+            if write == fail_after:
+                raise RuntimeError(f"failed behind the {write} write")
+        try:
+            start(fail).awaitTermination()
+        except StreamingQueryException:
+            pass
+    start(lambda write: None).awaitTermination()
+    return root
+
+
+def _bronze_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return bronze.typed_projection(bronze.scan_bronze(spark, f"{root}/bronze", STREAMS[name]), STREAMS[name])
+
+
 def stream_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bound telemetry lands as JSON-lines files, a bounded streaming
     ingest (availableNow) appends accepted rows to bronze; rows per partition."""
-    from fleetlake.streaming.ingest import file_messages, start_ingest
-    spec = STREAMS["telemetry"]
-    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    _messages(spark, sf_dir, "telemetry").select("value").write.text(f"{root}/landing")
-    q = start_ingest(file_messages(spark, f"{root}/landing", spec.topic), spec, f"{root}/bronze",
-                     f"{root}/rejects", f"{root}/checkpoint", available_now=True)
-    q.awaitTermination()
-    raw = bronze.typed_projection(bronze.scan_bronze(spark, f"{root}/bronze", spec), spec)
+    raw = _bronze_rows(spark, _streamed(spark, sf_dir, "telemetry"), "telemetry")
     return raw.groupBy("event_date", "device_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
-QUERIES["refresh_mart"] = refresh_mart_q
-QUERIES["stream_ingest"] = stream_ingest_q
+def _stream_values(name: str) -> Query:
+    """J1/J2 by value: every accepted row of a stream, as the bounded ingest wrote it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _scalar_arrays(_ntz(_bronze_rows(spark, _streamed(spark, sf_dir, name), name).drop("_ingested_at")))
+    return run
+
+
+def replay_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry batch fails behind its bronze write and is replayed; silver of the bronze rows."""
+    root = _streamed(spark, sf_dir, "telemetry", fail_after=BRONZE)
+    return _ntz(silver.stg_telemetry(_bronze_rows(spark, root, "telemetry")))
+
+
+def replay_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B7 + J3: every stream's batch fails behind its rejects write and is replayed; rejects by content, per rule."""
+    parts = []
+    for name, spec in STREAMS.items():
+        root = _streamed(spark, sf_dir, name, fail_after=REJECTS)
+        parts.append(ingest.reject_summary(read_rejects(spark, f"{root}/rejects", spec).withColumn("stream", F.lit(name)), by=("stream",)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Late data (J4) and drift from run to run (D2). All rows are used: some arrive first, the others late.
+# ---------------------------------------------------------------------------
+def _late(name: str):
+    """Whether a raw row arrives late: about a quarter of all rows, on every date."""
+    return F.pmod(F.xxhash64(STREAMS[name].key, "tie"), F.lit(4)) == 0
+
+
+def late_data_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver telemetry built from the rows in time, then brought up to date with the late ones."""
+    root = scratch_path(spark, f"late-{uuid.uuid4().hex}")
+    raw, late = Layers.from_test_tables(spark, sf_dir).raw("telemetry"), _late("telemetry")
+    columns = incremental.build_silver(spark, root, "telemetry", raw.where(~late)).columns
+    incremental.refresh_silver(spark, root, "telemetry", raw.where(late))
+    return read_table(spark, root, "stg_telemetry").select(*columns)
+
+
+def late_mart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables built from the rows in time, then silver, fact and mart brought up to date stream by stream."""
+    root = scratch_path(spark, f"late-{uuid.uuid4().hex}")
+    L = Layers.from_test_tables(spark, sf_dir)
+    build_all(spark, Layers(lambda s: L.raw(s).where(~_late(s)), lambda: L.dim_device), root, late_data=True)
+    for s in STREAMS:
+        incremental.refresh(spark, root, s, L.raw(s).where(_late(s)))
+    return read_table(spark, root, "device_reliability_mart")
+
+
+def drift_runs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run over the first dates, one over the rest; the alerts of both."""
+    state = scratch_path(spark, f"drift-{uuid.uuid4().hex}")
+    fct = cut(Layers.from_test_tables(spark, sf_dir).fct_telemetry, "fact")
+    first, last = fct.agg(F.min("event_date"), F.max("event_date")).first()
+    if first is not None:
+        drift_runs.run(spark, fct.where(F.col("event_date") <= F.lit(first + (last - first) / 2)), state)
+        drift_runs.run(spark, fct, state)
+    return drift_runs.read(spark, state)
+
+
+def alerts_ranked_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each alert with its place in the listing."""
+    alerts = Layers.from_test_tables(spark, sf_dir).drift_alerts(carry=("event_id",))
+    order = [*drift.alert_order(), F.col("event_id")]  # rows of one instant are told apart by event
+    return with_position(alerts, order)
+
+
+QUERIES.update({
+    "refresh_mart": refresh_mart_q,
+    "named_tables": named_tables_q,
+    "stream_ingest": stream_ingest_q,
+    **{f"stream_values_{s}": _stream_values(s) for s in STREAMS},
+    "replay_ingest": replay_ingest_q,
+    "replay_rejects": replay_rejects_q,
+    "late_data": late_data_q,
+    "late_mart": late_mart_q,
+    "drift_runs": drift_runs_q,
+    "alerts_ranked": alerts_ranked_q,
+    # G1, F8, F9 with the order as a column
+    "mart_ranked": _on_layers(lambda L: with_position(L.mart, reports.listing_order())),
+    "trend_ranked": _on_layers(lambda L: with_position(reports.telemetry_trend(L.fct_telemetry), [F.col("timestamp"), F.col("device_id")])),
+    "breakdown_ranked": _on_layers(lambda L: with_position(reports.job_status_breakdown(L.stg("jobs")), [F.col("device_id"), F.col("status")])),
+})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.operators.dedup import latest_group_per_entity
@@ -10,7 +10,11 @@ from fleetlake.operators.dedup import latest_group_per_entity
 
 def mart_listing(mart: DataFrame) -> DataFrame:
     """G1: the mart, newest day first, then device."""
-    return mart.orderBy(F.col("date").desc(), F.col("device_id").asc())
+    return mart.orderBy(*listing_order())
+
+
+def listing_order() -> list[Column]:
+    return [F.col("date").desc(), F.col("device_id").asc()]
 
 
 def latest_per_device(mart: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every fleetlake job relies on. UTC is required: event dates are UTC dates.
 # hugeMethodLimit 8000 = the JVM's JIT limit: a whole-stage method larger than that
@@ -74,5 +75,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A sub-folder of the shared checkpoint folder for written intermediate tables; it goes when the application ends."""
+    from fleetlake.sources.files import folder_until_exit
+    own = os.path.join(checkpoint_dir(spark), f"fleetlake-{spark.sparkContext.applicationId}")
+    folder_until_exit(spark, own)
+    return os.path.join(own, name)
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once, and no lost executor recomputes it."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

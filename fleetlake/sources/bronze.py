@@ -4,6 +4,8 @@ the typed projection that turns bronze rows into ``raw_*`` relations (C1)."""
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,55 @@ def scan_bronze(spark: SparkSession, root: str, spec: StreamSpec) -> DataFrame:
     return spark.read.schema(bronze_schema(spec)).option("basePath", path).parquet(path)
 
 
+# Spark's name of a Parquet file: the part, the write that made it, a counter
+_WRITE_ID = re.compile(r"part-\d+-([0-9a-f-]{36})")
+
+
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The files by footer schema: (schema, files) with one entry per set of types that can be read together.
+
+    One file stands for all of the same write. Their footers are merged by executors; where types clash, the
+    files are halved until they don't, and halves of one schema are put together again.
+    """
+    by_write: dict[str, list[str]] = {}
+    for path in paths:
+        found = _WRITE_ID.search(path.rsplit("/", 1)[-1])
+        by_write.setdefault(found.group(1) if found else path, []).append(path)
+    todo, groups = [sorted(by_write)] if by_write else [], {}
+    while todo:
+        writes = todo.pop()
+        try:
+            schema = spark.read.option("mergeSchema", True).parquet(*[by_write[w][0] for w in writes]).schema
+        except Exception as e:  # noqa: BLE001 -- only clashing types are halved
+            if len(writes) == 1 or "MERGE" not in str(e).upper():
+                raise
+            todo += [writes[:len(writes) // 2], writes[len(writes) // 2:]]
+            continue
+        key = tuple(sorted((f.name, f.dataType.simpleString()) for f in schema.fields))
+        groups.setdefault(key, (schema, []))[1].extend(p for w in writes for p in by_write[w])
+    return list(groups.values())
+
+
+def scan_bronze_mixed(spark: SparkSession, root: str, spec: StreamSpec) -> DataFrame:
+    """``scan_bronze`` over files whose column types differ (A5, union by name).
+
+    The declared-schema scan fails on a file with other types, say a 64-bit integer where 32 bits are declared or
+    a whole number where a double is. Here files are grouped by footer schema, each group is read with its own types
+    and cast to the contract's, and the groups are united. It reads one footer per write beforehand, so use it
+    for bronze that other writers fill too.
+    """
+    path, want = os.path.join(root, spec.name), bronze_schema(spec)
+    parts = [f for f in want.fields if f.name in spec.partition_cols]
+    out = scan_bronze(spark, root, spec).limit(0)
+    for schema, paths in schema_groups(spark, scan_bronze(spark, root, spec).inputFiles()):
+        own = T.StructType([f for f in schema.fields if f.name not in spec.partition_cols] + parts)
+        rows = spark.read.schema(own).option("basePath", path).parquet(*paths)
+        names = set(own.fieldNames())
+        out = out.unionByName(rows.select(*[
+            (F.col(f.name) if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name) for f in want.fields]))
+    return out
+
+
 def as_bronze_rows(df: DataFrame, spec: StreamSpec, ingested_at=None) -> DataFrame:
     """Give a stream-shaped frame the bronze columns without an ingest step.
 

@@ -1,8 +1,10 @@
 """Full build with the quality gate, and the mart-only refresh."""
 
+import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlake.operators import quality
 from fleetlake.plans.pipeline import Layers, build_all, refresh_mart, run_drift_detection
@@ -57,10 +59,64 @@ def test_end_to_end_from_bronze(spark):
 
 
 def test_registered_tables_and_lookup_by_name(spark):
+    from fleetlake.plans.pipeline import register_all
+    from fleetlake.sources import tables
     from fleetlake.sources.catalog import find_table
     root = scratch_path(spark, f"catalog-{uuid.uuid4().hex}")
-    build_all(spark, Layers.from_test_tables(spark, SF), root, register=True)
+    layers = Layers.from_test_tables(spark, SF)
+    built = build_all(spark, layers, root, register=True)
     assert find_table(spark, "fct_telemetry") == "`gold`.`fct_telemetry`"
     assert find_table(spark, "stg_jobs") == "`silver`.`stg_jobs`"
+    want = {n: df.count() for n, df in built.items()}
+    assert all(want.values()) and {n: spark.table(find_table(spark, n)).count() for n in built} == want
     alerts = run_drift_detection(spark, None, scratch_path(spark, f"alerts-{uuid.uuid4().hex}"))
-    assert alerts.count() == Layers.from_test_tables(spark, SF).drift_alerts().count()
+    assert alerts.count() == layers.drift_alerts().count()
+
+    # a second build shows its own version, and tables of earlier versions are gone from the catalog
+    build_all(spark, Layers(lambda s: layers.raw(s).where("device_id <> 'dev_0'"), lambda: layers.dim_device), root, register=True)
+    fact = spark.table("gold.fct_telemetry")
+    assert 0 < fact.count() < want["fct_telemetry"] and fact.where("device_id = 'dev_0'").isEmpty()
+    assert len([t for t in spark.catalog.listTables("gold") if t.name.startswith("fct_telemetry__")]) == 1
+
+    # dates that come and go within a version
+    dates = [r[0] for r in fact.select("event_date").distinct().orderBy("event_date").collect()]
+    moved = tables.of_dates(fact, dates[:1]).withColumn("event_date", F.lit("2031-01-01").cast("date"))
+    gone = fact.where(F.col("event_date") == dates[0]).count()
+    tables.replace_dates(spark, moved.select(*fact.columns), root, "fct_telemetry", [dates[0], dt.date(2031, 1, 1)])
+    register_all(spark, root, ["fct_telemetry"])
+    now = spark.table("gold.fct_telemetry")
+    assert now.where(F.col("event_date") == dates[0]).count() == 0
+    assert now.where("event_date = date'2031-01-01'").count() == gone
+
+
+def test_a_failed_build_leaves_the_old_table(spark):
+    from fleetlake.sources import files, tables
+    root = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    tables.replace(spark, spark.range(10).withColumn("event_date", F.lit("2024-01-01").cast("date")), root, "stg_x")
+    held = tables.read_table(spark, root, "stg_x")  # a reader that is still at it
+    broken = spark.range(20).select(F.when(F.col("id") < 19, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).cast("long").alias("id"),
+                                    F.lit("2024-01-02").cast("date").alias("event_date"))
+    with pytest.raises(Exception, match="broken"):
+        tables.replace(spark, broken, root, "stg_x")
+    assert tables.read_table(spark, root, "stg_x").count() == 10
+    versions = [f for f in files.folders(spark, tables.table_path(root, "stg_x")) if f.startswith("v")]
+    assert len(versions) == 1  # what the failed build wrote is gone
+    tables.replace(spark, spark.range(3).withColumn("event_date", F.lit("2024-01-01").cast("date")), root, "stg_x")
+    assert tables.read_table(spark, root, "stg_x").count() == 3 and held.count() == 10
+    with pytest.raises(tables.TableMissing):
+        tables.read_table(spark, root, "stg_y")
+
+
+def test_checks_are_metrics_of_the_write(spark):
+    from fleetlake.plans.pipeline import materialize
+    root, results = scratch_path(spark, f"checks-{uuid.uuid4().hex}"), []
+    day = F.lit("2024-01-01").cast("date")
+    runs = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("c",), ("c",)], "run_id string").withColumn("event_date", day)
+    out = materialize(spark, runs, root, "stg_calibration", results)
+    assert out.columns == ["run_id", "event_date"] and out.count() == 6
+    materialize(spark, spark.createDataFrame([(0.4,), (0.5,), (1.0,), (1.1,), (None,)], "readout_fidelity double").withColumn("event_date", day),
+                root, "fct_telemetry", results)
+    materialize(spark, spark.createDataFrame([(None,), ("d",)], "device_id string"), root, "device_reliability_mart", results)
+    assert dict(results) == {"no_duplicate_calibration_runs": 2, "valid_fidelity_range": 2, "not_null_device_id": 1}
+    with pytest.raises(quality.QualityGateError):
+        quality.gate_results(results)
