@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def unused_name(name: str, columns: Iterable[str]) -> str:
+    """A helper column's name that no column of the input has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Intermediate tables in the shared folder that ``spark.checkpoint.dir`` names.
 

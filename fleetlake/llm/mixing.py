@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, read_table
+from fleetlake.llm.common import Scratch, read_table, unused_name
 
 SEED = "mix-1"
 ADDED = ("copy_no", "n_copies", "rate", "shuffle_key")
@@ -69,11 +69,13 @@ def mix(docs: DataFrame, scratch: Scratch, by: str = "source", weights: dict | N
         F.col("_share") * F.lit(float(epochs)) * F.lit(total.bytes or 0),
         F.lit(float(total.share or 0)) * F.col("_bytes")), F.lit(0.0)).alias("_rate"))
     body = docs.drop(*ADDED)
+    own, rate = unused_name("by", body.columns), unused_name("rate_of_by", body.columns)
+    rates = rates.select(F.col("_by").alias(own), F.col("_rate").alias(rate))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    n = body.join(rates, body[by].eqNullSafe(rates["_by"]), "left").drop("_by")
-    n = n.withColumn("n_copies", poisson_quantile(uniform(F.lit(seed), key), F.col("_rate")))
+    n = body.join(rates, body[by].eqNullSafe(rates[own]), "left").drop(own)
+    n = n.withColumn("n_copies", poisson_quantile(uniform(F.lit(seed), key), F.col(rate)))
     copies = (n.where("n_copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-              .withColumn("rate", F.round("_rate", 9)).drop("_rate")
+              .withColumn("rate", F.round(rate, 9)).drop(rate)
               .withColumn("shuffle_key", F.conv(F.substring(F.md5(F.concat_ws(
                   ":", F.lit(seed), key, F.col("copy_no").cast("string"))), 1, 15), 16, 10).cast("long")))
     return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
