@@ -8,9 +8,9 @@
 3. Of the documents that hold a seed, in the order of doc_id, each is matched with the first and with the one before
    it. A seed that others hold too by chance has some chance holder as its first one; the document before is the
    next copy of the passage then, or the other way round. A passage in many documents costs two matches per document.
-4. Per (document, earlier document) with ``SEEDS`` matches or more, matches on one diagonal join to blocks, and blocks
-   are chained in order: a chain's score is its words less ``GAP_COST`` per word skipped in either text, its best
-   predecessor comes from a Fenwick tree of prefix maxima over ends in the earlier document.
+4. Per (document, earlier document) matches on one diagonal join to blocks, and blocks are chained in order: a chain's
+   score is its words less ``GAP_COST`` per word skipped in either text, its best predecessor comes from a Fenwick tree
+   of prefix maxima over ends in the earlier document. Chains whose seeds cover under ``EVIDENCE`` words are left.
 5. The words around each chain are fetched from both texts and the chain is aligned: blocks grow over equal words, and
    the ends of a chain also over unequal ones as far as the words gained are ``SIMILAR`` or more; gaps are closed by edit
    distance. A chain of which less than ``SIMILAR`` matches is cut at its widest gap, until what is left does.
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import Scratch, arrow_slices, mix64, read_table, sequence_hashes, unused_name, utf8, word_hashes
 
 K = 6
-SEEDS = 2
+EVIDENCE = 15  # words of a chain that its seeds cover; three seeds at least
 DIAGONAL_GAP = 48  # words between matches of one block
 GAP_COST = 0.05  # low, as seeds lie far apart; what is too far apart is cut again by the alignment
 SIMILAR = 0.8
@@ -126,13 +126,16 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc", "lo", "pos", "apos"])
 
 
-def diagonal_blocks(pos: np.ndarray, apos: np.ndarray) -> list[tuple[int, int, int]]:
-    """(start, anchor start, words) of runs of matches on one diagonal; within a run words may differ."""
+def diagonal_blocks(pos: np.ndarray, apos: np.ndarray) -> dict[tuple[int, int, int], int]:
+    """(start, earlier start, words) of runs of matches on one diagonal, and the words that their seeds cover; within a
+    run words may differ."""
     order = np.lexsort((pos, pos - apos))
     p, d = pos[order], (pos - apos)[order]
-    cut = np.flatnonzero((np.diff(d) != 0) | (np.diff(p) > DIAGONAL_GAP)) + 1
-    out = [(int(p[lo]), int(p[lo] - d[lo]), int(p[hi - 1] - p[lo]) + K) for lo, hi in zip([0, *cut], [*cut, len(p)])]
-    return sorted(out)
+    step = np.diff(p)
+    cut = np.flatnonzero((np.diff(d) != 0) | (step > DIAGONAL_GAP)) + 1
+    covered = np.concatenate([[0], np.cumsum(np.minimum(step, K))])
+    return {(int(p[lo]), int(p[lo] - d[lo]), int(p[hi - 1] - p[lo]) + K): int(covered[hi - 1] - covered[lo]) + K
+            for lo, hi in zip([0, *cut], [*cut, len(p)])}
 
 
 def chains(blocks: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
@@ -177,10 +180,11 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def some(t, cuts: np.ndarray) -> pa.RecordBatch:
         doc, lo_, pos, apos = (t.column(c).to_numpy() for c in ("doc", "lo", "pos", "apos"))
         rows = []
-        enough = np.flatnonzero(np.diff(cuts) >= SEEDS)
+        enough = np.flatnonzero(np.diff(cuts) * K >= EVIDENCE)  # fewer seeds can't cover as much
         for lo, hi in zip(cuts[enough], cuts[enough + 1]):
-            for c in chains(diagonal_blocks(pos[lo:hi], apos[lo:hi])):
-                rows.append((int(doc[lo]), int(lo_[lo]), c))
+            blocks = diagonal_blocks(pos[lo:hi], apos[lo:hi])
+            if sum(blocks.values()) >= EVIDENCE:
+                rows += [(int(doc[lo]), int(lo_[lo]), c) for c in chains(sorted(blocks)) if sum(map(blocks.get, c)) >= EVIDENCE]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
              pa.array([[x for b in r[2] for x in b] for r in rows], pa.list_(pa.int32()))], ["doc", "lo", "blocks"])
