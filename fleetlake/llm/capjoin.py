@@ -5,9 +5,11 @@ vectors, and every pair of code words is a filter direction. A vector is decoded
 whose inner product with it exceeds ``alpha`` (and to its best one, should none do so); vectors of one label that
 share a filter are compared by cosine in double precision. Equal vectors are one class before that.
 
-``B`` grows with the square root of the number of classes, so a filter's expected load stays level; ``alpha``
-keeps the expected list at ``LISTED`` filters. Both follow from the row count alone. The filters decide which
-pairs are seen: a pair at cosine 0.93 is missed with a small probability (README: measured recall). A filter with
+``B`` grows with the square root of the number of classes, so a filter's expected load stays level. ``alpha`` is what
+lets a pair at the cosine asked for share a filter with probability ``RECALL``: it is read off random pairs at that
+cosine under the code itself, for any ``B`` and length (a pair's best common filter is as good as for any other
+pair, as the rotation is random). The lists get longer with ``B`` then: about 40 filters of 2,500 and 130 of 10 million.
+The filters decide which pairs are seen: nearer pairs are missed more seldom. A filter with
 more than ``TILE`` members is cut into blocks, and every pair of blocks is a tile of its own. A pair seen in
 several filters counts in the smallest one both have.
 
@@ -20,7 +22,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,8 @@ from fleetlake.llm.common import Scratch, components, read_table
 from fleetlake.llm.vectors import as_bytes, matrix
 
 COSINE = 0.93
-LISTED = 40
+RECALL = 0.994
+TRIALS = 3000  # random pairs that alpha is read off
 TILE = 1024
 SEED = 17
 
@@ -40,19 +42,35 @@ SEED = 17
 class ProductCode:
     """``B * B`` filter directions for vectors of length ``d``."""
 
-    def __init__(self, d: int, size: int, listed: float = LISTED, seed: int = SEED):
+    def __init__(self, d: int, size: int, cosine: float = COSINE, recall: float = RECALL, seed: int = SEED):
         rng = np.random.Generator(np.random.PCG64([seed, d]))
         self.turn = np.linalg.qr(rng.standard_normal((d, d)))[0]
         self.cut = (d + 1) // 2
         halves = [rng.standard_normal((size, k)) for k in (self.cut, d - self.cut)]
         self.codes = [c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-300) for c in halves]
         self.size = size
-        self.alpha = NormalDist().inv_cdf(1 - min(0.5, listed / size**2)) / math.sqrt(d)
+        x, z = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300) for v in rng.standard_normal((2, TRIALS, d)))
+        z -= (z * x).sum(1, keepdims=True) * x
+        z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-300)
+        self.alpha = float(np.quantile(self.best_common(x, cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * z), 1 - recall))
+
+    def parts(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products with the code words of both halves; a filter's is the sum of its two."""
+        y = x @ self.turn
+        return (y[:, :self.cut] @ self.codes[0].T) / math.sqrt(2), (y[:, self.cut:] @ self.codes[1].T) / math.sqrt(2)
+
+    def best_common(self, x: np.ndarray, y: np.ndarray, words: int = 128) -> np.ndarray:
+        """The largest alpha at which each pair still shares a filter (of the best ``words`` of each half, so it may come out too low)."""
+        (a, b), (c, d) = self.parts(x), self.parts(y)
+        out = np.empty(len(x))
+        for i in range(len(x)):
+            f, s = np.argsort(-(a[i] + c[i]))[:words], np.argsort(-(b[i] + d[i]))[:words]
+            out[i] = np.minimum(a[i, f][:, None] + b[i, s], c[i, f][:, None] + d[i, s]).max()
+        return out
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
         """Sorted filter numbers of each row of ``x`` (unit vectors)."""
-        y = x @ self.turn
-        one, two = (y[:, :self.cut] @ self.codes[0].T) / math.sqrt(2), (y[:, self.cut:] @ self.codes[1].T) / math.sqrt(2)
+        one, two = self.parts(x)
         out = []
         for a, b in zip(one, two):
             order = np.argsort(-b)
@@ -68,7 +86,7 @@ class ProductCode:
         return out
 
 
-def _filters(size: int, listed: float):
+def _filters(size: int, cosine: float, recall: float):
     codes: dict[int, ProductCode] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,8 +97,9 @@ def _filters(size: int, listed: float):
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
                 x = matrix(vecs[i] for i in at)
-                code = codes.setdefault(int(d), ProductCode(int(d), size, listed))
-                for i, f in zip(at, code.decode(x / np.abs(x).max(1, keepdims=True) /
+                if d not in codes:
+                    codes[d] = ProductCode(int(d), size, cosine, recall)
+                for i, f in zip(at, codes[d].decode(x / np.abs(x).max(1, keepdims=True) /
                                                 np.linalg.norm(x / np.abs(x).max(1, keepdims=True), axis=1, keepdims=True))):
                     lists[i] = f
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(dims, pa.int32()), b.column("id"), b.column("m"),
@@ -150,14 +169,14 @@ def _tiles(cosine: float):
     return run
 
 
-def near_duplicates(table: DataFrame, scratch: Scratch, cosine: float = COSINE, listed: float = LISTED) -> DataFrame:
+def near_duplicates(table: DataFrame, scratch: Scratch, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id, kept, for every row of (vec_id, embedding, label)."""
     rows = scratch.cut(as_bytes(table))
     classes = scratch.cut(rows.where("key IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL").groupBy("label", "key").agg(
         F.min("vec_id").alias("id"), F.count("*").alias("m"), F.max("vec").alias("vec")))
     size = max(32, math.ceil(math.sqrt(classes.count() / 4)))
     listed_in = scratch.cut(classes.select("label", "id", "m", "vec").mapInArrow(
-        _filters(size, listed), "label int, dim int, id long, m long, vec binary, filters array<int>"))
+        _filters(size, cosine, recall), "label int, dim int, id long, m long, vec binary, filters array<int>"))
     load = (listed_in.select("label", "dim", F.explode("filters").alias("filter")).groupBy("label", "dim", "filter")
             .agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("blocks"), F.count("*").alias("c")).where("c > 1").drop("c"))
     load = scratch.cut(load)

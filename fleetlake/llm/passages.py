@@ -4,7 +4,8 @@
    only the smallest goes on.
 2. Seeds are runs of ``K`` words whose smallest word hash is the first or the last of them: about a third of all runs,
    chosen by their own words alone, so that two texts choose alike, and at least one in any ``2 * K - 1`` equal words. A run that
-   comes again in a text is also a seed together with its number of earlier times, so that periodic texts line up time by time.
+   comes again within ``DIAGONAL_GAP`` words is also a seed together with its number of earlier times, so that periodic texts
+   line up time by time.
 3. Of the documents that hold a seed, in the order of doc_id, each is matched with the first and with the one before
    it. A seed that others hold too by chance has some chance holder as its first one; the document before is the
    next copy of the passage then, or the other way round. A passage in many documents costs two matches per document.
@@ -20,7 +21,8 @@
 A passage is reported in every document but the first that has it, with an earlier document (``source_id``) that
 holds it, and the words that match there; spans of unlike sources may overlap. Words are as in the n-gram join.
 
-Defined cases: null or empty texts have no passages; repeats within one document are no passage; rows with a null
+Defined cases: null or empty texts have no passages; repeats within one document are no passage, and a
+periodic run counts as far as the earlier document's is long; rows with a null
 doc_id take no part and stay as they are; rows that share a doc_id are no copies of each other; an empty table
 gives an empty table; clashing extra columns pass through the stage untouched.
 """
@@ -50,11 +52,11 @@ CELL = 64  # words of a fetched block
 MARGIN = 48
 
 
-def later_rounds(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all but the first of equal seeds, and how many came before each."""
-    order = np.argsort(seeds, kind="stable")
-    s = seeds[order]
-    start = np.concatenate([[True], s[1:] != s[:-1]])
+def later_rounds(seeds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of seeds that come again within ``DIAGONAL_GAP`` words, and how many came before each in such a row."""
+    order = np.lexsort((at, seeds))
+    s, p = seeds[order], at[order]
+    start = np.concatenate([[True], (s[1:] != s[:-1]) | (np.diff(p) > DIAGONAL_GAP)])
     rank = np.arange(len(s)) - np.maximum.accumulate(np.where(start, np.arange(len(s)), 0))
     return order[rank > 0], rank[rank > 0].astype(np.uint64)
 
@@ -88,7 +90,7 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if hi - lo >= K:
                 at = np.flatnonzero(take[lo:hi - K + 1])
                 seeds = runs[lo + at]
-                again, rank = later_rounds(seeds)
+                again, rank = later_rounds(seeds, at)
                 if len(again):  # a run that comes again: also under a name of its own for each time
                     seeds = np.concatenate([seeds, mix64(seeds[again] ^ (rank * np.uint64(0x9FB21C651E98DF25)))])
                     at = np.concatenate([at, at[again]])

@@ -82,13 +82,19 @@ class WordCache:
             self.spaced, self.heads = {}, {}
         get, rows, new = self.spaced.get, [], {}
         for text in texts:
-            chunks = text.split(" ")
-            got = list(map(get, chunks))
-            got[0] = self.heads.get(chunks[0])
-            if None in got:
-                got = self._parts(text, chunks, got)
-                new.update((x, None) for x in got if x.__class__ is str)
-            rows.append(got)
+            lines = text.split("\n") if "\n" in text else [text]
+            if len(lines) > 1 and not all(map(_bare, lines)):  # white space beside a newline
+                lines = [text]
+            row: list[bytes | str] = []
+            for line in lines:
+                if row:
+                    row.append(self._ids("\n"))
+                chunks = line.split(" ")
+                got = list(map(get, chunks))
+                got[0] = self.heads.get(chunks[0])
+                row += self._parts(line, chunks, got) if None in got else got
+            new.update((x, None) for x in row if x.__class__ is str)
+            rows.append(row)
         if new:
             for s, ids in zip(new, self.encode(list(new))):
                 new[s] = ids

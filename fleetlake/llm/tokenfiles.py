@@ -4,7 +4,8 @@ Texts are range-partitioned and sorted by doc_id, encoded in their partitions, a
 partition whose stripes carry run-length encoded ids, a row index every ``ROW_INDEX`` rows and a Bloom filter
 on doc_id: readers split at stripes, and a lookup by doc_id skips files, stripes and row groups from metadata.
 
-Defined cases: a null or empty text is the end id alone; a null doc_id comes first; rows that share a doc_id
+Defined cases: a special token's string in a text gets that token's id, as the library's own call does;
+a null or empty text is the end id alone; a null doc_id comes first; rows that share a doc_id
 follow each other in the order of their text's hash; an empty table gives no rows; columns of the input other
 than doc_id and text are ignored.
 """
@@ -47,7 +48,6 @@ def word_cache(path: str) -> WordCache:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
 
         def encode(words: list[str]) -> list[bytes]:
             return [array("i", e.ids).tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
