@@ -86,6 +86,18 @@ class ProductCode:
         return out
 
 
+def short(vec: bytes) -> bytes:
+    """The doubles as 4-byte floats where these are the same numbers; tiles get half the bytes then."""
+    x = np.frombuffer(vec, "<f8")
+    with np.errstate(over="ignore"):
+        y = x.astype("<f4")
+    return y.tobytes() if (y == x).all() else vec
+
+
+def doubles(vecs, dim: int) -> np.ndarray:
+    return np.array([np.frombuffer(v, "<f4" if len(v) == 4 * dim else "<f8") for v in vecs], np.float64)
+
+
 def _filters(size: int, cosine: float, recall: float):
     codes: dict[int, ProductCode] = {}
 
@@ -103,7 +115,7 @@ def _filters(size: int, cosine: float, recall: float):
                                                 np.linalg.norm(x / np.abs(x).max(1, keepdims=True), axis=1, keepdims=True))):
                     lists[i] = f
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(dims, pa.int32()), b.column("id"), b.column("m"),
-                                              b.column("vec"), pa.array(lists, pa.list_(pa.int32()))],
+                                              pa.array([short(v) for v in vecs], pa.binary()), pa.array(lists, pa.list_(pa.int32()))],
                                              ["label", "dim", "id", "m", "vec", "filters"])
     return run
 
@@ -111,7 +123,7 @@ def _filters(size: int, cosine: float, recall: float):
 def _tile(pdf: pd.DataFrame, cosine: float) -> tuple[list, list, list]:
     """Links of one tile, each pair in its smallest common filter: (id, other links, smallest linked id here)."""
     f, bi, bj = (int(pdf[k].iloc[0]) for k in ("filter", "bi", "bj"))
-    x = matrix(pdf["vec"])
+    x = doubles(pdf["vec"], int(pdf["dim"].iloc[0]))
     norm = np.sqrt((x * x).sum(1))
     ids, m, block = pdf["id"].to_numpy(), pdf["m"].to_numpy(), pdf["block"].to_numpy()
     link = (x @ x.T) / (norm[:, None] * norm[None, :]) >= cosine
@@ -177,14 +189,17 @@ def near_duplicates(table: DataFrame, scratch: Scratch, cosine: float = COSINE,
     size = max(32, math.ceil(math.sqrt(classes.count() / 4)))
     listed_in = scratch.cut(classes.select("label", "id", "m", "vec").mapInArrow(
         _filters(size, cosine, recall), "label int, dim int, id long, m long, vec binary, filters array<int>"))
-    load = (listed_in.select("label", "dim", F.explode("filters").alias("filter")).groupBy("label", "dim", "filter")
+    # which tiles each vector goes to, on (id, filter) rows without vectors
+    pairs = listed_in.select("label", "dim", "id", F.explode("filters").alias("filter"))
+    load = (pairs.groupBy("label", "dim", "filter")
             .agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("blocks"), F.count("*").alias("c")).where("c > 1").drop("c"))
-    load = scratch.cut(load)
-    member = listed_in.withColumn("filter", F.explode("filters")).join(load, ["label", "dim", "filter"])
-    member = member.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    member = member.select("label", "dim", "filter", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
-                           "block", "id", "m", "vec", "filters")
+    at = pairs.join(load, ["label", "dim", "filter"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    at = at.groupBy("label", "id").agg(F.collect_list(F.struct(
+        "filter", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block")).alias("tiles"))
+    # vectors are shuffled once, to their tiles
+    member = listed_in.join(at, ["label", "id"]).select("label", "dim", F.explode("tiles").alias("t"), "id", "m", "vec", "filters")
+    member = member.select("label", "dim", "t.*", "id", "m", "vec", "filters")
     tiles = member.repartition("label", "dim", "filter", "bi", "bj").sortWithinPartitions("label", "dim", "filter", "bi", "bj")
     part = scratch.cut(tiles.mapInArrow(_tiles(cosine), "id long, n long, root long"))
     comp = components(part.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch)
