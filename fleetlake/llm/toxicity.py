@@ -1,114 +1,92 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
-Examples: of the labelled rows that may be learnt from, at most ``EXAMPLES`` of each label (smallest hash of
-doc_id). Terms are words and their first 4 to 7 letters; all terms of the examples span the vectors. A term's weight
-is its inverse document frequency over all documents times how far it tells the labels apart: the absolute log ratio
-of its smoothed shares in toxic and in other examples, plus ``FLOOR``, so no term is without weight at any size.
-An inverted index holds the examples' weights in blocks of ``BLOCK`` with each term's largest weight per block; the
-``FIRST`` blocks of largest upper bound are scored, then all whose bound reaches the k-th cosine, so the k nearest are exact.
-Their labels vote by cosine, each weighted for how thinly its label was sampled, against a prior; the votes of the
-examples themselves, each without itself, are made a monotone score by pooling adjacent violators.
-
-Defined cases: a null or empty text, or one without any term, gets the score of an empty vote; ties between
-examples go to the earlier one; rows of ``labels`` that repeat a doc_id count once (toxic if one says so), null
-labels not at all; without examples of both labels every score is 0; rows with a null doc_id are scored and not
-held out; an empty table gives an empty table; other columns are ignored.
+Examples: of the labelled rows that may be learnt from, at most ``EXAMPLES`` of each label (smallest hash of doc_id),
+of at most
+``TERMS`` terms each and ``ENTRIES`` in all a label. Terms are the runs of letters, only A-Z lower-cased (a
+byte of 128 and more is a letter), as 64-bit hashes. A term of an example weighs ln(1 + its count) * (ln((1 + N) / (1 +
+df)) + 1), N and df over all documents; a word that no example has counts in a text's length with df 0.
+
+The index is built in the tasks from the examples' counts. Terms that over one in ``RARE`` examples hold are rows of a
+matrix, cut in blocks of ``BLOCK`` like examples of one label, with each term's largest weight per block; the others
+are posting lists, added up first. A block's bound is what the frequent terms' largest weights could add to the best of
+those sums. The ``FIRST`` blocks of each label with the largest bound are scored, then all whose bound reaches the
+label's k-th cosine, so the ``NEIGHBOURS`` nearest of each label are exact by plain TF-IDF cosine.
+
+The neighbours vote. Each one's voice is the sum, over the terms it shares with the text, of the squared significance
+with which more toxic examples hold the term than the labels' shares let expect; a label's voice is the mean of its
+neighbours' weighted by cosine. The vote is toxic / (toxic + other + 1). The votes of the examples themselves, each left
+out of the neighbours and of the term counts, are made a monotone score by pooling adjacent violators, each example
+weighted for how thinly its label was sampled.
+
+Defined cases: a null or empty text, or one without a term that an example has, gets the smallest score; ties between
+examples go to the smaller doc_id; a document that is an example itself is
+among its own neighbours (scores don't look at doc_id); rows of ``labels``
+that repeat a doc_id count once (toxic if one says so), null labels not at all; without examples of both labels
+every score is 0; rows with a null doc_id are scored and not held out; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, read_table
+from fleetlake.llm.common import Scratch, arrow_slices, read_table, utf8, word_hashes
 
 EXAMPLES = 3000
-FLOOR = 0.1  # weight of a term that is as common in both labels
+ENTRIES = 2_000_000  # terms of one label's examples, summed: bounds what is sent to the tasks
+TERMS = 20_000  # of one example
+RARE = 16
 BLOCK = 64
-FIRST = 8
-KNOWN = 200_000  # words whose terms a task remembers
-NEIGHBOURS = 15
-HEADS = (4, 5, 6, 7)  # letters of a word that are a term of their own
-PRIOR_WEIGHT = 0.2  # cosine mass of the prior in a vote
+FIRST = 4
+ROWS = 128  # texts searched at a time
+NEIGHBOURS = 40  # of each label
 THRESHOLD = 0.7
-_word = re.compile(r"[^\W\d_]+")
+_U = np.uint64
+_GAP = np.ones(256, bool)
+_GAP[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def terms_of(text: str | None) -> Counter:
-    words = Counter(_word.findall((text or "").lower()))
-    out = Counter(words)
-    for w, n in words.items():
-        for k in HEADS:
-            if len(w) > k:
-                out["^" + w[:k]] += n
-    return out
+def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, how often), in that order, of every text of a string column."""
+    h, _, _, first = word_hashes(*utf8(column), _GAP)
+    text = np.repeat(np.arange(len(column)), np.diff(first))
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])])[:len(h)])
+    return text[new], h[new], np.diff(np.append(new, len(h)))
+
+
+def _lists(values: np.ndarray, text: np.ndarray, n: int, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(values, kind))
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, in toxic, in others): document counts of a partition's examples."""
-    seen: dict[str, list[int]] = {}
-    for b in batches:
-        for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-            for t in terms_of(text):
-                seen.setdefault(t, [0, 0])[1 - y] += 1
-    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(
-        pa.array([c[i] for c in seen.values()], pa.int64()) for i in (0, 1))], ["term", "p", "q"])
-
-
-class Terms:
-    """Numbers of a text's terms in a vocabulary."""
-
-    def __init__(self, number: dict[str, int]):
-        self.number, self.known = number, {}
-
-    def of(self, word: str) -> list[int]:
-        got = self.known.get(word)
-        if got is None:
-            names = [word, *("^" + word[:k] for k in HEADS if len(word) > k)]
-            got = [self.number[t] for t in names if t in self.number]
-            if len(self.known) < KNOWN:
-                self.known[word] = got
-        return got
-
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(term numbers, rising; how often)."""
-        got: dict[int, int] = {}
-        for w, n in Counter(_word.findall((text or "").lower())).items():
-            for i in self.of(w):
-                got[i] = got.get(i, 0) + n
-        at, tf = np.fromiter(got.keys(), np.int64, len(got)), np.fromiter(got.values(), np.int64, len(got))
-        order = np.argsort(at)
-        return at[order], tf[order]
-
-
-def _vectors(vocabulary):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(vocabulary.value)
-        for b in arrow_slices(batches):
-            rows = [terms.vector(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), *(pa.array([r[k] for r in rows], pa.list_(pa.int32())) for k in (0, 1))],
-                                             ["doc_id", "y", "terms", "tf"])
-    return run
+    for b in arrow_slices(batches):
+        text, term, tf = text_terms(b.column("text"))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), _lists(term.view(np.int64), text, b.num_rows, pa.int64()),
+                                          _lists(tf, text, b.num_rows, pa.int32())], ["doc_id", "y", "terms", "tf"])
+
 
+def places(vocabulary: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """Each term's place in the sorted vocabulary, -1 where it isn't there."""
+    at = np.searchsorted(vocabulary, term)
+    return np.where(vocabulary[np.minimum(at, len(vocabulary) - 1)] == term, at, -1) if len(vocabulary) else np.full(len(term), -1)
 
-def _document_counts(vocabulary):
+
+def _document_counts(shared):
     """(term, documents) of a partition; term -1 stands for every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(vocabulary.value)
-        total = np.zeros(len(terms.number), np.int64)
-        n = 0
+        vocabulary = shared.value
+        total, n = np.zeros(len(vocabulary), np.int64), 0
         for b in arrow_slices(batches):
             n += b.num_rows
-            for text in b.column("text").to_pylist():
-                got = {i for w in set(_word.findall((text or "").lower())) for i in terms.of(w)}
-                total[np.fromiter(got, np.int64, len(got))] += 1
+            at = places(vocabulary, text_terms(b.column("text"))[1])
+            total += np.bincount(at[at >= 0], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(total[at], n), pa.int64())], ["t", "c"])
     return run
@@ -120,183 +98,268 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Examples as unit TF-IDF vectors, searched block by block."""
-
-    MADE = ("cell_start", "cell_block", "cell_top", "first_cell")
-
-    def __init__(self, ids, labels, terms, tfs, idf: np.ndarray, class_weight: tuple[float, float], prior: float):
-        self.idf, self.ids, self.y = idf, np.array(ids, np.int64), np.array(labels, np.int64)
-        self.weight = np.array(class_weight)[self.y] if len(self.y) else np.zeros(0)
-        self.prior, self.cut_points, self.values = prior, np.zeros(1), np.zeros(1)
-        n = len(ids)
-        self.blocks = (n + BLOCK - 1) // BLOCK
-        size = np.array([len(t) for t in terms], np.int64)
-        weights = [self.unit(t, f) for t, f in zip(terms, tfs)]
-        term = np.concatenate([np.asarray(t, np.int64) for t in terms]) if n else np.zeros(0, np.int64)
-        at = np.repeat(np.arange(n), size)
-        order = np.lexsort((at, term))
-        # postings by term and example
-        self.at, self.w = at[order].astype(np.int32), np.concatenate([*weights, np.zeros(0)])[order]
-        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        self._cells()
+    """Examples as unit TF-IDF vectors, searched block by block.
+
+    ``ids`` rise; ``first``, ``term`` and ``tf`` hold example i's terms (places in ``vocabulary``) at first[i] to first[i + 1].
+    """
+
+    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, unseen: float, ids, y, first, term, tf):
+        self.vocabulary, self.idf, self.unseen = vocabulary, np.asarray(idf, np.float64), float(unseen)
+        self.ids, self.y = np.asarray(ids, np.int64), np.asarray(y, np.int64)
+        self.first, self.term, self.tf = np.asarray(first, np.int64), np.asarray(term, np.int32), np.asarray(tf, np.int32)
+        self._built = False
 
     def __getstate__(self):
-        return {k: v for k, v in vars(self).items() if k not in self.MADE}  # a broadcast lies on every executor's disk
+        return {k: getattr(self, k) for k in ("vocabulary", "idf", "unseen", "ids", "y", "first", "term", "tf")}
 
     def __setstate__(self, state):
-        vars(self).update(state)
-        self._cells()
-
-    def _cells(self) -> None:
-        """A cell is a term's postings in one block."""
-        term, block = np.repeat(np.arange(len(self.idf)), np.diff(self.first)), self.at // BLOCK
-        new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])[:len(term)])
-        self.cell_start = np.append(new, len(term))
-        self.cell_block = block[new]
-        self.cell_top = np.maximum.reduceat(self.w, new) if len(new) else np.zeros(0)
-        self.first_cell = np.searchsorted(term[new], np.arange(len(self.idf) + 1))
-
-    def unit(self, terms, tf) -> np.ndarray:
-        w = np.log1p(np.asarray(tf, np.float64)) * self.idf[np.asarray(terms, np.int64)]
-        return w / np.sqrt(w @ w) if len(w) else w
-
-    def nearest(self, terms, tf, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k nearest examples with a cosine over 0, nearest first."""
-        t = np.asarray(terms, np.int64)
-        if not len(t) or not self.blocks:
-            return np.zeros(0, int), np.zeros(0)
-        size = self.first_cell[t + 1] - self.first_cell[t]
-        cells, w = _ranges(self.first_cell[t], size), np.repeat(self.unit(t, tf), size)
-        block = self.cell_block[cells]
-        bound = np.bincount(block, w * self.cell_top[cells], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        best_i, best_s = np.zeros(0, int), np.zeros(0)
-        for part in (order[:FIRST], order[FIRST:]):
-            part = part[bound[part] > 0]
-            if len(best_s) == k:
-                part = part[bound[part] >= best_s[-1] - 1e-12]
-            if not len(part):
-                break
-            wanted = np.zeros(self.blocks, bool)
-            wanted[part] = True
-            c = wanted[block]
-            lo = self.cell_start[cells[c]]
-            n = self.cell_start[cells[c] + 1] - lo
-            at = _ranges(lo, n)
-            score = np.bincount(self.at[at], self.w[at] * np.repeat(w[c], n))
-            i = np.flatnonzero(score > 0)
-            i = i[i != without]
-            i, s = np.concatenate([best_i, i]), np.concatenate([best_s, score[i]])
-            first = np.lexsort((i, -s))[:k]
-            best_i, best_s = i[first], s[first]
-        return best_i, best_s
-
-    def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
-        w = cosine * self.weight[at]
-        return float((w @ self.y[at] + PRIOR_WEIGHT * self.prior) / (w.sum() + PRIOR_WEIGHT))
-
-    def calibrate(self, votes: np.ndarray) -> None:
-        """A step function from vote to share of toxic, rising: adjacent violators are pooled."""
-        order = np.argsort(votes, kind="stable")
-        pools: list[list[float]] = []  # first vote, weight, weighted label
-        for i in order:
-            same = pools and votes[i] == pools[-1][3]
-            if same:
-                pools[-1][1] += self.weight[i]
-                pools[-1][2] += self.weight[i] * self.y[i]
+        self.__init__(**state)
+
+    def build(self) -> BlockMaxIndex:
+        if self._built:
+            return self
+        n, v = len(self.ids), len(self.idf)
+        row = np.repeat(np.arange(n), np.diff(self.first))
+        w = np.log1p(self.tf) * self.idf[self.term]
+        norm = np.sqrt(np.bincount(row, w * w, n))
+        w = w / norm[row]
+        self.every = np.bincount(self.term, minlength=v)  # examples that hold a term, and toxic ones
+        self.toxic = np.bincount(self.term, self.y[row], v)
+        frequent = np.flatnonzero(self.every * RARE > n)
+        self.dense = np.full(v, -1)
+        self.dense[frequent] = np.arange(len(frequent))
+        d = self.dense[self.term]
+        matrix = np.zeros((n, len(frequent)), np.float64)
+        matrix[row[d >= 0], d[d >= 0]] = w[d >= 0]
+        self._order(matrix)
+        m = np.zeros((self.columns, len(frequent)), np.float64)
+        m[self.place] = matrix
+        self.matrix = np.ascontiguousarray(m.T)
+        self.top = np.ascontiguousarray(m.reshape(self.columns // BLOCK, BLOCK, len(frequent)).max(1).T)
+        # posting lists of the other terms
+        rare = np.flatnonzero(d < 0)
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.post_at, self.post_w = self.place[row[rare]], w[rare]
+        self.post_first = np.searchsorted(self.term[rare], np.arange(v + 1))
+        self._built = True
+        return self
+
+    def _order(self, matrix: np.ndarray) -> None:
+        """Columns of the examples: each label's in blocks of its own, like ones side by side. Order decides speed alone."""
+        rng, n = np.random.default_rng(7), len(self.ids)
+        pivots = matrix[rng.permutation(n)[:32]]
+        near = matrix @ pivots.T
+        group, best = near.argmax(1), near.max(1)
+        self.place, blocks = np.zeros(n, np.int64), []
+        at = 0
+        for label in (0, 1):
+            mine = np.flatnonzero(self.y == label)
+            mine = mine[np.lexsort((best[mine], group[mine]))]
+            self.place[mine] = at + np.arange(len(mine))
+            k = (len(mine) + BLOCK - 1) // BLOCK
+            blocks += [label] * k
+            at += k * BLOCK
+        self.columns, self.block_label = at, np.array(blocks, int)
+        self.example = np.full(at, -1)
+        self.example[self.place] = np.arange(n)
+
+    def search(self, text: np.ndarray, term: np.ndarray, tf: np.ndarray, n: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers (-1: none) and cosines (0: none), nearest first, of the k nearest examples of label 0 and 1: (n, 2, k) each.
+
+        Terms as ``text_terms`` gives them; ``without``: an example per text to leave out (-1: none)."""
+        self.build()
+        k = NEIGHBOURS
+        at = places(self.vocabulary, term)
+        w = np.log1p(tf) * np.append(self.idf, self.unseen)[at]
+        norm = np.sqrt(np.bincount(text, w * w, n))
+        w = w / norm[text]
+        out_i, out_s = np.full((n, 2, k), -1), np.zeros((n, 2, k))
+        for lo in range(0, n, ROWS):
+            hi = min(n, lo + ROWS)
+            a, b = np.searchsorted(text, [lo, hi])
+            mine = a + np.flatnonzero(at[a:b] >= 0)
+            skip = None if without is None else without[lo:hi]
+            out_i[lo:hi], out_s[lo:hi] = self._some(text[mine] - lo, at[mine], w[mine], hi - lo, k, skip)
+        return out_i, out_s
+
+    def _some(self, text, at, w, n, k, skip):
+        blocks = len(self.block_label)
+        d = self.dense[at]
+        q = np.zeros((n, len(self.matrix)))
+        q[text[d >= 0], d[d >= 0]] = w[d >= 0]
+        r = np.flatnonzero(d < 0)
+        size = self.post_first[at[r] + 1] - self.post_first[at[r]]
+        p = _ranges(self.post_first[at[r]], size)
+        score = np.bincount(np.repeat(text[r] * self.columns, size) + self.post_at[p], np.repeat(w[r], size) * self.post_w[p],
+                            n * self.columns).astype(np.float64, copy=False).reshape(n, blocks, BLOCK)  # without rows it counts in integers
+        bound = q @ self.top + score.max(2) + 1e-12
+        done = np.zeros((n, blocks), bool)
+        found_i, found_s = np.full((n, 2, k), -1), np.zeros((n, 2, k))
+        for label in (0, 1):
+            own = np.flatnonzero(self.block_label == label)
+            rank = np.argsort(np.argsort(-bound[:, own], axis=1, kind="stable"), axis=1)
+            wanted = rank < FIRST
+            for last in (False, True):
+                for j in np.flatnonzero(wanted.any(0)):
+                    rows, c = np.flatnonzero(wanted[:, j]), own[j]
+                    score[rows, c] += q[rows] @ self.matrix[:, c * BLOCK:(c + 1) * BLOCK]
+                    if skip is not None:
+                        hit = rows[skip[rows] >= 0]
+                        hit = hit[self.place[skip[hit]] // BLOCK == c]
+                        score[hit, c, self.place[skip[hit]] % BLOCK] = 0
+                    done[rows, c] = True
+                if last:
+                    break
+                seen = np.where(done[:, own, None], score[:, own], 0).reshape(n, -1)
+                kth = np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(n)
+                wanted = ~done[:, own] & (bound[:, own] > 0) & (bound[:, own] >= kth[:, None])
+            seen = np.where(done[:, own, None], score[:, own], 0).reshape(n, -1)
+            numbers = self.example[(own[:, None] * BLOCK + np.arange(BLOCK)).ravel()]
+            if seen.shape[1] > k:
+                kth = np.partition(seen, -k, axis=1)[:, -k]
             else:
-                pools.append([votes[i], self.weight[i], self.weight[i] * self.y[i], votes[i]])
-            while len(pools) > 1 and pools[-2][2] / pools[-2][1] >= pools[-1][2] / pools[-1][1]:
-                last = pools.pop()
-                pools[-1][1] += last[1]
-                pools[-1][2] += last[2]
-                pools[-1][3] = last[3]
-        self.cut_points = np.array([p[0] for p in pools])
-        self.values = np.array([p[2] / p[1] for p in pools])
-
-    def score(self, vote: float) -> float:
-        return float(self.values[max(0, np.searchsorted(self.cut_points, vote, side="right") - 1)])
-
-
-def _own_votes(index):
+                kth = np.zeros(n)
+            rows, cols = np.nonzero((seen >= kth[:, None]) & (seen > 0))
+            s, i = seen[rows, cols], numbers[cols]
+            o = np.lexsort((i, -s, rows))
+            rows, s, i = rows[o], s[o], i[o]
+            nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            keep = nth < k
+            found_i[rows[keep], label, nth[keep]], found_s[rows[keep], label, nth[keep]] = i[keep], s[keep]
+        return found_i, found_s
+
+    def vote(self, text, term, n, found: np.ndarray, cosine: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
+        """The vote of the neighbours that ``search`` gave; ``label``: of texts that are examples, so their terms count one less."""
+        self.build()
+        at = places(self.vocabulary, term)
+        some = np.flatnonzero(at >= 0)
+        first, at = np.searchsorted(text[some], np.arange(n + 1)), at[some]
+        toxic, every = self.toxic[at], self.every[at]
+        size, share = len(self.y), self.y.sum()
+        if label is not None:
+            y = label[text[some]]
+            toxic, every, share, size = toxic - y, every - 1, share - y, size - 1
+        expected = every * share / max(1, size)
+        voice = np.maximum(0, toxic - expected) ** 2 / (expected + 1)
+        heard, out = np.zeros(len(self.idf)), np.zeros(n)
+        for r in range(n):
+            mine = at[first[r]:first[r + 1]]
+            heard[mine] = voice[first[r]:first[r + 1]]
+            mass = [0.0, 0.0]
+            for c in (0, 1):
+                i = found[r, c][found[r, c] >= 0]
+                if len(i):
+                    held = self.first[i + 1] - self.first[i]
+                    got = np.add.reduceat(heard[self.term[_ranges(self.first[i], held)]], np.cumsum(held) - held)
+                    w = cosine[r, c, :len(i)]
+                    mass[c] = float(w @ got / w.sum())
+            out[r] = mass[1] / (mass[0] + mass[1] + 1)
+            heard[mine] = 0
+        return out
+
+
+def pooled(votes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A rising step function from vote to share of toxic (start and value of each step): adjacent violators are pooled.
+    A step starts midway between its first vote and the last one below it."""
+    votes, place = np.unique(votes, return_inverse=True)
+    w, t = np.bincount(place, weight), np.bincount(place, weight * y)
+    pools: list[list[float]] = []  # first vote, last vote, weight, toxic weight
+    for step in zip(votes.tolist(), votes.tolist(), w.tolist(), t.tolist()):
+        pools.append(list(step))
+        while len(pools) > 1 and pools[-2][3] / pools[-2][2] >= pools[-1][3] / pools[-1][2]:
+            _, last, w1, t1 = pools.pop()
+            pools[-1][1:] = last, pools[-1][2] + w1, pools[-1][3] + t1
+    first, last = np.array([p[0] for p in pools]), np.array([p[1] for p in pools])
+    return np.append(first[:1], (last[:-1] + first[1:]) / 2), np.array([p[3] / p[2] for p in pools])
+
+
+def _own_votes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = index.value
+        x = shared.value
         for b in batches:
-            n = np.searchsorted(x.ids, b.column("doc_id").to_numpy())
-            votes = [x.vote(*x.nearest(t, f, without=i)) for i, t, f in zip(n, b.column("terms").to_pylist(), b.column("tf").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(votes, pa.float64())], ["n", "vote"])
+            if not b.num_rows:
+                continue
+            me = np.searchsorted(x.ids, b.column("doc_id").to_numpy())
+            terms, tf = (b.column(c) for c in ("terms", "tf"))
+            text = np.repeat(np.arange(b.num_rows), terms.value_lengths().to_numpy())
+            term = terms.flatten().to_numpy().view(_U)
+            found, cosine = x.search(text, term, tf.flatten().to_numpy(), b.num_rows, me)
+            votes = x.vote(text, term, b.num_rows, found, cosine, x.y[me])
+            yield pa.RecordBatch.from_arrays([pa.array(me, pa.int32()), pa.array(votes, pa.float64())], ["n", "vote"])
     return run
 
 
 SCHEMA = "doc_id long, score double, nearest_id long, nearest_cosine double, nearest_toxic int"
 
 
-def _scores(index, vocabulary, cut_points, values):
+def _scores(shared, steps: np.ndarray, values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, terms, known = index.value, Terms(vocabulary.value), {}
-        x.cut_points, x.values = cut_points, values
+        x = shared.value
         for b in arrow_slices(batches):
-            rows = []
-            for text in b.column("text").to_pylist():
-                key = hashlib.md5((text or "").encode()).digest()
-                got = known.get(key)
-                if got is None:
-                    at, cos = x.nearest(*terms.vector(text))
-                    near = (int(x.ids[at[0]]), float(cos[0]), int(x.y[at[0]])) if len(at) else (None, None, None)
-                    got = (x.score(x.vote(at, cos)), *near)
-                    if len(known) < 50_000:
-                        known[key] = got
-                rows.append(got)
-            kinds = (pa.float64(), pa.int64(), pa.float64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))],
-                                             ["doc_id", "score", "nearest_id", "nearest_cosine", "nearest_toxic"])
+            n = b.num_rows
+            text, term, tf = text_terms(b.column("text"))
+            found, cosine = x.search(text, term, tf, n)
+            votes = x.vote(text, term, n, found, cosine)
+            score = values[np.maximum(0, np.searchsorted(steps, votes, side="right") - 1)]
+            best = cosine[:, :, 0]
+            label = (best[:, 1] > best[:, 0]).astype(np.int64)
+            near, none = found[np.arange(n), label, 0], best.max(1) <= 0
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(score, pa.float64()), pa.array(x.ids[near], pa.int64(), mask=none),
+                 pa.array(best.max(1), pa.float64(), mask=none), pa.array(label, pa.int32(), mask=none)],
+                ["doc_id", "score", "nearest_id", "nearest_cosine", "nearest_toxic"])
     return run
 
 
-def fit(docs: DataFrame, labelled: DataFrame, scratch: Scratch, examples: int = EXAMPLES):
-    """The examples, all their terms and each one's weight before document frequencies; ``labelled``: (doc_id, y) to learn from."""
-    count = {r.y: r.c for r in labelled.groupBy("y").agg(F.count("*").alias("c")).collect()}  # two rows
-    if set(count) != {0, 1}:
-        return None
+def examples_of(docs: DataFrame, labelled: DataFrame, scratch: Scratch, examples: int = EXAMPLES):
+    """(doc_id, y, terms, tf) of the examples and how many labelled rows one of label 0 and of 1 stands for, or None.
+
+    ``labelled``: (doc_id, y) to learn from."""
+    labelled = scratch.cut(labelled)
     picked = [labelled.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples) for y in (0, 1)]
     picked = scratch.cut(picked[0].unionByName(picked[1]))  # at most 2 * examples ids
-    body = scratch.cut(docs.select("doc_id", "text").join(picked, "doc_id").dropDuplicates(["doc_id"]).repartition(24))
+    body = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(picked, "doc_id").repartition(24)
+            .mapInArrow(_example_terms, "doc_id long, y int, terms array<long>, tf array<int>").dropDuplicates(["doc_id"])
+            .where(F.size("terms") <= TERMS))
+    body = scratch.cut(body)
+    # at most ``examples`` rows a window: (doc_id, y, size)
+    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
+    kept = (body.select("doc_id", "y", F.size("terms").alias("size")).withColumn("sum", F.sum("size").over(order))
+            .where(F.col("sum") <= ENTRIES).select("doc_id"))
+    body = scratch.cut(body.join(kept, "doc_id"))
+    count = {r.y: r.c for r in labelled.groupBy("y").agg(F.count("*").alias("c")).collect()}  # two rows
     size = {r.y: r.c for r in body.groupBy("y").agg(F.count("*").alias("c")).collect()}
-    if set(size) != {0, 1}:
-        return None
-    terms = (body.mapInArrow(_example_terms, "term string, p long, q long").groupBy("term")
-             .agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toArrow().sort_by("term"))  # terms of at most 2 * examples texts
-    number = {t: i for i, t in enumerate(terms["term"].to_pylist())}
-    p, q = (terms[c].to_numpy() for c in ("p", "q"))
-    telling = np.abs(np.log((p + 0.5) / (size[1] + 1)) - np.log((q + 0.5) / (size[0] + 1))) + FLOOR
-    share = count[1] / (count[0] + count[1])
-    return body, number, telling, (count[0] / size[0], count[1] / size[1]), share
+    return (body, [count[y] / size[y] for y in (0, 1)]) if set(size) == {0, 1} else None
 
 
 def score_documents(docs: DataFrame, labelled: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, score and the nearest example for every row of ``docs``."""
-    spark, fitted = docs.sparkSession, fit(docs, labelled, scratch)
+    sc, fitted = docs.sparkSession.sparkContext, examples_of(docs, labelled, scratch)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if fitted is None:
         return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(None).cast("long").alias("nearest_id"),
                            F.lit(None).cast("double").alias("nearest_cosine"), F.lit(None).cast("int").alias("nearest_toxic"))
-    body, number, telling, weights, share = fitted
-    words = spark.sparkContext.broadcast(number)  # terms of at most 2 * EXAMPLES texts
+    body, stands_for = fitted
+    own = body.toArrow().sort_by("doc_id").combine_chunks()  # at most 2 * EXAMPLES rows and 2 * ENTRIES entries
+    terms, tf, y = own["terms"].combine_chunks(), own["tf"].combine_chunks(), own["y"].to_numpy()
+    first = np.append(0, np.cumsum(terms.value_lengths().to_numpy()))
+    vocabulary, place = np.unique(terms.flatten().to_numpy().view(_U), return_inverse=True)
+    words = sc.broadcast(vocabulary)
     # document frequencies over all documents: a row a term
     counts = docs.mapInArrow(_document_counts(words), "t int, c long").groupBy("t").agg(F.sum("c").alias("c")).toArrow()
+    words.destroy()
     t, c = counts["t"].to_numpy(), counts["c"].to_numpy()
-    df, n = np.zeros(len(number)), int(c[t < 0].sum())
+    df, n = np.zeros(len(vocabulary)), int(c[t < 0].sum())
     df[t[t >= 0]] = c[t >= 0]
-    idf = np.log((1 + n) / (1 + df)) + 1
-    mine = scratch.cut(body.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text")
-                       .mapInArrow(_vectors(words), "doc_id long, y int, terms array<int>, tf array<int>"))
-    own = mine.toArrow().sort_by("doc_id")  # at most 2 * EXAMPLES rows
-    lists = [[x.values.to_numpy() for x in own[name]] for name in ("terms", "tf")]
-    index = BlockMaxIndex(own["doc_id"].to_numpy(), own["y"].to_numpy(), *lists, idf * telling, weights, share)
-    shared = spark.sparkContext.broadcast(index)
-    votes = {r.n: r.vote for r in mine.repartition(24).mapInArrow(_own_votes(shared), "n int, vote double").collect()}
-    index.calibrate(np.array([votes[i] for i in range(own.num_rows)]))
-    return docs.mapInArrow(_scores(shared, words, index.cut_points, index.values), SCHEMA)
+    shared = sc.broadcast(BlockMaxIndex(vocabulary, np.log((1 + n) / (1 + df)) + 1, np.log(1 + n) + 1, own["doc_id"].to_numpy(), y,
+                                        first, place, tf.flatten().to_numpy()))
+    votes = np.zeros(own.num_rows)
+    for r in body.repartition(24).mapInArrow(_own_votes(shared), "n int, vote double").collect():
+        votes[r.n] = r.vote
+    steps, values = pooled(votes, y, np.array(stands_for)[y])
+    out = scratch.cut(docs.mapInArrow(_scores(shared, steps, values), SCHEMA))
+    shared.destroy()
+    return out
 
 
 def held_out(col="doc_id"):

@@ -3,7 +3,9 @@
 import hashlib
 import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -297,25 +299,92 @@ def test_toxicity_learns_a_rare_word_from_few_labels(spark):
     assert all(r.nearest_id is not None for r in held)
 
 
-def test_toxicity_every_term_of_the_examples_has_weight(spark):
-    docs = spark.createDataFrame([(0, "alpha beta"), (1, "gamma beta"), (2, "alpha delta")], "doc_id long, text string")
-    labelled = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, y int")
-    _, number, telling, _, _ = toxicity.fit(docs, labelled, Scratch(spark, "t"))
-    assert set(number) == {t for x in ("alpha beta", "gamma beta") for t in toxicity.terms_of(x)} and (telling > 0).all()
+def plain_toxicity(rows, labels):
+    """(score, cosine of the nearest example) of each text by the docstring, over dictionaries."""
+    def terms(t):
+        return Counter(re.findall(r"[a-z\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in t or "")))
+    bags = {i: terms(t) for i, t in rows}
+    example = {i: y for i, y in sorted(labels.items()) if i in bags}
+    words = {t for i in example for t in bags[i]}
+    df = Counter(t for b in bags.values() for t in b)
+    idf = {t: math.log((1 + len(rows)) / (1 + (df[t] if t in words else 0))) + 1 for t in df}
+
+    def unit(b):
+        v = {t: math.log1p(n) * idf[t] for t, n in b.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    vectors = {i: unit(bags[i]) for i in example}
+
+    def vote(bag, me=None):
+        v, mass, best = unit(bag), [0, 0], 0
+        others = [i for i in example if i != me]
+        share = sum(example[i] for i in others) / max(1, len(others))
+        voice = {}
+        for t in v:
+            every = sum(t in bags[i] for i in others)
+            toxic = sum(t in bags[i] and example[i] for i in others)
+            voice[t] = max(0, toxic - every * share) ** 2 / (every * share + 1)
+        for label in (0, 1):
+            near = sorted(((-sum(x * vectors[i].get(t, 0) for t, x in v.items()), i) for i in others if example[i] == label))
+            near = [(-c, i) for c, i in near if c < 0][:toxicity.NEIGHBOURS]
+            best = max([best, *(c for c, _ in near)])
+            if near:
+                mass[label] = sum(c * sum(voice[t] for t in v if t in bags[i]) for c, i in near) / sum(c for c, _ in near)
+        return mass[1] / (mass[0] + mass[1] + 1), best
+
+    own = [vote(bags[i], i)[0] for i in example]
+    steps, values = toxicity.pooled(np.array(own), np.array(list(example.values())), np.ones(len(own)))
+    return {i: (float(values[max(0, np.searchsorted(steps, v + 1e-12, side="right") - 1)]), cos) for i, (v, cos) in ((i, vote(bags[i])) for i, _ in rows)}
+
+
+def test_toxicity_equals_brute_force(spark):
+    rng, rows, labels = random.Random(12), [], {}
+    for i in range(260):
+        bad = i % 3 == 0
+        w = ["".join(rng.choice("abcde") for _ in range(rng.choice((1, 2, 3, 6)))) for _ in range(rng.randint(1, 40))]
+        rows.append((i, " ".join(w + (["slur", "Slur"] if bad and i % 2 else []))))
+        if i < 200:
+            labels[i] = int(bad)
+    rows += [(300, rows[3][1]), (301, rows[3][1]), (302, ""), (303, None), (304, "123 -- !"), (305, "zzzzzz yyyyyy"), (306, "É é slur")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame(list(labels.items()), "doc_id long, y int")
+    want = plain_toxicity(rows, labels)
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, lab, Scratch(spark, "t")).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs((r.nearest_cosine or 0) - want[i][1]) < 1e-9 for i, r in got.items())
+    assert all(abs(r.score - want[i][0]) < 1e-9 for i, r in got.items())
+
+
+@pytest.mark.parametrize("rows, labels", [
+    ([], []), ([], [(1, 1), (2, 0)]), ([(1, "a b"), (2, None)], []), ([(1, "a b"), (2, "c")], [(1, 1)]),
+    ([(1, ""), (2, None), (3, "a")], [(1, 1), (2, 0)]), ([(1, "a"), (1, "a"), (2, "b")], [(1, 1), (2, 0)]),
+])
+def test_toxicity_of_few_rows(spark, rows, labels):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = toxicity.score_documents(docs, spark.createDataFrame(labels, "doc_id long, y int"), Scratch(spark, "t")).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
 
 
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(6)
-    terms = [sorted(rng.choice(50, rng.integers(1, 8), replace=False).tolist()) for _ in range(500)]
-    tfs = [rng.integers(1, 5, len(t)).tolist() for t in terms]
-    idf = rng.random(50) + 0.5
-    x = toxicity.BlockMaxIndex(range(500), [0] * 500, terms, tfs, idf, (1.0, 1.0), 0.1)
-    dense = np.zeros((500, 50))
-    for i, (t, f) in enumerate(zip(terms, tfs)):
-        dense[i, t] = x.unit(t, f)
-    for q in range(0, 500, 25):
-        _, cos = x.nearest(terms[q], tfs[q])
-        assert np.allclose(cos, np.sort(dense @ dense[q])[::-1][:len(cos)])
+    n, k = 700, toxicity.NEIGHBOURS
+    bags = [np.sort(rng.choice(300, rng.integers(1, 30), replace=False)) for _ in range(n)]
+    first = np.append(0, np.cumsum([len(b) for b in bags]))
+    term, tf, y = np.concatenate(bags), rng.integers(1, 5, first[-1]), rng.integers(0, 2, n)
+    idf, vocabulary = rng.random(300) + 0.5, np.arange(300).astype(np.uint64) * np.uint64(3)
+    x = toxicity.BlockMaxIndex(vocabulary, idf, 2.0, range(n), y, first, term, tf)
+    dense = np.zeros((n, 300))
+    row = np.repeat(np.arange(n), np.diff(first))
+    dense[row, term] = np.log1p(tf) * idf[term]
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    found, cosine = x.search(row, vocabulary[term], tf, n, np.arange(n))
+    every = dense @ dense.T
+    np.fill_diagonal(every, 0)
+    for label in (0, 1):
+        best = -np.sort(-every[:, y == label], axis=1)[:, :k]
+        assert np.allclose(cosine[:, label], best)
+        assert all(np.allclose(every[i, found[i, label][found[i, label] >= 0]], best[i][best[i] > 0][:k]) for i in range(n))
 
 
 def test_language_held_out(spark):
