@@ -125,6 +125,12 @@ class BlockMaxIndex:
         w = w / norm[row]
         self.every = np.bincount(self.term, minlength=v)  # examples that hold a term, and toxic ones
         self.toxic = np.bincount(self.term, self.y[row], v)
+        self.voice = _voice(self.toxic, self.every, self.y.sum(), n)
+        self.rank = np.empty(v, np.int64)  # common terms side by side: they stay in the processor's cache
+        self.rank[np.argsort(-self.every, kind="stable")] = np.arange(v)
+        speaks = self.voice[self.term] > 0
+        ends = np.append(0, np.cumsum(speaks))[self.first]
+        self.spoken, self.spoken_size = np.split(self.rank[self.term[speaks]], ends[1:-1]), np.diff(ends)
         frequent = np.flatnonzero(self.every * RARE > n)
         self.dense = np.full(v, -1)
         self.dense[frequent] = np.arange(len(frequent))
@@ -197,8 +203,9 @@ class BlockMaxIndex:
         found_i, found_s = np.full((n, 2, k), -1), np.zeros((n, 2, k))
         for label in (0, 1):
             own = np.flatnonzero(self.block_label == label)
-            rank = np.argsort(np.argsort(-bound[:, own], axis=1, kind="stable"), axis=1)
-            wanted = rank < FIRST
+            best = np.argsort(-bound[:, own], axis=1, kind="stable")[:, :FIRST]
+            wanted = np.zeros((n, len(own)), bool)
+            np.put_along_axis(wanted, best, True, 1)
             for last in (False, True):
                 for j in np.flatnonzero(wanted.any(0)):
                     rows, c = np.flatnonzero(wanted[:, j]), own[j]
@@ -210,7 +217,7 @@ class BlockMaxIndex:
                     done[rows, c] = True
                 if last:
                     break
-                seen = np.where(done[:, own, None], score[:, own], 0).reshape(n, -1)
+                seen = score[np.arange(n)[:, None], own[best]].reshape(n, -1)
                 kth = np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(n)
                 wanted = ~done[:, own] & (bound[:, own] > 0) & (bound[:, own] >= kth[:, None])
             seen = np.where(done[:, own, None], score[:, own], 0).reshape(n, -1)
@@ -233,31 +240,38 @@ class BlockMaxIndex:
         self.build()
         at = places(self.vocabulary, term)
         some = np.flatnonzero(at >= 0)
-        first, at = np.searchsorted(text[some], np.arange(n + 1)), at[some]
-        toxic, every = self.toxic[at], self.every[at]
-        size, share = len(self.y), self.y.sum()
-        if label is not None:
+        start, at = np.searchsorted(text[some], np.arange(n + 1)), at[some]
+        if label is None:  # only terms with a voice are looked at
+            voice, lists, size = self.voice[at], self.spoken, self.spoken_size
+        else:
             y = label[text[some]]
-            toxic, every, share, size = toxic - y, every - 1, share - y, size - 1
-        expected = every * share / max(1, size)
-        voice = np.maximum(0, toxic - expected) ** 2 / (expected + 1)
+            voice = _voice(self.toxic[at] - y, self.every[at] - 1, self.y.sum() - y, len(self.y) - 1)
+            lists, size = np.split(self.rank[self.term], self.first[1:-1]), np.diff(self.first)
+        at = self.rank[at]
         heard, out = np.zeros(len(self.idf)), np.zeros(n)
         for r in range(n):
-            mine = at[first[r]:first[r + 1]]
-            heard[mine] = voice[first[r]:first[r + 1]]
-            mass = [0.0, 0.0]
-            for c in (0, 1):
-                i = found[r, c][found[r, c] >= 0]
-                if len(i):
-                    held = self.first[i + 1] - self.first[i]
-                    got = np.add.reduceat(heard[self.term[_ranges(self.first[i], held)]], np.cumsum(held) - held)
-                    w = cosine[r, c, :len(i)]
-                    mass[c] = float(w @ got / w.sum())
-            out[r] = mass[1] / (mass[0] + mass[1] + 1)
+            mine = at[start[r]:start[r + 1]]
+            heard[mine] = voice[start[r]:start[r + 1]]
+            near = found[r].ravel()  # -1 has cosine 0
+            some = np.flatnonzero((near >= 0) & (size[near] > 0))
+            said = np.zeros(len(near))
+            if len(some):
+                pick = near[some]
+                ends = np.cumsum(size[pick])
+                said[some] = np.add.reduceat(heard.take(np.concatenate([lists[i] for i in pick.tolist()])), ends - size[pick])
+            total = cosine[r].sum(1)
+            other, toxic = np.divide((cosine[r] * said.reshape(2, -1)).sum(1), total, out=np.zeros(2), where=total > 0)
+            out[r] = toxic / (other + toxic + 1)
             heard[mine] = 0
         return out
 
 
+def _voice(toxic, every, share, size):
+    """Squared significance of ``toxic`` holders among ``every``, where ``share`` of ``size`` examples are toxic; 0 if they are fewer than expected."""
+    expected = every * share / max(1, size)
+    return np.maximum(0, toxic - expected) ** 2 / (expected + 1)
+
+
 def pooled(votes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A rising step function from vote to share of toxic (start and value of each step): adjacent violators are pooled.
     A step starts midway between its first vote and the last one below it."""
