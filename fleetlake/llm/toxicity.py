@@ -43,7 +43,9 @@ TERMS = 20_000  # of one example
 RARE = 16
 BLOCK = 64
 FIRST = 4
-ROWS = 128  # texts searched at a time
+ROWS = 128  # texts searched at a time, fewer where their terms have over ``POSTINGS`` postings
+POSTINGS = 1_000_000
+SLICE = 1 << 19  # bytes of text whose words are cut at a time: bounds what a task holds
 NEIGHBOURS = 40  # of each label
 THRESHOLD = 0.7
 _U = np.uint64
@@ -66,7 +68,7 @@ def _lists(values: np.ndarray, text: np.ndarray, n: int, kind: pa.DataType) -> p
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in arrow_slices(batches):
+    for b in arrow_slices(batches, limit=SLICE):
         text, term, tf = text_terms(b.column("text"))
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), _lists(term.view(np.int64), text, b.num_rows, pa.int64()),
                                           _lists(tf, text, b.num_rows, pa.int32())], ["doc_id", "y", "terms", "tf"])
@@ -83,7 +85,7 @@ def _document_counts(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         total, n = np.zeros(len(vocabulary), np.int64), 0
-        for b in arrow_slices(batches):
+        for b in arrow_slices(batches, limit=SLICE):
             n += b.num_rows
             at = places(vocabulary, text_terms(b.column("text"))[1])
             total += np.bincount(at[at >= 0], minlength=len(total))
@@ -97,6 +99,18 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
 
 
+def _cuts(postings: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``ROWS`` texts and, but for a single text, ``POSTINGS`` postings."""
+    lo, held = 0, 0
+    for i, p in enumerate(postings.tolist()):
+        if i > lo and (i - lo == ROWS or held + p > POSTINGS):
+            yield lo, i
+            lo, held = i, 0
+        held += p
+    if len(postings):
+        yield lo, len(postings)
+
+
 class BlockMaxIndex:
     """Examples as unit TF-IDF vectors, searched block by block.
 
@@ -180,8 +194,8 @@ class BlockMaxIndex:
         norm = np.sqrt(np.bincount(text, w * w, n))
         w = w / norm[text]
         out_i, out_s = np.full((n, 2, k), -1), np.zeros((n, 2, k))
-        for lo in range(0, n, ROWS):
-            hi = min(n, lo + ROWS)
+        post = np.append(np.diff(self.post_first), 0)[at]
+        for lo, hi in _cuts(np.bincount(text, post, n)):
             a, b = np.searchsorted(text, [lo, hi])
             mine = a + np.flatnonzero(at[a:b] >= 0)
             skip = None if without is None else without[lo:hi]
@@ -309,7 +323,7 @@ SCHEMA = "doc_id long, score double, nearest_id long, nearest_cosine double, nea
 def _scores(shared, steps: np.ndarray, values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = shared.value
-        for b in arrow_slices(batches):
+        for b in arrow_slices(batches, limit=SLICE):
             n = b.num_rows
             text, term, tf = text_terms(b.column("text"))
             found, cosine = x.search(text, term, tf, n)
