@@ -17,7 +17,8 @@ A document is the set of its distinct 5-word shingles, each a 64-bit hash. Two s
    above, let it link. What is kept is intersected exactly (sorted arrays of the hashes' low 48 bits).
 
 Defined cases: a null or empty text, or one without words, has no shingles, n_shingles 0, and its own doc_id
-as component; under 5 words the whole sequence is the one shingle; repeated rows give repeated rows; rows with
+as component; under 5 words the whole sequence is the one shingle; repeated rows give repeated rows; rows of one
+doc_id with unlike texts are one document in the links, each row with its own n_shingles; rows with
 a null doc_id are left out of the join (they have no name to link) and come back with a null component; an
 empty table gives an empty table; other columns are ignored.
 """
@@ -130,10 +131,11 @@ def _postings(level):
 
 
 def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The low 48 bits of each element, sorted by them."""
+    """Fingerprint of each set and the low 48 bits of its elements, sorted by them."""
     for b in arrow_slices(batches):
-        low = [np.sort(s & _U(2**48 - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in _sets(b)]
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(low, pa.binary())], ["id", "arr"])
+        sets = [s for s in _sets(b) if len(s)]
+        low = [np.sort(s & _U(2**48 - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([pa.array(list(map(_fingerprint, sets)), pa.int64()), pa.array(low, pa.binary())], ["fp", "arr"])
 
 
 def _unpack(x: bytes) -> np.ndarray:
@@ -263,12 +265,13 @@ class JaccardJoin:
         r = self.reps
         pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("id").alias("a")), "a_")
                  .join(r.select(F.col("fp").alias("b_"), F.col("id").alias("b")), "b_"))
-        pairs = self.s.cut(pairs.select("a", "b"))
+        pairs = self.s.cut(pairs.select("a_", "b_", "a", "b"))
         ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        arrays = self.docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
-        arrays = self.s.cut(arrays.mapInArrow(_arrays, "id long, arr binary").dropDuplicates(["id"]))
-        both = (pairs.join(arrays.select(F.col("id").alias("b"), F.col("arr").alias("xb")), "b")
-                .join(arrays.select(F.col("id").alias("a"), F.col("arr").alias("xa")), "a"))
+        # by fingerprint: rows of one doc_id may have unlike texts
+        arrays = self.docs.join(ids, "doc_id", "left_semi").select("text")
+        arrays = self.s.cut(arrays.mapInArrow(_arrays, "fp long, arr binary").dropDuplicates(["fp"]))
+        both = (pairs.join(arrays.select(F.col("fp").alias("b_"), F.col("arr").alias("xb")), "b_")
+                .join(arrays.select(F.col("fp").alias("a_"), F.col("arr").alias("xa")), "a_"))
         out = self.s.cut(both.select("a", "b", "xa", "xb").mapInArrow(_linked, "a long, b long"))
         self.s.drop(pairs, arrays)
         return out

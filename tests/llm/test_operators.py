@@ -78,6 +78,17 @@ def test_copies_that_only_link_with_their_original_are_one_class_and_few_pairs(s
     assert join.labelled.select("label").distinct().count() == 1  # the links to the hub leave no pairs to ask
 
 
+def test_rows_of_one_document_with_unlike_texts_keep_all_their_links(spark):
+    rng = random.Random(4)
+    x, y, z = (words(rng, 80) for _ in range(3))
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(5, " ".join(x)), (8, " ".join(y)), (8, near(x)), (8, ""), (9, near(y)), (10, " ".join(z)), (11, None), (12, near(z)), (8, near(x))]
+    got = setjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()
+    want = {5: 5, 8: 5, 9: 5, 10: 10, 11: 11, 12: 10}
+    assert sorted((r.doc_id, r.n_shingles) for r in got) == sorted((i, len(shingles(t))) for i, t in rows)
+    assert all(r.component_id == want[r.doc_id] for r in got if r.n_shingles)
+
+
 def test_bitmap_bound_never_undercuts_the_overlap():
     rng = np.random.default_rng(1)
     for _ in range(200):
