@@ -4,6 +4,7 @@ input and timestamp normalisation (FIXTURES.md part C)."""
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlake.plans import ingest
 from fleetlake.schemas import HEALTH, JOBS, TELEMETRY
@@ -120,3 +121,24 @@ def test_t2_tolerance_passes_ingest(spark):
     got = _violations(spark, TELEMETRY, [_with(GOOD_T, T1_us=100.0, T2_us=200.0000005),
                                          _with(GOOD_T, T1_us=100.0, T2_us=200.000002)])
     assert got[0] == [] and got[1] == ["t2_exceeds_2x_t1"]
+
+
+@pytest.mark.parametrize("name", ["telemetry", "calibration", "jobs", "health"])
+def test_the_parse_stays_in_whole_stage_codegen(spark, name, capsys):
+    # rules too large for one method must not take the parse below them out of whole-stage codegen
+    import re
+
+    from fleetlake.schemas import STREAMS
+    from fleetlake.session import apply_runtime_conf
+    apply_runtime_conf(spark)
+    rows = spark.range(10).select(F.concat(F.lit('{"event_id":"'), "id", F.lit('"}')).alias("value"))
+    ingest.validate(rows, STREAMS[name]).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_zone_behind_minutes_and_seconds_reads_as_before(spark):
+    texts = ["2024-01-01T00:00+05:30", "2024-01-01 00:00Z", "2024-01-01T00:00", "2024-01-01T00:00:01.5-01:00", "2024-01-01T00:00Z "]
+    df = spark.createDataFrame([(_with(GOOD_T, timestamp=t),) for t in texts], "value string")
+    got = [None if r.timestamp is None else r.timestamp.isoformat() for r in ingest.validate(df, TELEMETRY).collect()]
+    assert got == ["2023-12-31T18:30:00", "2024-01-01T00:00:00", "2024-01-01T00:00:00", "2024-01-01T01:00:01.500000", None]
