@@ -100,6 +100,33 @@ def test_a_replayed_batch_repeats_only_the_write_without_a_marker(spark, scratch
     assert bronze.scan_bronze(spark, broot, TELEMETRY).count() == bronze_rows
 
 
+@pytest.mark.parametrize("fail_after", [BRONZE, REJECTS])
+def test_a_replayed_batch_is_checked_once(spark, scratch, fail_after, monkeypatch):
+    from fleetlake.plans import ingest as plans_ingest
+    landing, checkpoint = os.path.join(scratch, "landing"), os.path.join(scratch, "ckpt")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write("\n".join([event(1), "{bad"]))
+    checks, validate = [], plans_ingest.validate
+    monkeypatch.setattr(plans_ingest, "validate", lambda *a, **kw: checks.append(1) or validate(*a, **kw))
+
+    def fail(write):
+        if write == fail_after:
+            raise RuntimeError("lost")
+
+    for on_written in (fail, lambda write: None):
+        q = start_ingest(file_messages(spark, landing, TELEMETRY.topic), TELEMETRY, os.path.join(scratch, "b"), os.path.join(scratch, "r"),
+                         checkpoint, available_now=True, on_written=on_written)
+        if on_written is fail:
+            with pytest.raises(StreamingQueryException):
+                q.awaitTermination()
+            assert len(read_rejects(spark, os.path.join(scratch, "r"), TELEMETRY).collect()) == (fail_after == REJECTS)
+    q.awaitTermination()
+    assert len(checks) == 1
+    assert [r.value for r in read_rejects(spark, os.path.join(scratch, "r"), TELEMETRY).collect()] == ["{bad"]
+    assert not os.path.exists(os.path.join(checkpoint, "_batches", "0.rows"))  # gone with the batch
+
+
 def test_no_rejects_no_second_write(spark, scratch):
     from fleetlake.streaming.ingest import ingest_batch
     msgs = spark.createDataFrame([(event(i), "t") for i in range(5)], "value string, topic string")
