@@ -66,6 +66,24 @@ def test_late_rows_rewrite_only_the_dates_they_touch(spark):
     assert incremental.refresh_silver(spark, root, "telemetry", frame([])) == []
 
 
+def test_late_rows_of_other_streams_keep_the_daily_rows_of_the_fact(spark, monkeypatch):
+    from fleetlake.operators import aggregates
+    from fleetlake.plans.pipeline import Layers, build_all
+    root = scratch_path(spark, f"late-{uuid.uuid4().hex}")
+    L = Layers.from_test_tables(spark, "/root/testdata/sf0.001")
+    late = lambda s: F.pmod(F.xxhash64("tie"), F.lit(4)) == 0
+    build_all(spark, Layers(lambda s: L.raw(s).where(~late(s)), lambda: L.dim_device), root, run_tests=False, late_data=True)
+    computed, daily = [], aggregates.telemetry_daily
+    monkeypatch.setattr(aggregates, "telemetry_daily", lambda *a, **kw: computed.append(1) or daily(*a, **kw))
+    for s in ("jobs", "telemetry", "health"):
+        incremental.refresh(spark, root, s, L.raw(s).where(late(s)))
+    assert len(computed) == 1
+    got = tables.read_table(spark, root, "telemetry_daily")
+    want = daily(tables.read_table(spark, root, "fct_telemetry"))
+    rounded = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(*want.columns).collect())
+    assert rounded(got) == rounded(want) and got.count() > 50
+
+
 def event(i, **kv):
     return json.dumps({"event_id": f"e{i}", "device_id": "dev_0", "qubit_id": i % 4, "T1_us": 100.0, "T2_us": 120.0, "gate_error_1q": 0.001,
                        "gate_error_2q": 0.006, "readout_fidelity": 0.98, "timestamp": "2024-01-01T00:00:00Z"} | kv)
