@@ -9,12 +9,15 @@ A document is the set of its distinct 5-word shingles, each a 64-bit hash. Two s
    there form a tile. The order decides only how small tiles are; any order gives all links.
 3. Every class is compared with the smallest member and the hub (the one that has most of its prefix in common
    with others) that most of its tiles name; components of these links label the classes. Then only
-   tiles that hold several labels are left, each set of members once, and in them only pairs of different labels,
-   so a group of thousands of near copies costs its size and not its square.
+   tiles that hold several labels are left, each set of members once, and in them only pairs of different labels.
 4. A tile of two is its one pair. A larger tile is cut into blocks of about ``TILE`` members. Its members are
    banded by signature width (a power of two of at least 2 bits per shingle): a pair of one or two neighbouring
-   bands whose sizes differ by a factor 1.25 at most is kept if the bit counts, which bound the overlap from
-   above, let it link. What is kept is intersected exactly (sorted arrays of the hashes' low 48 bits).
+   bands whose sizes differ by a factor 1.25 at most may link if the bit counts, which bound the overlap from
+   above, let it. A tile gives the members of such pairs and a forest over their labels, not the pairs: fewer
+   rows than it has members, however many pairs there are.
+5. Labels joined by the forests are a group; a link lies within one. Each member's array (sorted, the hashes' low
+   48 bits) goes to its group, cut into blocks of about ``TILE`` members and ``ELEMENTS`` elements of which every two meet,
+   and the pairs that may link there are intersected exactly, but those that links found before already join.
 
 Defined cases: a null or empty text, or one without words, has no shingles, n_shingles 0, and its own doc_id
 as component; under 5 words the whole sequence is the one shingle; repeated rows give repeated rows; rows of one
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import Scratch, arrow_slices, components, mix64, read_table, shingle_sets, utf8
@@ -38,7 +41,9 @@ from fleetlake.llm.common import Scratch, arrow_slices, components, mix64, read_
 WORDS = 5
 SKETCH = 1 << 19  # counters of the order table, in all
 SKETCH_ROWS = 64
-TILE = 2048  # members of a tile's block
+TILE = 2048  # members of a tile's or a group's block
+HASHES = 1 << 21  # of doc_ids, broadcast to pick texts
+ELEMENTS = 1 << 19  # elements of the sets in a group's block
 _U = np.uint64
 
 
@@ -186,34 +191,87 @@ def tile_pairs(n: np.ndarray, label: np.ndarray, sig: list[bytes], side: np.ndar
     return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (np.zeros(0, int),) * 2
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of fingerprints from rows sorted by tile (tok, bi, bj); each once per partition."""
-    held, seen = None, set()
-
-    def pairs(t: pa.RecordBatch) -> list[tuple[int, int]]:
-        bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
-        fp = t.column("fp").to_numpy()
-        i, j = tile_pairs(t.column("n").to_numpy(), t.column("label").to_numpy(), t.column("sig").to_pylist(),
-                          None if bi == bj else t.column("block").to_numpy())
-        new = set(zip(np.minimum(fp[i], fp[j]).tolist(), np.maximum(fp[i], fp[j]).tolist())) - seen
-        if len(seen) < 1_000_000:  # only spares rows: the pairs are made distinct afterwards
-            seen.update(new)
-        return list(new)
-
-    def out(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["a_", "b_"])
-
+def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
+    """The rows of each key from batches sorted by it."""
+    held = None
     for b in batches:
         t = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-        k = np.column_stack([t.column(c).to_numpy() for c in ("tok", "bi", "bj")])
+        if not t.num_rows:
+            continue
+        k = np.column_stack([t.column(c).to_numpy() for c in keys])
         cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1)]
-        rows = []
         for lo, hi in zip(cuts[:-1], cuts[1:]):
-            rows += pairs(t.slice(lo, hi - lo))
+            yield t.slice(lo, hi - lo)
         held = t.slice(cuts[-1])
-        yield out(rows)
     if held is not None and held.num_rows:
-        yield out(pairs(held))
+        yield held
+
+
+def forest(i: np.ndarray, j: np.ndarray, part: np.ndarray, links=None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) that join the same members as all pairs do, one less than the parts they join.
+
+    ``part``: of each member, which others it is joined with already. ``links(i, js)``: those of the pairs that count."""
+    part, out = part.copy(), []
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    cuts = np.flatnonzero(i[1:] != i[:-1]) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(i)]):
+        if lo == hi:
+            continue
+        me, js = int(i[lo]), j[lo:hi]
+        js = js[part[js] != part[me]]
+        if links is not None and len(js):
+            js = js[links(me, js)]
+        if len(js):
+            parts, at = np.unique(part[js], return_index=True)
+            out.append((np.full(len(at), me), js[at]))
+            part[np.isin(part, parts)] = part[me]
+    return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (np.zeros(0, int),) * 2
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by tile (tok, bi, bj): labels (a_, b_) that members may join, and the fingerprints of these members;
+    each once per partition."""
+    seen: list[set] = [set(), set()]
+    for t in _runs(batches, "tok", "bi", "bj"):
+        fp, label = t.column("fp").to_numpy(), t.column("label").to_numpy()
+        side = None if t.column("bi")[0].as_py() == t.column("bj")[0].as_py() else t.column("block").to_numpy()
+        i, j = tile_pairs(t.column("n").to_numpy(), label, t.column("sig").to_pylist(), side)
+        p, q = forest(i, j, np.unique(label, return_inverse=True)[1])
+        edges = set(zip(np.minimum(label[p], label[q]).tolist(), np.maximum(label[p], label[q]).tolist())) - seen[0]
+        asked = set(fp[np.union1d(i, j)].tolist()) - seen[1]
+        for old, new in zip(seen, (edges, asked)):
+            if len(old) < 500_000:  # only spares rows: they are made distinct afterwards
+                old |= new
+        if edges or asked:
+            none = [None] * len(edges)
+            yield pa.RecordBatch.from_arrays([pa.array([*(e[0] for e in edges), *[None] * len(asked)], pa.int64()),
+                                              pa.array([*(e[1] for e in edges), *[None] * len(asked)], pa.int64()),
+                                              pa.array([*none, *asked], pa.int64())], ["a_", "b_", "fp"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of ids that join the labels of a group's block pair as all its links do, from rows sorted by (grp, bi, bj)."""
+    for t in _runs(batches, "grp", "bi", "bj"):
+        label, ids = t.column("label").to_numpy(), t.column("id").to_numpy()
+        side = None if t.column("bi")[0].as_py() == t.column("bj")[0].as_py() else t.column("block").to_numpy()
+        sets = [_unpack(x) for x in t.column("arr").to_pylist()]
+        n = np.array(list(map(len, sets)))
+        first = np.append(0, np.cumsum(n))
+        i, j = tile_pairs(n, label, [signature(x) for x in sets], side)
+        if not len(i):
+            continue
+        place = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+        mine = np.zeros(place.max() + 1, np.int32)
+
+        def links(me: int, js: np.ndarray) -> np.ndarray:
+            mine[place[first[me]:first[me + 1]]] = 1
+            both = np.add.reduceat(mine[np.concatenate([place[first[k]:first[k + 1]] for k in js])], np.append(0, np.cumsum(n[js])[:-1]))
+            mine[place[first[me]:first[me + 1]]] = 0
+            return 100 * both >= 80 * (n[me] + n[js] - both)
+
+        p, q = forest(i, j, np.unique(label, return_inverse=True)[1], links)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[p], pa.int64()), pa.array(ids[q], pa.int64())], ["a", "b"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,6 +288,13 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Each row once per pair (bi, bj) of ``blocks`` that its own ``block``, by its fingerprint, is in."""
+    return (rows.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
+
+
 class JaccardJoin:
     """One run over a table of (doc_id, text). ``result()`` has a row per document."""
 
@@ -248,10 +313,9 @@ class JaccardJoin:
 
     def tiles(self) -> None:
         post = self.docs.where("doc_id IS NOT NULL").mapInArrow(_postings(self.level), "tok long, fp long")
-        shared = post.groupBy("tok").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("tok", "low")
-        shared = self.s.cut(shared)
-        self.posts = self.s.cut(post.join(shared, "tok"))
-        self.s.drop(shared)
+        tile = Window.partitionBy("tok")
+        self.posts = self.s.cut(post.withColumn("low", F.min("fp").over(tile)).withColumn("high", F.max("fp").over(tile))
+                                .where("low <> high").drop("high"))
 
     def bound(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a_, b_) of fingerprints that sizes and signatures let link."""
@@ -260,16 +324,21 @@ class JaccardJoin:
                  .join(r.select(F.col("fp").alias("b_"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b_"))
         return pairs.select("a_", "b_", "na", "nb", "sa", "sb").mapInArrow(_bounded, "a_ long, b_ long")
 
+    def arrays(self, ids: DataFrame) -> DataFrame:
+        """(fp, arr) of the texts of these doc_ids, by fingerprint (rows of one doc_id may have unlike texts), and of some others.
+
+        Texts aren't shuffled: those whose doc_id has the hash of a wanted one stay, told by at most ``HASHES`` numbers."""
+        key = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)).alias("key")
+        texts = self.docs.select("text", key).join(F.broadcast(ids.select(key).distinct()), "key", "left_semi").select("text")
+        return self.s.cut(texts.mapInArrow(_arrays, "fp long, arr binary").dropDuplicates(["fp"]))
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a_, b_) of fingerprints, the linked ones as pairs of ids (a, b)."""
         r = self.reps
         pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("id").alias("a")), "a_")
                  .join(r.select(F.col("fp").alias("b_"), F.col("id").alias("b")), "b_"))
         pairs = self.s.cut(pairs.select("a_", "b_", "a", "b"))
-        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        # by fingerprint: rows of one doc_id may have unlike texts
-        arrays = self.docs.join(ids, "doc_id", "left_semi").select("text")
-        arrays = self.s.cut(arrays.mapInArrow(_arrays, "fp long, arr binary").dropDuplicates(["fp"]))
+        arrays = self.arrays(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
         both = (pairs.join(arrays.select(F.col("fp").alias("b_"), F.col("arr").alias("xb")), "b_")
                 .join(arrays.select(F.col("fp").alias("a_"), F.col("arr").alias("xa")), "a_"))
         out = self.s.cut(both.select("a", "b", "xa", "xb").mapInArrow(_linked, "a long, b long"))
@@ -308,13 +377,24 @@ class JaccardJoin:
             .groupBy("a_", "b_", "c", "all").agg(F.min("tok").alias("tok")).select("tok", "a_", "b_", "c", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")))
         # a tile of two members is its one pair; many tiles are the same two
         twos = self.bound(several.where("c = 2").select("a_", "b_").distinct())
-        rows = (rows.select("tok", "fp").join(several.where("c > 2").select("tok", "blocks"), "tok").join(self.labelled, "fp")
-                .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .select("tok", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "fp", "n", "label", "sig"))
-        pairs = rows.repartition("tok", "bi", "bj").sortWithinPartitions("tok", "bi", "bj").mapInArrow(_tiles, "a_ long, b_ long")
-        more = self.verify(self.s.cut(pairs.unionByName(twos).distinct()))
-        self.edges = self.s.cut(self.edges.unionByName(more))
+        tiles = _block_pairs(rows.select("tok", "fp").join(several.where("c > 2").select("tok", "blocks"), "tok").join(self.labelled, "fp"))
+        tiles = tiles.select("tok", "bi", "bj", "block", "fp", "n", "label", "sig")
+        asked = self.s.cut(tiles.repartition("tok", "bi", "bj").sortWithinPartitions("tok", "bi", "bj").mapInArrow(_tiles, "a_ long, b_ long, fp long"))
+        more = self.verify(twos)
+        self.edges = self.s.cut(self.edges.unionByName(more).unionByName(self.grouped(asked)))
+
+    def grouped(self, asked: DataFrame) -> DataFrame:
+        """Links between labels of a group; ``asked``: pairs of labels (a_, b_) that members ``fp`` may join."""
+        groups = components(asked.where("a_ IS NOT NULL").select(F.col("a_").alias("a"), F.col("b_").alias("b")), self.s)
+        members = self.s.cut(asked.where("fp IS NOT NULL").select("fp").distinct().join(self.labelled.select("fp", "n", "label"), "fp")
+                             .join(groups.select(F.col("id").alias("label"), F.col("component").alias("grp")), "label")
+                             .join(self.reps.select("fp", "id"), "fp"))
+        arrays = self.arrays(members.select(F.col("id").alias("doc_id")).distinct())
+        sizes = members.groupBy("grp").agg(F.ceil(F.greatest(F.count("*") / F.lit(TILE), F.sum("n") / F.lit(ELEMENTS))).cast("int").alias("blocks"))
+        rows = _block_pairs(members.join(sizes, "grp")).join(arrays, "fp").select("grp", "bi", "bj", "block", "id", "label", "arr")
+        out = self.s.cut(rows.repartition("grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj").mapInArrow(_groups, "a long, b long"))
+        self.s.drop(members, arrays)
+        return out
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id."""

@@ -432,3 +432,60 @@ def test_empty_tables(spark, docs):
     tokenfiles.write_tokens(none, out, tokenfiles.vocabulary_path(tokenfiles.VOCABULARY))
     for df in (sharding.shard_by_bytes(none, s), tokenfiles.token_index(spark, out, s), capjoin.near_duplicates(vec, s), annsearch.nearest(vec, vec, s)):
         assert df.count() == 0
+
+
+def test_near_copies_that_do_not_link_make_no_pair_rows_but_lose_no_link(spark, monkeypatch):
+    """A group of near copies under the threshold: tiles gave a row per pair that its bitmaps let link."""
+    rng, base = random.Random(14), words(random.Random(13), 60)
+    texts = []
+    for i in range(160):  # three words of their own, so two copies rarely link; every fourth has a partner that does
+        w = list(base)
+        for k in rng.sample(range(5, 55, 5), 3):
+            w[k] = f"own{i}x{k}"
+        texts.append(" ".join(w))
+        if i % 4 == 0:
+            texts.append(" ".join([*w[:-1], f"last{i}"]))
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for tile, elements in ((setjoin.TILE, setjoin.ELEMENTS), (50, 2000)):  # also in several blocks
+        monkeypatch.setattr(setjoin, "TILE", tile)
+        monkeypatch.setattr(setjoin, "ELEMENTS", elements)
+        got = setjoin.jaccard_components(frame, Scratch(spark, "t")).collect()
+        assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+    assert len(set(root)) > 100
+
+
+def test_a_tile_gives_fewer_rows_than_twice_its_members():
+    import pyarrow as pa
+    rng = np.random.default_rng(15)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 280, replace=False), rng.integers(0, 2**63, 20).astype(np.uint64)])) for _ in range(120)]
+    n, sig, label = [len(s) for s in sets], [setjoin.signature(s) for s in sets], np.arange(120)
+    assert len(setjoin.tile_pairs(np.array(n), label, sig, None)[0]) > 5000
+    one = pa.array([0] * 120, pa.int32())
+    b = pa.RecordBatch.from_arrays([pa.array([7] * 120), one, one, one, pa.array(label), pa.array(n, pa.int64()), pa.array(label), pa.array(sig, pa.binary())],
+                                   ["tok", "bi", "bj", "block", "fp", "n", "label", "sig"])
+    rows = [r for out in setjoin._tiles(iter([b.slice(0, 70), b.slice(70)])) for r in out.to_pylist()]
+    assert len(rows) < 240 and {r["fp"] for r in rows if r["fp"] is not None} == set(range(120))
+    assert sum(r["a_"] is not None for r in rows) == 119
+
+
+def test_forest_joins_what_all_pairs_join():
+    rng = np.random.default_rng(16)
+    for _ in range(50):
+        n = int(rng.integers(2, 40))
+        i, j, part = rng.integers(0, n, 30), rng.integers(0, n, 30), rng.integers(0, n, n)
+
+        def joined(pairs):
+            p = part.copy()
+            for a, b in pairs:
+                p[p == p[a]] = p[b]
+            return {frozenset(np.flatnonzero(p == x)) for x in p}
+        p, q = setjoin.forest(i, j, part)
+        assert joined(zip(i, j)) == joined(zip(p, q)) and len(p) == len(set(part)) - len(joined(zip(i, j)))
