@@ -22,14 +22,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm.common import arrow_slices, read_table
+from fleetlake.llm.common import arrow_slices, read_table, worker_cache
 from fleetlake.llm.segments import WordCache
 from fleetlake.llm.tokenfiles import vocabulary_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-PIECES_KEPT = 600_000
-PAIRS_KEPT = 1_000_000  # what a worker remembers; changes no result
+PIECES_KEPT = 300_000
+PAIRS_KEPT = 400_000  # what a worker remembers; changes no result
 
 
 class Bpe:
@@ -130,12 +130,9 @@ class Editable:
         return [t] if t is not None else self.bpe.back(self.last)
 
 
-_loaded: dict[str, tuple[Bpe, WordCache]] = {}
-
-
 def load(path: str) -> tuple[Bpe, WordCache]:
     """Encoder and word cache of a rank file, one per Python worker."""
-    if path not in _loaded:
+    def make() -> tuple[Bpe, WordCache]:
         import public_tokenizers
 
         with open(path, "rb") as f:
@@ -157,8 +154,9 @@ def load(path: str) -> tuple[Bpe, WordCache]:
                 out.append(array("I", ids).tobytes())
             return out
 
-        _loaded[path] = bpe, WordCache(encode)
-    return _loaded[path]
+        return bpe, WordCache(encode)
+
+    return worker_cache(("bpe", path), make)
 
 
 def _digests(path: str):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.session import scratch_path
 
-CHUNK_BYTES = 2 << 20  # text handled by one round of vectorised work (one longer text still goes whole)
+CHUNK_BYTES = 1 << 20  # text handled by one round of vectorised work (one longer text still goes whole)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -74,6 +74,24 @@ class Scratch:
             fs.delete(path, True)
 
 
+_kept: dict = {}
+
+
+def worker_cache(key, make):
+    """What ``make`` gives, kept in a Python worker until a task asks for another or frees it: workers outlive stages."""
+    if key not in _kept:
+        free_caches()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def free_caches() -> None:
+    """Frees what an earlier stage's tasks left in this Python worker."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+
+
 def arrow_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of ``column`` (never less than one row)."""
     for b in batches:

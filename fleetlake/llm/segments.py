@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 
 
 def _bare(c: str) -> bool:

@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, read_table
+from fleetlake.llm.common import Scratch, arrow_slices, read_table, worker_cache
 from fleetlake.llm.segments import WordCache
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 ROW_INDEX = 1000
 FILE_SCHEMA = "part int, slot long, doc_id long, ids array<int>"
-_caches: dict[str, WordCache] = {}
 
 
 def vocabulary_path(name: str) -> str:
@@ -41,7 +40,7 @@ def vocabulary_path(name: str) -> str:
 
 def word_cache(path: str) -> WordCache:
     """One per Python worker and vocabulary."""
-    if path not in _caches:
+    def make() -> WordCache:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -52,8 +51,9 @@ def word_cache(path: str) -> WordCache:
         def encode(words: list[str]) -> list[bytes]:
             return [array("i", e.ids).tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
 
-        _caches[path] = WordCache(encode)
-    return _caches[path]
+        return WordCache(encode)
+
+    return worker_cache(("token files", path), make)
 
 
 def _encoder(path: str, end_id: int):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, read_table, utf8, word_hashes
+from fleetlake.llm.common import Scratch, arrow_slices, free_caches, read_table, utf8, word_hashes
 
 EXAMPLES = 3000
 ENTRIES = 2_000_000  # terms of one label's examples, summed: bounds what is sent to the tasks
@@ -68,6 +68,7 @@ def _lists(values: np.ndarray, text: np.ndarray, n: int, kind: pa.DataType) -> p
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    free_caches()
     for b in arrow_slices(batches, limit=SLICE):
         text, term, tf = text_terms(b.column("text"))
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), _lists(term.view(np.int64), text, b.num_rows, pa.int64()),
@@ -83,6 +84,7 @@ def places(vocabulary: np.ndarray, term: np.ndarray) -> np.ndarray:
 def _document_counts(shared):
     """(term, documents) of a partition; term -1 stands for every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches()
         vocabulary = shared.value
         total, n = np.zeros(len(vocabulary), np.int64), 0
         for b in arrow_slices(batches, limit=SLICE):
@@ -133,7 +135,7 @@ class BlockMaxIndex:
         if self._built:
             return self
         n, v = len(self.ids), len(self.idf)
-        row = np.repeat(np.arange(n), np.diff(self.first))
+        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
         w = np.log1p(self.tf) * self.idf[self.term]
         norm = np.sqrt(np.bincount(row, w * w, n))
         w = w / norm[row]
@@ -146,16 +148,17 @@ class BlockMaxIndex:
         ends = np.append(0, np.cumsum(speaks))[self.first]
         self.spoken, self.spoken_size = np.split(self.rank[self.term[speaks]], ends[1:-1]), np.diff(ends)
         frequent = np.flatnonzero(self.every * RARE > n)
-        self.dense = np.full(v, -1)
+        self.dense = np.full(v, -1, np.int32)
         self.dense[frequent] = np.arange(len(frequent))
         d = self.dense[self.term]
+        held = np.flatnonzero(d >= 0)
         matrix = np.zeros((n, len(frequent)), np.float64)
-        matrix[row[d >= 0], d[d >= 0]] = w[d >= 0]
+        matrix[row[held], d[held]] = w[held]
         self._order(matrix)
-        m = np.zeros((self.columns, len(frequent)), np.float64)
-        m[self.place] = matrix
-        self.matrix = np.ascontiguousarray(m.T)
-        self.top = np.ascontiguousarray(m.reshape(self.columns // BLOCK, BLOCK, len(frequent)).max(1).T)
+        del matrix
+        self.matrix = np.zeros((len(frequent), self.columns), np.float64)
+        self.matrix[d[held], self.place[row[held]]] = w[held]
+        self.top = self.matrix.reshape(len(frequent), self.columns // BLOCK, BLOCK).max(2)
         # posting lists of the other terms
         rare = np.flatnonzero(d < 0)
         rare = rare[np.argsort(self.term[rare], kind="stable")]
@@ -303,6 +306,7 @@ def pooled(votes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.nda
 
 def _own_votes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches()
         x = shared.value
         for b in batches:
             if not b.num_rows:
@@ -322,6 +326,7 @@ SCHEMA = "doc_id long, score double, nearest_id long, nearest_cosine double, nea
 
 def _scores(shared, steps: np.ndarray, values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches()
         x = shared.value
         for b in arrow_slices(batches, limit=SLICE):
             n = b.num_rows

@@ -489,3 +489,15 @@ def test_forest_joins_what_all_pairs_join():
             return {frozenset(np.flatnonzero(p == x)) for x in p}
         p, q = setjoin.forest(i, j, part)
         assert joined(zip(i, j)) == joined(zip(p, q)) and len(p) == len(set(part)) - len(joined(zip(i, j)))
+
+
+def test_a_worker_frees_what_another_stage_left():
+    """The BPE stage's dictionaries stayed in a reused Python worker beside the next stage's index."""
+    import weakref
+
+    from fleetlake.llm import common
+    enc, cache = bpe.load(tokenfiles.vocabulary_path(bpe.VOCABULARY))
+    assert bpe.load(tokenfiles.vocabulary_path(bpe.VOCABULARY))[1] is cache
+    left = weakref.ref(cache)
+    del enc, cache
+    assert list(toxicity._example_terms(iter([]))) == [] and left() is None and not common._kept
