@@ -22,13 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm.common import arrow_slices, read_table, worker_cache
+from fleetlake.llm.common import arrow_slices, ranges, read_table, worker_cache
 from fleetlake.llm.segments import WordCache
 from fleetlake.llm.tokenfiles import vocabulary_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-PIECES_KEPT = 300_000
 PAIRS_KEPT = 400_000  # what a worker remembers; changes no result
 
 
@@ -102,12 +101,13 @@ class Bpe:
     def encode(self, text: str) -> list[int]:
         return [t for p in self.pattern.findall(text) for t in self.piece(p.encode())]
 
-    def decode(self, ids: np.ndarray) -> bytes:
+    def decode_all(self, ids: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of the texts whose ids stand at their offsets."""
         n = self.size[ids]
-        at = np.cumsum(n)
-        if not len(at):
-            return b""
-        return self.flat[np.repeat(self.begin[ids] - at + n, n) + np.arange(at[-1])].tobytes()
+        return self.flat[ranges(self.begin[ids], n)], np.append(0, np.cumsum(n))[off]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return self.decode_all(ids, np.array([0]))[0].tobytes()
 
 
 class Editable:
@@ -138,21 +138,9 @@ def load(path: str) -> tuple[Bpe, WordCache]:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         bpe = Bpe(ranks, public_tokenizers.PATTERN)
-        known: dict[str, list[int]] = {}
-
-        def encode(words: list[str]) -> list[bytes]:
-            if len(known) > PIECES_KEPT:
-                known.clear()
-            out = []
-            for w in words:
-                ids: list[int] = []
-                for p in bpe.pattern.findall(w):
-                    got = known.get(p)
-                    if got is None:
-                        got = known[p] = bpe.piece(p.encode())
-                    ids += got
-                out.append(array("I", ids).tobytes())
-            return out
+
+        def encode(segments: list[str]) -> list[bytes]:
+            return [array("i", bpe.encode(s)).tobytes() for s in segments]
 
         return bpe, WordCache(encode)
 
@@ -163,24 +151,26 @@ def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, cache = load(path)
         for b in arrow_slices(batches):
-            ids = cache.encode_texts([t or "" for t in b.column("text").to_pylist()])
-            back = [bpe.decode(np.frombuffer(x, "<u4")) for x in ids]
+            ids, off = cache.encode_column(b.column("text"))
+            back, ends = bpe.decode_all(ids, off)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in back])],
+                [b.column("doc_id"), pa.array(np.diff(off), pa.int64()), _sha256(ids.astype("<u4", copy=False), off), _sha256(back, ends)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 
 
+def _sha256(values: np.ndarray, off: np.ndarray) -> pa.Array:
+    raw, at = memoryview(np.ascontiguousarray(values)).cast("B"), (off * values.itemsize).tolist()
+    return pa.array([hashlib.sha256(raw[lo:hi]).hexdigest() for lo, hi in zip(at[:-1], at[1:])], pa.string())
+
+
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, cache = load(path)
         for b in arrow_slices(batches):
-            ids = cache.encode_texts([t or "" for t in b.column("text").to_pylist()])
-            off = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            ids, off = cache.encode_column(b.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(off), pa.array(np.frombuffer(b"".join(ids), np.int32)))],
-                ["doc_id", "ids"])
+                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
     return run
 
 

@@ -165,6 +165,19 @@ def word_hashes(raw: np.ndarray, off: np.ndarray, gap: np.ndarray = _SPACE) -> t
     return h, start, end, np.searchsorted(start, off)
 
 
+def byte_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes from each start to its end."""
+    up, down = _powers(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, _U)
+    np.cumsum(_TABLE[raw] * up[:len(raw)], out=total[1:])
+    return mix64((total[end] - total[start]) * down[start] + (end - start).astype(_U))
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... size[0] of them, then those of start[1], and so on."""
+    return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
+
+
 def sequence_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of k neighbouring words (runs over a text's end are the caller's to leave out)."""
     if len(h) < k:

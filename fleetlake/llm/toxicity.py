@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, free_caches, read_table, utf8, word_hashes
+from fleetlake.llm.common import Scratch, arrow_slices, free_caches, ranges, read_table, utf8, word_hashes
 
 EXAMPLES = 3000
 ENTRIES = 2_000_000  # terms of one label's examples, summed: bounds what is sent to the tasks
@@ -96,11 +96,6 @@ def _document_counts(shared):
     return run
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """start[0], start[0] + 1, ... size[0] of them, then those of start[1], and so on."""
-    return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
-
-
 def _cuts(postings: np.ndarray) -> Iterator[tuple[int, int]]:
     """Runs of at most ``ROWS`` texts and, but for a single text, ``POSTINGS`` postings."""
     lo, held = 0, 0
@@ -212,7 +207,7 @@ class BlockMaxIndex:
         q[text[d >= 0], d[d >= 0]] = w[d >= 0]
         r = np.flatnonzero(d < 0)
         size = self.post_first[at[r] + 1] - self.post_first[at[r]]
-        p = _ranges(self.post_first[at[r]], size)
+        p = ranges(self.post_first[at[r]], size)
         score = np.bincount(np.repeat(text[r] * self.columns, size) + self.post_at[p], np.repeat(w[r], size) * self.post_w[p],
                             n * self.columns).astype(np.float64, copy=False).reshape(n, blocks, BLOCK)  # without rows it counts in integers
         bound = q @ self.top + score.max(2) + 1e-12
