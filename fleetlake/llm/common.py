@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterable, Iterator
@@ -74,6 +75,7 @@ class Scratch:
             fs.delete(path, True)
 
 
+_LIBC = ctypes.CDLL(None)
 _kept: dict = {}
 
 
@@ -90,6 +92,15 @@ def free_caches() -> None:
     if _kept:
         _kept.clear()
         gc.collect()
+    release_memory()
+
+
+def release_memory() -> None:
+    """Gives freed memory, which Arrow's pool and the C library would keep, back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def arrow_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, free_caches, ranges, read_table, utf8, word_hashes
+from fleetlake.llm.common import Scratch, arrow_slices, free_caches, ranges, read_table, release_memory, utf8, word_hashes
 
 EXAMPLES = 3000
 ENTRIES = 2_000_000  # terms of one label's examples, summed: bounds what is sent to the tasks
@@ -160,6 +160,8 @@ class BlockMaxIndex:
         self.post_at, self.post_w = self.place[row[rare]], w[rare]
         self.post_first = np.searchsorted(self.term[rare], np.arange(v + 1))
         self._built = True
+        del row, w, d, held, rare, speaks, ends, frequent
+        release_memory()
         return self
 
     def _order(self, matrix: np.ndarray) -> None:

@@ -1,12 +1,13 @@
-"""Segments and the worker's cache of their ids."""
+"""Segments, the worker's cache of their ids, and what a worker gives back."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from fleetlake.llm import bpe, segments, tokenfiles
+from fleetlake.llm import bpe, common, segments, tokenfiles
 
 PIECES = ["word", "a", "é", "Éa", "×", ".", ",", "!", "'s", "'", "12", " ", "  ", "\n", "\r\n", "\t", " ", " ", "　", " ", "\u0085",
           "᠎", "​", "﻿", "\x1c", "\x0b", "\x00", "<", "<|endoftext|>", "<|endof", "中文", "🙂", "’", "-", "é", "º", "…"]
@@ -59,3 +60,19 @@ def test_a_full_cache_keeps_the_words_met_again(monkeypatch):
     for k in range(30):
         cache.encode_column(pa.array([often, often.replace(" ", ", "), " ".join(f"once{k}x{i}" for i in range(200))]))
     assert max(asked.count(f" often{i}") for i in range(1, 100)) == 1 and len(cache.keys) == len(cache.place) == cache.again.n <= 1500
+
+
+def _anonymous():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read()).group(1)) // 1024
+
+
+def test_freed_memory_goes_back_to_the_machine():
+    """A worker kept some 170 MB of what the BPE stage had freed, beside toxicity's index."""
+    common.free_caches()
+    before = _anonymous()
+    left = [bytes(9000) for _ in range(20_000)]  # too small for pages of their own
+    kept = left[::4000]
+    del left
+    common.free_caches()
+    assert _anonymous() - before < 60 and len(kept) == 5
