@@ -22,12 +22,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm.common import arrow_slices, ranges, read_table, worker_cache
+from fleetlake.llm.common import arrow_slices, ranges, read_table, release_memory, worker_cache
 from fleetlake.llm.segments import WordCache
 from fleetlake.llm.tokenfiles import vocabulary_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+SLICE = 1 << 19  # bytes of text encoded at a time: bounds what a task holds
 PAIRS_KEPT = 400_000  # what a worker remembers; changes no result
 
 
@@ -36,7 +37,7 @@ class Bpe:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # a << 32 | b
         self.whole: dict[int, bool] = {}
         size = np.zeros(max(self.tokens) + 1, np.int64)
         for r, t in self.tokens.items():
@@ -55,11 +56,11 @@ class Bpe:
         return [self.ranks[p] for p in parts]
 
     def follows(self, a: int, b: int) -> bool:
-        ok = self.pairs.get((a, b))
+        ok = self.pairs.get(a << 32 | b)
         if ok is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            ok = self.pairs[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
+            ok = self.pairs[a << 32 | b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
         return ok
 
     def reachable(self, t: int) -> bool:
@@ -79,7 +80,7 @@ class Bpe:
                         if self.reachable(t):
                             break
                     else:
-                        ok = pairs.get((last[j], t))
+                        ok = pairs.get(last[j] << 32 | t)
                         if self.follows(last[j], t) if ok is None else ok:
                             break
             else:
@@ -150,12 +151,13 @@ def load(path: str) -> tuple[Bpe, WordCache]:
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, cache = load(path)
-        for b in arrow_slices(batches):
+        for b in arrow_slices(batches, limit=SLICE):
             ids, off = cache.encode_column(b.column("text"))
             back, ends = bpe.decode_all(ids, off)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(np.diff(off), pa.int64()), _sha256(ids.astype("<u4", copy=False), off), _sha256(back, ends)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            release_memory()
     return run
 
 
@@ -167,7 +169,7 @@ def _sha256(values: np.ndarray, off: np.ndarray) -> pa.Array:
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, cache = load(path)
-        for b in arrow_slices(batches):
+        for b in arrow_slices(batches, limit=SLICE):
             ids, off = cache.encode_column(b.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
