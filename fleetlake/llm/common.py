@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fleetlake.session import scratch_path
 
 CHUNK_BYTES = 1 << 20  # text handled by one round of vectorised work (one longer text still goes whole)
+FILE_BYTES = 4 << 20  # of a table that is written like another
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -52,7 +53,16 @@ class Scratch:
         self.n += 1
         return f"{self.root}/{self.n}"
 
-    def cut(self, df: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, *like: DataFrame) -> DataFrame:
+        """``like``: written tables, together about as large as ``df`` at least. It is then written in files of about
+        ``FILE_BYTES`` of theirs, one per core at least, not in one per shuffle partition: on a local file system
+        each file costs processes that change its mode."""
+        if like:
+            size = 0
+            for x in like:
+                path, fs = self._fs(x._scratch)
+                size += fs.getContentSummary(path).getLength()
+            df = df.coalesce(max(self.spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES)))
         where = self.path()
         df.write.parquet(where)
         gc.collect()  # frames that nothing names any more free their shuffle files
@@ -215,27 +225,27 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int = 5) -> list[np.ndarra
     return out
 
 
-def components(edges: DataFrame, scratch: Scratch, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, *like: DataFrame, rounds: int = 50) -> DataFrame:
     """(id, component): smallest id reachable over undirected ``edges`` (a, b), for every id on an edge.
 
-    Alternating star contraction: each round hangs every node's neighbours under the smallest one. Rounds
+    ``like``: written tables that hold the edges. Alternating star contraction: each round hangs every node's neighbours under the smallest one. Rounds
     are written tables; the driver sees one count per round.
     """
     star = scratch.cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                       .where("u <> v").distinct())
+                       .where("u <> v").distinct(), *like)
     for _ in range(rounds):
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        low = scratch.cut(low)
+        low = scratch.cut(low, star)
         # large star: neighbours above u hang under the smallest around u
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.cut(large.where("u <> v").distinct())
+        large = scratch.cut(large.where("u <> v").distinct(), star)
         # small star: u and its neighbours below hang under the smallest of them
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = scratch.cut(small)
+        small = scratch.cut(small, large)
         nxt = (large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        nxt = scratch.cut(nxt)
+        nxt = scratch.cut(nxt, large, small)
         # done when every u has one v and no v is itself a u
         done = (nxt.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
                 and nxt.join(nxt.select(F.col("u").alias("v")), "v", "left_semi").isEmpty())

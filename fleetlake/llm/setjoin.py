@@ -156,17 +156,16 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a_", "b_"]).filter(pa.array(keep, pa.bool_()))
 
 
-def tile_pairs(n: np.ndarray, label: np.ndarray, sig: list[bytes], side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Members (i, j) of one tile with different labels that sizes and signatures let link.
+def pair_slices(n: np.ndarray, label: np.ndarray, sig: list[bytes], side: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Members (i, j) of one tile with different labels that sizes and signatures let link, about a million at most at a time.
 
     ``side``: the block of each member where the tile pairs two blocks (pairs within a block are another tile's).
     """
     names, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
     if len(names) < 2:
-        return np.zeros(0, int), np.zeros(0, int)
+        return
     left = np.flatnonzero(inverse != count.argmax())  # pairs within the largest label aren't asked
     width = np.array(list(map(len, sig)))
-    out = []
     for w in np.unique(width[left]):
         own = left[width[left] == w]
         for v in (w // 2, w, 2 * w):
@@ -187,10 +186,19 @@ def tile_pairs(n: np.ndarray, label: np.ndarray, sig: list[bytes], side: np.ndar
                 if side is not None:
                     ok &= side[i][:, None] != side[other]
                 r, c = np.nonzero(ok)
-                out.append((i[r], other[c]))
+                if len(r):
+                    yield i[r], other[c]
+
+
+def _joined(out: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (np.zeros(0, int),) * 2
 
 
+def tile_pairs(n: np.ndarray, label: np.ndarray, sig: list[bytes], side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``pair_slices`` at once: the square of a tile's members."""
+    return _joined(list(pair_slices(n, label, sig, side)))
+
+
 def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
     """The rows of each key from batches sorted by it."""
     held = None
@@ -211,7 +219,12 @@ def forest(i: np.ndarray, j: np.ndarray, part: np.ndarray, links=None) -> tuple[
     """Pairs (i, j) that join the same members as all pairs do, one less than the parts they join.
 
     ``part``: of each member, which others it is joined with already. ``links(i, js)``: those of the pairs that count."""
-    part, out = part.copy(), []
+    return _grow(i, j, part.copy(), links)
+
+
+def _grow(i: np.ndarray, j: np.ndarray, part: np.ndarray, links=None) -> tuple[np.ndarray, np.ndarray]:
+    """``forest``, which keeps in ``part`` what it has joined."""
+    out = []
     order = np.argsort(i, kind="stable")
     i, j = i[order], j[order]
     cuts = np.flatnonzero(i[1:] != i[:-1]) + 1
@@ -226,7 +239,7 @@ def forest(i: np.ndarray, j: np.ndarray, part: np.ndarray, links=None) -> tuple[
             parts, at = np.unique(part[js], return_index=True)
             out.append((np.full(len(at), me), js[at]))
             part[np.isin(part, parts)] = part[me]
-    return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (np.zeros(0, int),) * 2
+    return _joined(out)
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,10 +249,13 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in _runs(batches, "tok", "bi", "bj"):
         fp, label = t.column("fp").to_numpy(), t.column("label").to_numpy()
         side = None if t.column("bi")[0].as_py() == t.column("bj")[0].as_py() else t.column("block").to_numpy()
-        i, j = tile_pairs(t.column("n").to_numpy(), label, t.column("sig").to_pylist(), side)
-        p, q = forest(i, j, np.unique(label, return_inverse=True)[1])
+        part, met, out = np.unique(label, return_inverse=True)[1], np.zeros(len(fp), bool), []
+        for i, j in pair_slices(t.column("n").to_numpy(), label, t.column("sig").to_pylist(), side):
+            met[i] = met[j] = True
+            out.append(_grow(i, j, part))
+        p, q = _joined(out)
         edges = set(zip(np.minimum(label[p], label[q]).tolist(), np.maximum(label[p], label[q]).tolist())) - seen[0]
-        asked = set(fp[np.union1d(i, j)].tolist()) - seen[1]
+        asked = set(fp[met].tolist()) - seen[1]
         for old, new in zip(seen, (edges, asked)):
             if len(old) < 500_000:  # only spares rows: they are made distinct afterwards
                 old |= new
@@ -258,11 +274,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [_unpack(x) for x in t.column("arr").to_pylist()]
         n = np.array(list(map(len, sets)))
         first = np.append(0, np.cumsum(n))
-        i, j = tile_pairs(n, label, [signature(x) for x in sets], side)
-        if not len(i):
-            continue
-        place = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
-        mine = np.zeros(place.max() + 1, np.int32)
+        place = mine = None
 
         def links(me: int, js: np.ndarray) -> np.ndarray:
             mine[place[first[me]:first[me + 1]]] = 1
@@ -270,8 +282,13 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine[place[first[me]:first[me + 1]]] = 0
             return 100 * both >= 80 * (n[me] + n[js] - both)
 
-        p, q = forest(i, j, np.unique(label, return_inverse=True)[1], links)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[p], pa.int64()), pa.array(ids[q], pa.int64())], ["a", "b"])
+        part = np.unique(label, return_inverse=True)[1]
+        for i, j in pair_slices(n, label, [signature(x) for x in sets], side):
+            if place is None:
+                place = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+                mine = np.zeros(place.max() + 1, np.int32)
+            p, q = _grow(i, j, part, links)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[p], pa.int64()), pa.array(ids[q], pa.int64())], ["a", "b"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +326,7 @@ class JaccardJoin:
         self.level = out.sparkSession.sparkContext.broadcast(level)  # SKETCH bytes
         # a class: its sets' size, its smallest doc_id, its signature
         self.reps = self.s.cut(self.prof.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp", "n").agg(
-            F.min("doc_id").alias("id"), F.max("sig").alias("sig")))
+            F.min("doc_id").alias("id"), F.max("sig").alias("sig")), out)
 
     def tiles(self) -> None:
         post = self.docs.where("doc_id IS NOT NULL").mapInArrow(_postings(self.level), "tok long, fp long")
@@ -337,11 +354,11 @@ class JaccardJoin:
         r = self.reps
         pairs = (pairs.join(r.select(F.col("fp").alias("a_"), F.col("id").alias("a")), "a_")
                  .join(r.select(F.col("fp").alias("b_"), F.col("id").alias("b")), "b_"))
-        pairs = self.s.cut(pairs.select("a_", "b_", "a", "b"))
+        pairs = self.s.cut(pairs.select("a_", "b_", "a", "b"), self.members)
         arrays = self.arrays(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
         both = (pairs.join(arrays.select(F.col("fp").alias("b_"), F.col("arr").alias("xb")), "b_")
                 .join(arrays.select(F.col("fp").alias("a_"), F.col("arr").alias("xa")), "a_"))
-        out = self.s.cut(both.select("a", "b", "xa", "xb").mapInArrow(_linked, "a long, b long"))
+        out = self.s.cut(both.select("a", "b", "xa", "xb").mapInArrow(_linked, "a long, b long"), arrays)
         self.s.drop(pairs, arrays)
         return out
 
@@ -350,11 +367,11 @@ class JaccardJoin:
         that most of its tiles name. A hub is the member of which the largest part of the
         prefix is shared: a text that was copied with changes shares all of it, its copies have shingles of their
         own. Links only save work; ``mixed`` finds every other one."""
-        self.members = self.s.cut(self.posts.select("tok", "fp").distinct())
+        self.members = self.s.cut(self.posts.select("tok", "fp").distinct(), self.posts)
         prefix = F.expr("n - (4 * n + 4) div 5 + 1")
         own = self.s.cut(self.members.groupBy("fp").agg(F.count("*").alias("c")).join(self.reps.select("fp", "n"), "fp")
-                         .select("fp", (F.col("c") / prefix).alias("part")))
-        hubs = self.s.cut(self.members.join(own, "fp").groupBy("tok").agg(F.max_by("fp", F.struct("part", "fp")).alias("hub")))
+                         .select("fp", (F.col("c") / prefix).alias("part")), self.members)
+        hubs = self.s.cut(self.members.join(own, "fp").groupBy("tok").agg(F.max_by("fp", F.struct("part", "fp")).alias("hub")), self.members)
         stars = None
         for end, rows in (("low", self.posts), ("hub", self.members.join(hubs, "tok"))):
             votes = rows.where(F.col("fp") != F.col(end)).groupBy("fp", end).agg(F.count("*").alias("c"))
@@ -363,32 +380,33 @@ class JaccardJoin:
             stars = star if stars is None else stars.unionByName(star)
         self.edges = self.verify(self.bound(stars.distinct()))
         self.s.drop(own, hubs)
-        labels = components(self.edges, self.s)
+        labels = components(self.edges, self.s, self.edges)
         self.labelled = self.s.cut(self.reps.join(labels, "id", "left").select(
-            "fp", "n", "sig", F.coalesce("component", "id").alias("label")))
+            "fp", "n", "sig", F.coalesce("component", "id").alias("label")), self.reps)
 
     def mixed(self) -> None:
         """Links between labels, from tiles that hold several."""
-        rows = self.s.cut(self.members.join(self.labelled.select("fp", "label"), "fp"))
+        rows = self.s.cut(self.members.join(self.labelled.select("fp", "label"), "fp"), self.members)
         several = self.s.cut(rows.groupBy("tok").agg(
             F.min("label").alias("x"), F.max("label").alias("y"), F.min("fp").alias("a_"), F.max("fp").alias("b_"),
             F.count("*").alias("c"), F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("all")).where("x <> y")
             # tiles of the same members ask the same pairs: one of them stays
-            .groupBy("a_", "b_", "c", "all").agg(F.min("tok").alias("tok")).select("tok", "a_", "b_", "c", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")))
+            .groupBy("a_", "b_", "c", "all").agg(F.min("tok").alias("tok")).select("tok", "a_", "b_", "c", F.ceil(F.col("c") / F.lit(TILE)).cast("int").alias("blocks")), rows)
         # a tile of two members is its one pair; many tiles are the same two
         twos = self.bound(several.where("c = 2").select("a_", "b_").distinct())
         tiles = _block_pairs(rows.select("tok", "fp").join(several.where("c > 2").select("tok", "blocks"), "tok").join(self.labelled, "fp"))
         tiles = tiles.select("tok", "bi", "bj", "block", "fp", "n", "label", "sig")
         asked = self.s.cut(tiles.repartition("tok", "bi", "bj").sortWithinPartitions("tok", "bi", "bj").mapInArrow(_tiles, "a_ long, b_ long, fp long"))
         more = self.verify(twos)
-        self.edges = self.s.cut(self.edges.unionByName(more).unionByName(self.grouped(asked)))
+        links = self.edges, more, self.grouped(asked)
+        self.edges = self.s.cut(links[0].unionByName(links[1]).unionByName(links[2]), *links)
 
     def grouped(self, asked: DataFrame) -> DataFrame:
         """Links between labels of a group; ``asked``: pairs of labels (a_, b_) that members ``fp`` may join."""
-        groups = components(asked.where("a_ IS NOT NULL").select(F.col("a_").alias("a"), F.col("b_").alias("b")), self.s)
+        groups = components(asked.where("a_ IS NOT NULL").select(F.col("a_").alias("a"), F.col("b_").alias("b")), self.s, asked)
         members = self.s.cut(asked.where("fp IS NOT NULL").select("fp").distinct().join(self.labelled.select("fp", "n", "label"), "fp")
                              .join(groups.select(F.col("id").alias("label"), F.col("component").alias("grp")), "label")
-                             .join(self.reps.select("fp", "id"), "fp"))
+                             .join(self.reps.select("fp", "id"), "fp"), self.reps)
         arrays = self.arrays(members.select(F.col("id").alias("doc_id")).distinct())
         sizes = members.groupBy("grp").agg(F.ceil(F.greatest(F.count("*") / F.lit(TILE), F.sum("n") / F.lit(ELEMENTS))).cast("int").alias("blocks"))
         rows = _block_pairs(members.join(sizes, "grp")).join(arrays, "fp").select("grp", "bi", "bj", "block", "id", "label", "arr")
@@ -402,9 +420,9 @@ class JaccardJoin:
         self.tiles()
         self.label()
         self.mixed()
-        found = components(self.edges, self.s)
+        found = components(self.edges, self.s, self.edges)
         classes = self.s.cut(self.reps.join(found, "id", "left").select(
-            "fp", "n", F.coalesce("component", "id").alias("component_id")))
+            "fp", "n", F.coalesce("component", "id").alias("component_id")), self.reps)
         return self.prof.join(classes, ["fp", "n"], "left").select(
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 

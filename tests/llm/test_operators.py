@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.llm import annsearch, bpe, capjoin, langid, mixing, passages, setjoin, sharding, tokenfiles, toxicity
+from fleetlake.llm import annsearch, bpe, capjoin, common, langid, mixing, passages, setjoin, sharding, tokenfiles, toxicity
 from fleetlake.llm.common import Scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score int, fp string"
@@ -501,3 +501,53 @@ def test_a_worker_frees_what_another_stage_left():
     left = weakref.ref(cache)
     del enc, cache
     assert list(toxicity._example_terms(iter([]))) == [] and left() is None and not common._kept
+
+
+def test_a_large_tile_is_not_held_as_all_its_pairs():
+    """1,500 members that may all link: their 2.2 million pairs took 108 MB; now a slice of them is held."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = np.random.default_rng(17)
+    base, k = rng.integers(0, 2**63, 60).astype(np.uint64), 1500
+    sets = [np.unique(np.append(rng.choice(base, 57, replace=False), rng.integers(0, 2**63, 1).astype(np.uint64))) for _ in range(k)]
+    one, ids, n = pa.array([0] * k, pa.int32()), pa.array(range(k)), pa.array([len(s) for s in sets], pa.int64())
+    tile = pa.RecordBatch.from_arrays([pa.array([7] * k), one, one, one, ids, n, ids, pa.array(list(map(setjoin.signature, sets)), pa.binary())],
+                                      ["tok", "bi", "bj", "block", "fp", "n", "label", "sig"])
+    low = [np.sort(s & np.uint64(2**48 - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets]
+    group = pa.RecordBatch.from_arrays([pa.array([7] * k), one, one, one, ids, ids, pa.array(low, pa.binary())],
+                                       ["grp", "bi", "bj", "block", "id", "label", "arr"])
+    for step, batch in ((setjoin._tiles, tile), (setjoin._groups, group)):
+        tracemalloc.start()
+        try:
+            rows = [r for out in step(iter([batch])) for r in out.to_pylist()]
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        a, b = ("a_", "b_") if "a_" in rows[0] else ("a", "b")
+        edges = [(r[a], r[b]) for r in rows if r[a] is not None]
+        assert len(edges) == k - 1 and len({x for e in edges for x in e}) == k and peak < 80e6, (step, len(edges), peak)
+
+
+def test_small_tables_are_written_in_few_files(spark, monkeypatch):
+    """Each file written to a local folder forks the executor; rounds of a few rows wrote one per shuffle partition."""
+    import glob
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    scratch, files = Scratch(spark, "t"), []
+    drop = Scratch.drop
+
+    def counted(self, *frames):
+        files.extend(len(glob.glob(f"{f._scratch.removeprefix('file:')}/part-*")) for f in frames)
+        drop(self, *frames)
+    monkeypatch.setattr(Scratch, "drop", counted)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = scratch.cut(spark.range(3000).where("id % 10 <> 0").select(F.col("id").alias("a"), (F.col("id") - 1).alias("b")))
+        got = {r.id: r.component for r in common.components(edges, scratch, edges).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: i // 10 * 10 for i in range(3000)}
+    assert 0 < max(files) <= spark.sparkContext.defaultParallelism, files
