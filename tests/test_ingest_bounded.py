@@ -28,6 +28,26 @@ def all_files(where):
     return [os.path.join(d, f) for d, _, fs in os.walk(where) for f in fs if f.startswith("part-")]
 
 
+def test_ingest_batch_writes_bronze_and_rejects(spark, root):
+    got = {r.stream: (r.accepted, r.rejected) for r in registry.QUERIES["ingest_batch"](spark, SF).collect()}
+    assert set(got) == set(STREAMS)
+    for name, spec in STREAMS.items():
+        want = registry.QUERIES[f"contract_{name}"](spark, SF)
+        assert got[name] == (want.where("violations = ''").count(), want.where("violations <> ''").count())
+        rows = bronze.scan_bronze(spark, f"{root}/bronze", spec)
+        assert rows.where("_ingested_at is not null and _source_topic is not null").count() == got[name][0]
+        assert rows.where(F.col("date") != F.to_date("timestamp")).count() == 0
+        assert scan_rejects(spark, f"{root}/rejects", spec).where("value is not null and size(_violations) > 0").count() == got[name][1]
+    assert not all_files(f"{root}/landing")
+
+
+def test_ingest_batch_of_empty_tables(spark, root, scratch):
+    for t in ("lineitem", "orders", "events", "customer"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{scratch}/empty/{t}.parquet")
+    got = registry.QUERIES["ingest_batch"](spark, f"{scratch}/empty").collect()
+    assert {tuple(r) for r in got} == {(s, 0, 0) for s in STREAMS}
+
+
 def test_landed_files_are_compressed_and_small(spark, scratch, monkeypatch):
     monkeypatch.setattr(events, "LANDED", 500)
     msgs = registry._messages(spark, SF, "telemetry")
