@@ -76,3 +76,12 @@ def test_a_batch_frees_its_shuffle_files(spark, scratch, monkeypatch):
     msgs = registry._messages(spark, SF, "health").select("value", "topic")
     ingest.ingest_batch(msgs, STREAMS["health"], f"{scratch}/b", f"{scratch}/r")
     assert len(freed) == 1 and freed[0] > 0  # when bronze is written
+
+
+def test_a_stream_runs_in_bounded_batches(spark, root, monkeypatch):
+    left, one = [], ingest.ingest_batch
+    monkeypatch.setattr(ingest, "ingest_batch", lambda *a, **kw: left.append(len(all_files(f"{root}/landing"))) or one(*a, **kw))
+    got = registry.QUERIES["stream_ingest"](spark, SF).agg(F.sum("rows")).first()[0]
+    want = registry.QUERIES["contract_telemetry"](spark, SF).where("violations = ''").count()
+    assert got == want and len(left) > 5
+    assert left[-1] < left[0] and not all_files(f"{root}/landing")  # files of finished batches go
