@@ -85,3 +85,22 @@ def test_a_stream_runs_in_bounded_batches(spark, root, monkeypatch):
     want = registry.QUERIES["contract_telemetry"](spark, SF).where("violations = ''").count()
     assert got == want and len(left) > 5
     assert left[-1] < left[0] and not all_files(f"{root}/landing")  # files of finished batches go
+
+
+def test_every_batch_is_replayed(spark, root, monkeypatch):
+    batches, one = [], ingest.ingest_batch
+    monkeypatch.setattr(ingest, "ingest_batch", lambda *a, **kw: batches.append(a[4].stem) or one(*a, **kw))
+    got = registry.QUERIES["replay_ingest"](spark, SF)
+    accepted = registry.QUERIES["contract_telemetry"](spark, SF).where("violations = ''")
+    assert len(batches) == 2 * len(set(batches)) > 10
+    assert registry._bronze_rows(spark, root, "telemetry").count() == 2 * accepted.count()
+    want = registry.QUERIES["stg_telemetry"](spark, SF).columns
+    assert got.columns == want and got.count() == got.select("event_id").distinct().count() == accepted.select("event_id").distinct().count()
+
+
+def test_a_failure_that_was_not_asked_for_is_raised(spark, root, monkeypatch):
+    def broken(*a, **kw):
+        raise RuntimeError("no space")
+    monkeypatch.setattr(bronze, "write_bronze", broken)
+    with pytest.raises(Exception, match="no space"):
+        registry.QUERIES["replay_ingest"](spark, SF)
