@@ -98,9 +98,29 @@ def test_every_batch_is_replayed(spark, root, monkeypatch):
     assert got.columns == want and got.count() == got.select("event_id").distinct().count() == accepted.select("event_id").distinct().count()
 
 
+def test_replayed_rejects_of_many_batches_count_once(spark, root, monkeypatch):
+    roots = iter("abcd")
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, name: f"{root}-{next(roots)}")
+    got = {tuple(r) for r in registry.QUERIES["replay_rejects"](spark, SF).select("stream", "rule", "rejected").collect()}
+    want = registry.QUERIES["reject_summary"](spark, SF).select("stream", "rule", "rejected")
+    assert got == {tuple(r) for r in want.collect()}
+    written = scan_rejects(spark, f"{root}-a/rejects", TELEMETRY).count()
+    assert written == 2 * read_rejects(spark, f"{root}-a/rejects", TELEMETRY).count() > 0
+
+
 def test_a_failure_that_was_not_asked_for_is_raised(spark, root, monkeypatch):
     def broken(*a, **kw):
         raise RuntimeError("no space")
     monkeypatch.setattr(bronze, "write_bronze", broken)
     with pytest.raises(Exception, match="no space"):
         registry.QUERIES["replay_ingest"](spark, SF)
+
+
+def test_a_summary_of_rejects_does_not_read_the_messages(spark, scratch):
+    from tools.plan_audit import plan_text
+    rows = spark.createDataFrame([("{bad", "t", ["unparsable_json"]), (None, "t", ["unparsable_json"])] * 2, "value string, topic string, _violations array<string>")
+    write_rejects(rows, scratch, TELEMETRY)
+    rejects = read_rejects(spark, scratch, TELEMETRY)
+    assert sorted((r.value or "", r.topic, r._violations) for r in rejects.collect()) == [("", "t", ["unparsable_json"]), ("{bad", "t", ["unparsable_json"])]
+    scans = [x for x in plan_text(plans_ingest.reject_summary(rejects)).splitlines() if x.startswith("ReadSchema")]
+    assert scans and not any("value" in x for x in scans)
