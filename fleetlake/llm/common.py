@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +54,12 @@ class Scratch:
         self.n += 1
         return f"{self.root}/{self.n}"
 
-    def cut(self, df: DataFrame, *like: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, *like: DataFrame, group_rows: int | None = None) -> DataFrame:
         """``like``: written tables, together about as large as ``df`` at least. It is then written in files of about
         ``FILE_BYTES`` of theirs, one per core at least, not in one per shuffle partition: on a local file system
-        each file costs processes that change its mode."""
+        each file costs processes that change its mode.
+
+        ``group_rows``: rows of a row group at most, for rows of some MB: a writer and a reader hold a row group of each file."""
         if like:
             size = 0
             for x in like:
@@ -64,7 +67,7 @@ class Scratch:
                 size += fs.getContentSummary(path).getLength()
             df = df.coalesce(max(self.spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES)))
         where = self.path()
-        df.write.parquet(where)
+        (df.write.option("parquet.block.row.count.limit", group_rows) if group_rows else df.write).parquet(where)
         gc.collect()  # frames that nothing names any more free their shuffle files
         self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(where)
@@ -85,6 +88,19 @@ class Scratch:
             fs.delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = CHUNK_BYTES) -> Iterator[None]:
+    """What is run inside sends its Python workers Arrow batches of about ``limit`` bytes (a larger row goes alone); as
+    many rows as Spark sends otherwise can be any size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _LIBC = ctypes.CDLL(None)
 _kept: dict = {}
 

@@ -17,6 +17,9 @@ candidates, and candidates from the other terms are dropped as soon as their sco
 left stay under it. For each candidate the bound uses the pair only if the document is in the pair's list.
 Documents at the threshold itself are kept, so ties by doc_id come out right: the result is exact.
 
+Memory. Words are cut from about 1 MB of text at a time, a row group of the index holds one segment, and workers get about
+one at a time, so what a task holds doesn't grow with its share of the input.
+
 Queries go in blocks of about ``BLOCK_TERMS`` terms, so what a task is given is bounded. Each task returns at most k rows
 a query; they are merged in two levels of windows.
 
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, read_table, utf8, word_hashes
+from fleetlake.llm.common import CHUNK_BYTES, Scratch, arrow_slices, read_table, small_batches, utf8, word_hashes
 
 TOP = 50
 SEGMENT_BYTES = 4 << 20
@@ -55,29 +58,40 @@ GAP[:128] = True
 GAP[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 
 
+def _segment(seg: int, slices: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> pa.RecordBatch:
+    """One row of the index, from (words, words of each text, doc_ids) of its slices of text."""
+    h, n = (np.concatenate([s[i] for s in slices]) for i in (0, 1))
+    of = np.repeat(np.arange(len(n), dtype=np.int64), n)
+    h = h.view(np.int64)  # in the order that searches use
+    order = np.lexsort((of, h))
+    t, d = h[order], of[order]
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
+    head = np.flatnonzero(new)
+    tf = np.diff(np.append(head, len(t)))
+    term, at = t[head], d[head]
+    start = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, np.int64)
+    ids = pa.concat_arrays([s[2] for s in slices])
+    cells = [[seg], [ids.fill_null(0).to_numpy()], [ids.is_valid().to_numpy(zero_copy_only=False)], [n], [term[start]],
+             [np.append(start, len(term))], [at], [tf]]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 3]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)],
+                                      ["seg", "docs", "named", "lens", "terms", "offs", "at", "tf"])
+
+
 def _segments(segment_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg = TaskContext.get().partitionId() << 32
-        for b in arrow_slices(batches, limit=segment_bytes):
-            h, _, _, first = word_hashes(*utf8(b.column("text")), gap=GAP)
-            n = np.diff(first)
-            of = np.repeat(np.arange(len(n), dtype=np.int64), n)
-            h = h.view(np.int64)  # in the order that searches use
-            order = np.lexsort((of, h))
-            t, d = h[order], of[order]
-            new = np.ones(len(t), bool)
-            new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
-            head = np.flatnonzero(new)
-            tf = np.diff(np.append(head, len(t)))
-            term, at = t[head], d[head]
-            start = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, np.int64)
-            ids = b.column("doc_id")
-            cells = [[seg], [ids.fill_null(0).to_numpy()], [ids.is_valid().to_numpy(zero_copy_only=False)], [n], [term[start]],
-                     [np.append(start, len(term))], [at], [tf]]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 3]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)],
-                                             ["seg", "docs", "named", "lens", "terms", "offs", "at", "tf"])
-            seg += 1
+        seg, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for b in arrow_slices(batches, limit=min(segment_bytes, CHUNK_BYTES)):
+            raw, off = utf8(b.column("text"))
+            h, _, _, first = word_hashes(raw, off, gap=GAP)
+            held.append((h, np.diff(first), b.column("doc_id")))
+            size += len(raw)
+            if size >= segment_bytes:
+                yield _segment(seg, held)
+                seg, held, size = seg + 1, [], 0
+        if held:
+            yield _segment(seg, held)
     return run
 
 
@@ -181,14 +195,20 @@ class Index:
 
 def build_index(docs: DataFrame, scratch: Scratch, pair_terms: int = PAIR_TERMS, segment_bytes: int = SEGMENT_BYTES) -> Index:
     """Segments and pair lists of every row of (doc_id, text)."""
-    segments = scratch.cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_segments(segment_bytes), SEGMENT))
+    with small_batches(docs.sparkSession):
+        return _index(docs, scratch, pair_terms, segment_bytes)
+
+
+def _index(docs: DataFrame, scratch: Scratch, pair_terms: int, segment_bytes: int) -> Index:
+    segments = scratch.cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_segments(segment_bytes), SEGMENT),
+                           group_rows=1)
     words = F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x)
     n, total = segments.agg(F.sum(F.size(F.filter("lens", lambda x: x > 0))), F.sum(words)).first()
     stats = Statistics(int(n or 0), int(total or 0))
     all_df = segments.select("terms", "offs").mapInArrow(_frequencies(None), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     top = all_df.orderBy(F.desc("n"), "term").limit(pair_terms).collect()
     frequent = np.array([r.term for r in top], np.int64)
-    whole = scratch.cut(segments.mapInArrow(_pair_lists(frequent, [stats.weight(r.n) for r in top], stats), INDEX))
+    whole = scratch.cut(segments.mapInArrow(_pair_lists(frequent, [stats.weight(r.n) for r in top], stats), INDEX), group_rows=1)
     scratch.drop(segments)
     return Index(whole, stats, frequent)
 
@@ -314,6 +334,16 @@ def _search(queries: list[tuple[int | None, np.ndarray]], weight: dict[int, int]
 
 def search(index: Index, items: DataFrame, scratch: Scratch, k: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """item_id, rank, doc_id, score: the ``k`` best documents with a score above 0 for every row of (item_id, text)."""
+    with small_batches(items.sparkSession):
+        found = _found(index, items, scratch, k, block_terms)
+    order = [F.desc("score"), F.asc("doc_id")]
+    some = found.withColumn("n", F.row_number().over(W.partitionBy("item_id", "group").orderBy(*order))).where(F.col("n") <= k)
+    ranked = some.withColumn("rank", F.row_number().over(W.partitionBy("item_id").orderBy(*order))).where(F.col("rank") <= k)
+    return ranked.select("item_id", "rank", "doc_id", "score")
+
+
+def _found(index: Index, items: DataFrame, scratch: Scratch, k: int, block_terms: int) -> DataFrame:
+    """Each task's best ``k`` of every query, as written tables: (item_id, doc_id, score, group)."""
     asked = scratch.cut(items.select(F.col("item_id").cast("long").alias("item_id"), "text")
                         .mapInArrow(_item_terms, "item_id long, term long").distinct())
     blocks = max(1, math.ceil(asked.count() / block_terms))
@@ -330,10 +360,7 @@ def search(index: Index, items: DataFrame, scratch: Scratch, k: int = TOP, block
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
-    order = [F.desc("score"), F.asc("doc_id")]
-    some = found.withColumn("n", F.row_number().over(W.partitionBy("item_id", "group").orderBy(*order))).where(F.col("n") <= k)
-    ranked = some.withColumn("rank", F.row_number().over(W.partitionBy("item_id").orderBy(*order))).where(F.col("rank") <= k)
-    return ranked.select("item_id", "rank", "doc_id", "score")
+    return found
 
 
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
