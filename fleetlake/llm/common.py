@@ -88,6 +88,21 @@ class Scratch:
             fs.delete(path, True)
 
 
+def row_ids(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """``docs`` and the name of a column in it that tells its rows apart, in the order of doc_id (null last).
+
+    That is doc_id where it does; with null or repeated ones the rows are written with a column of their own, so that
+    none of them is passed over or taken for another.
+    """
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    if repeated.isEmpty():
+        return docs, "doc_id"
+    key = unused_name("row_id", docs.columns)
+    order = [F.asc_nulls_last("doc_id"), F.xxhash64("text").asc()]
+    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    return scratch.cut(ordered.withColumn(key, F.monotonically_increasing_id())), key
+
+
 @contextmanager
 def small_batches(spark: SparkSession, limit: int = CHUNK_BYTES) -> Iterator[None]:
     """What is run inside sends its Python workers Arrow batches of about ``limit`` bytes (a larger row goes alone); as

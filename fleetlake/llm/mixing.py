@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, read_table, unused_name
+from fleetlake.llm.common import Scratch, read_table, row_ids, unused_name
 
 SEED = "mix-1"
 ADDED = ("copy_no", "n_copies", "rate", "shuffle_key")
@@ -48,11 +48,11 @@ def poisson_quantile(u: Column, rate: Column) -> Column:
 
 
 def mix(docs: DataFrame, scratch: Scratch, by: str = "source", weights: dict | None = None, alpha: float = 0.5,
-        epochs: float = 1.0, seed: str = SEED) -> DataFrame:
+        epochs: float = 1.0, seed: str = SEED, row: str = "doc_id") -> DataFrame:
     """Replicate ``docs`` so that each ``by`` group's expected bytes have its share of the total.
 
     ``weights``: share per group value (a group it doesn't name gets none); default: the group's bytes to the
-    power ``alpha``. The expected total is ``epochs`` times the input's bytes.
+    power ``alpha``. The expected total is ``epochs`` times the input's bytes. Rows of one ``row`` draw the same count.
     """
     size = F.greatest(F.octet_length(F.coalesce(F.col("text"), F.lit(""))), F.lit(1)).cast("long")
     groups = docs.groupBy(F.col(by).alias("_by")).agg(F.sum(size).alias("_bytes"))
@@ -71,7 +71,7 @@ def mix(docs: DataFrame, scratch: Scratch, by: str = "source", weights: dict | N
     body = docs.drop(*ADDED)
     own, rate = unused_name("by", body.columns), unused_name("rate_of_by", body.columns)
     rates = rates.select(F.col("_by").alias(own), F.col("_rate").alias(rate))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    key = F.coalesce(F.col(row).cast("string"), F.lit("null"))
     n = body.join(rates, body[by].eqNullSafe(rates[own]), "left").drop(own)
     n = n.withColumn("n_copies", poisson_quantile(uniform(F.lit(seed), key), F.col(rate)))
     copies = (n.where("n_copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
@@ -87,7 +87,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs, Scratch(spark, "mix")).select(*docs.columns)
+    """Every row draws a count of its own, also one that shares its doc_id or has none."""
+    scratch = Scratch(spark, "mix")
+    rows, key = row_ids(docs, scratch)
+    return mix(rows, scratch, row=key).select(*docs.columns)
 
 
 ORACLE = """

@@ -23,8 +23,9 @@ holds it, and the words that match there; spans of unlike sources may overlap. W
 
 Defined cases: null or empty texts have no passages; repeats within one document are no passage, and a
 periodic run counts as far as the earlier document's is long; rows with a null
-doc_id take no part and stay as they are; rows that share a doc_id are no copies of each other; an empty table
-gives an empty table; clashing extra columns pass through the stage untouched.
+doc_id take no part, for a passage is reported by it; rows that share a doc_id are no copies of each other; an empty table
+gives an empty table; clashing extra columns pass through the stage untouched. The stage numbers its rows, so there
+rows without a doc_id or with one of several rows are documents like any other.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, mix64, read_table, sequence_hashes, unused_name, utf8, word_hashes
+from fleetlake.llm.common import Scratch, arrow_slices, mix64, read_table, row_ids, sequence_hashes, unused_name, utf8, word_hashes
 
 K = 6
 EVIDENCE = 15  # words of a chain that its seeds cover; three seeds at least
@@ -430,8 +431,12 @@ def _cut_texts(names: list[str]):
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages are cut out of all documents but their first; a document of which nothing is left goes."""
-    found = repeated_passages(docs, Scratch(spark, "passages"))
-    name = unused_name("spans", docs.columns)
+    """Repeated passages are cut out of all rows but their first, also of rows that share a doc_id or have none; a row of
+    which nothing is left goes."""
+    scratch = Scratch(spark, "passages")
+    rows, key = row_ids(docs, scratch)
+    found = repeated_passages(rows.select(F.col(key).alias("doc_id"), "text"), scratch)
+    name = unused_name("spans", rows.columns)
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias(name))
-    return docs.join(spans, "doc_id", "left").select(*docs.columns, name).mapInArrow(_cut_texts(docs.columns), docs.schema)
+    spans = spans.withColumnRenamed("doc_id", key)
+    return rows.join(spans, key, "left").select(*docs.columns, name).mapInArrow(_cut_texts(docs.columns), docs.schema)

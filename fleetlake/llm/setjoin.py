@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, components, mix64, read_table, shingle_sets, utf8
+from fleetlake.llm.common import Scratch, arrow_slices, components, mix64, read_table, row_ids, shingle_sets, utf8
 
 WORDS = 5
 SKETCH = 1 << 19  # counters of the order table, in all
@@ -437,7 +437,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one that gives it its name. Rows without a doc_id stay."""
-    found = jaccard_components(docs, Scratch(spark, "jaccard"))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component stays: that of the smallest doc_id. Rows that share a doc_id or have none are
+    compared like any other."""
+    scratch = Scratch(spark, "jaccard")
+    rows, key = row_ids(docs, scratch)
+    found = jaccard_components(rows.select(F.col(key).alias("doc_id"), "text"), scratch)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(gone, key, "left_anti").select(*docs.columns)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, arrow_slices, free_caches, ranges, read_table, release_memory, utf8, word_hashes
+from fleetlake.llm.common import Scratch, arrow_slices, free_caches, ranges, read_table, release_memory, row_ids, utf8, word_hashes
 
 EXAMPLES = 3000
 ENTRIES = 2_000_000  # terms of one label's examples, summed: bounds what is sent to the tasks
@@ -362,10 +362,10 @@ def examples_of(docs: DataFrame, labelled: DataFrame, scratch: Scratch, examples
     return (body, [count[y] / size[y] for y in (0, 1)]) if set(size) == {0, 1} else None
 
 
-def score_documents(docs: DataFrame, labelled: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, score and the nearest example for every row of ``docs``."""
+def score_documents(docs: DataFrame, labelled: DataFrame, scratch: Scratch, row: str = "doc_id") -> DataFrame:
+    """doc_id (that is ``row``), score and the nearest example for every row of ``docs``."""
     sc, fitted = docs.sparkSession.sparkContext, examples_of(docs, labelled, scratch)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col(row).cast("long").alias("doc_id"), "text")
     if fitted is None:
         return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(None).cast("long").alias("nearest_id"),
                            F.lit(None).cast("double").alias("nearest_cosine"), F.lit(None).cast("int").alias("nearest_toxic"))
@@ -411,7 +411,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored at the threshold or over it go."""
-    out = score_documents(docs, learnable(read_table(spark, sf_dir, "labels")), Scratch(spark, "toxicity"))
-    gone = out.where(F.col("score") >= THRESHOLD).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Rows scored at the threshold or over it go, each by its own text."""
+    scratch = Scratch(spark, "toxicity")
+    rows, key = row_ids(docs, scratch)
+    out = score_documents(rows, learnable(read_table(spark, sf_dir, "labels")), scratch, key)
+    gone = out.where(F.col("score") >= THRESHOLD).select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
